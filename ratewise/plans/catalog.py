@@ -215,7 +215,8 @@ def q_upsert_result(spark, d):
 
 def q_table_roundtrip(spark, d):
     name = "ratewise_ratings"
-    save_table(q_parse_ratings(spark, d), name, mode="overwrite", fmt="parquet", replace=True)
+    save_table(q_parse_ratings(spark, d), name, mode="overwrite", fmt="parquet", replace=True,
+               path=scratch_path(spark, "tables/ratewise_ratings"))
     return read_table(spark, name, ["user_id", "movie_id", "rating", "timeStamp"])
 
 

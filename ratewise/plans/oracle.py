@@ -224,7 +224,7 @@ def build() -> dict[str, str]:
     unquoted = jtrim("replace(x, '\"', '')")
     q["parse_tags"] = _parse_sql("tags_lines", jsplit("value"), "n >= 4",
                                  [("user_id", jint(jtrim("f[1]"))), ("movie_id", jint(jtrim("f[2]"))),
-                                  ("tag", jtrim(f"array_to_string(list_transform(f[3:n-1], x -> {unquoted}), '|')")),
+                                  ("tag", jtrim(f"array_to_string(list_transform(f[3:n-1], lambda x: {unquoted}), '|')")),
                                   ("timeStamp", jtrim("f[n]"))])
     q["parse_ratings"] = _parse_sql("ratings_lines", jsplit("value"), "n >= 4", _ratings_cols())
     q["parse_dcolon"] = _parse_sql("dcolon_lines", "string_split(regexp_replace(value, '(::)+$', ''), '::')", "n = 4",

@@ -9,9 +9,10 @@ from ratewise.session import checkpoint_dir
 
 
 def save_table(df: DataFrame, name: str, mode: str = "overwrite", fmt: str | None = "parquet",
-               replace: bool = False) -> None:
+               replace: bool = False, path: str | None = None) -> None:
     """K1 (mode + format), K2 (``replace``: drop first), K3 (``fmt=None``: session default).
 
+    ``path`` makes it an external table at that location (otherwise managed, in the warehouse).
     Each task writes its own file, so the file count equals the partition count of ``df``."""
     spark = df.sparkSession
     if replace:
@@ -19,6 +20,8 @@ def save_table(df: DataFrame, name: str, mode: str = "overwrite", fmt: str | Non
     w = df.write.mode(mode)
     if fmt:
         w = w.format(fmt)
+    if path:
+        w = w.option("path", path)
     w.saveAsTable(name)
 
 
