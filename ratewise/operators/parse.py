@@ -42,33 +42,44 @@ def _fail(what: str) -> Column:
 
 
 def _parse(lines: DataFrame, fields, keep: Column, fatal: Column | None, typed: dict[str, Column],
-           checks: list[tuple[Column, str]], mode: str):
+           checked: list[str], mode: str):
     """Common shape: split once, drop short lines, type the fields.
 
-    ``fatal``  lines on which the reference fails before its arity filter;
-    ``checks`` (is_valid, reason) pairs for typed fields.
+    ``fatal``    lines on which the reference fails before its arity filter;
+    ``checked``  typed fields that must parse (NULL = malformed number).
+
+    Each stage is its own projection, so the split, each field's trim and each cast run once
+    per line (the optimizer keeps non-trivial expressions that are used more than once).
     """
     _check(mode)
     df = lines.select(F.col("value"), fields.alias("_f")).withColumn("_n", F.size("_f"))
-    if mode == STRICT:
-        if fatal is not None:
+    if fatal is not None:
+        if mode == STRICT:
             # evaluated before the arity filter, as in the reference
             df = df.filter(F.when(fatal, _fail("malformed line")).otherwise(F.lit(True)))
+        else:
+            df = df.withColumn("_fatal", fatal)
+            keep = keep | F.col("_fatal")
+    df = df.filter(keep)
+    staged = df.select("value", *[c for c in ("_fatal",) if c in df.columns],
+                       *[expr.alias(f"_c_{name}") for name, expr in typed.items()])
+    if mode == STRICT:
         out = []
-        for name, expr in typed.items():
-            for ok, checked in checks:
-                if checked == name:
-                    expr = F.when(~ok, _fail(f"bad {name} in line")).otherwise(expr)
-            out.append(expr.alias(name))
-        return df.filter(keep).select(*out)
+        for name in typed:
+            c = F.col(f"_c_{name}")
+            if name in checked:
+                c = F.when(c.isNull(), _fail(f"bad {name} in line")).otherwise(c)
+            out.append(c.alias(name))
+        return staged.select(*out)
 
     reason = F.lit(None).cast("string")
-    for ok, name in reversed(checks):
-        reason = F.when(~ok, F.lit(f"bad {name}")).otherwise(reason)
-    staged = df.withColumn("_reason", F.when(fatal if fatal is not None else F.lit(False), F.lit("malformed line"))
-                           .when(keep, reason))
-    good = staged.filter(keep & F.col("_reason").isNull()).select(
-        *[expr.alias(name) for name, expr in typed.items()])
+    for name in reversed(checked):
+        reason = F.when(F.col(f"_c_{name}").isNull(), F.lit(f"bad {name}")).otherwise(reason)
+    if fatal is not None:
+        reason = F.when(F.col("_fatal"), F.lit("malformed line")).otherwise(reason)
+    staged = staged.withColumn("_reason", reason)
+    good = staged.filter(F.col("_reason").isNull()).select(
+        *[F.col(f"_c_{name}").alias(name) for name in typed])
     rejects = staged.filter(F.col("_reason").isNotNull()).select("value", F.col("_reason").alias("reason"))
     return good, rejects
 
@@ -78,7 +89,7 @@ def parse_links(lines: DataFrame, mode: str = STRICT):
     mid = java_int(jtrim(field(f, 0)))
     typed = {"movie_id": mid, "imdb_id": jtrim(field(f, 1)), "tmdb_id": jtrim(field(f, 2))}
     return _parse(lines, java_split("value", ","), F.col("_n") >= 3, None, typed,
-                  [(mid.isNotNull(), "movie_id")], mode)
+                  ["movie_id"], mode)
 
 
 def parse_movies(lines: DataFrame, mode: str = STRICT):
@@ -87,7 +98,7 @@ def parse_movies(lines: DataFrame, mode: str = STRICT):
     title = jtrim(F.array_join(F.slice(f, F.lit(2), n - 2), ":"))
     typed = {"movie_id": mid, "title": title, "genres": jtrim(F.element_at(f, n))}
     return _parse(lines, java_split(F.replace(F.col("value"), F.lit('"'), F.lit("")), ","),
-                  n >= 3, n == 0, typed, [(mid.isNotNull(), "movie_id")], mode)
+                  n >= 3, n == 0, typed, ["movie_id"], mode)
 
 
 def parse_tags(lines: DataFrame, mode: str = STRICT):
@@ -97,8 +108,7 @@ def parse_tags(lines: DataFrame, mode: str = STRICT):
     parts = F.transform(F.slice(f, F.lit(3), n - 3), lambda x: jtrim(F.replace(x, F.lit('"'), F.lit(""))))
     typed = {"user_id": uid, "movie_id": mid, "tag": jtrim(F.array_join(parts, "|")),
              "timeStamp": jtrim(F.element_at(f, n))}
-    return _parse(lines, java_split("value", ","), n >= 4, n < 2, typed,
-                  [(uid.isNotNull(), "user_id"), (mid.isNotNull(), "movie_id")], mode)
+    return _parse(lines, java_split("value", ","), n >= 4, n < 2, typed, ["user_id", "movie_id"], mode)
 
 
 def parse_ratings(lines: DataFrame, mode: str = STRICT):
@@ -108,8 +118,7 @@ def parse_ratings(lines: DataFrame, mode: str = STRICT):
     rating = java_double(jtrim(field(f, 2)))
     typed = {"user_id": uid, "movie_id": mid, "rating": rating, "timeStamp": jtrim(field(f, 3))}
     return _parse(lines, java_split("value", ","), F.col("_n") >= 4, None, typed,
-                  [(uid.isNotNull(), "user_id"), (mid.isNotNull(), "movie_id"),
-                   (rating.isNotNull(), "rating")], mode)
+                  ["user_id", "movie_id", "rating"], mode)
 
 
 def parse_dcolon(lines: DataFrame, mode: str = STRICT):
@@ -120,9 +129,8 @@ def parse_dcolon(lines: DataFrame, mode: str = STRICT):
     rating = java_float(field(f, 2))
     ts = java_long(field(f, 3))
     typed = {"userId": uid, "movieId": mid, "rating": rating, "timestamp": ts}
-    return _parse(lines, java_split("value", "::"), F.lit(True), n != 4, typed,
-                  [(uid.isNotNull(), "userId"), (mid.isNotNull(), "movieId"),
-                   (rating.isNotNull(), "rating"), (ts.isNotNull(), "timestamp")], mode)
+    return _parse(lines, java_split("value", "::"), n == 4, n != 4, typed,
+                  ["userId", "movieId", "rating", "timestamp"], mode)
 
 
 PARSERS = {

@@ -23,6 +23,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ratewise.sources.text import min_splits
+
 # Fixed values of the fixtures.
 TODAY = "2024-01-31"
 YESTERDAY = "2024-01-30"
@@ -35,6 +37,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def fact(spark: SparkSession, sf_dir: str, name: str, columns: list[str]) -> DataFrame:
+    """A pruned scan of a large table, spread over the cluster when its file has too few splits
+    (the reference reads its text inputs with a minimum partition count)."""
+    return min_splits(table(spark, sf_dir, name).select(*columns))
+
+
 def s(c) -> Column:
     """Column as text (integers print the same in Spark and SQL engines)."""
     return (F.col(c) if isinstance(c, str) else c).cast("string")
@@ -42,7 +50,7 @@ def s(c) -> Column:
 
 def ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-    items = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_quantity")
+    items = fact(spark, sf_dir, "lineitem", ["l_orderkey", "l_partkey", "l_quantity"])
     return (items.join(orders, items.l_orderkey == orders.o_orderkey)
             .groupBy("o_custkey", "l_partkey")
             .agg((F.avg("l_quantity") / 10).alias("rating"))
@@ -67,7 +75,7 @@ def movies_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def tags_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = table(spark, sf_dir, "events")
+    e = fact(spark, sf_dir, "events", ["event_id", "user_id", "event_type", "props"])
     k = F.col("event_id") % 6
     head = F.concat(s("user_id"), F.lit(","), s(F.col("event_id") % 200), F.lit(","))
     line = (F.when(k == 0, F.concat(head, F.col("event_type"), F.lit(","), s("event_id")))
@@ -100,7 +108,7 @@ def _rating_text() -> Column:
 
 def _order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-    items = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_linenumber", "l_quantity")
+    items = fact(spark, sf_dir, "lineitem", ["l_orderkey", "l_partkey", "l_linenumber", "l_quantity"])
     return items.join(orders, items.l_orderkey == orders.o_orderkey)
 
 
@@ -139,7 +147,7 @@ def bad_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return message_frame(table(spark, sf_dir, "events"))
+    return message_frame(fact(spark, sf_dir, "events", ["event_id", "user_id", "value"]))
 
 
 def message_frame(events: DataFrame) -> DataFrame:
