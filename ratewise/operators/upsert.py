@@ -80,20 +80,22 @@ class UpsertStore:
         log = self._log()
         if before is not None:
             log = log.filter(F.col("version") < before)
-        latest = log.groupBy(self.user_col).agg(F.max_by(F.struct("res", "day"), "version").alias("_s"))
+        # newest version wins; inside one version the latest day (then res) -- one row per user
+        latest = log.groupBy(self.user_col).agg(F.max(F.struct("version", "day", "res")).alias("_s"))
         return latest.select(self.user_col, "_s.res", "_s.day")
 
-    def write_batch(self, version: int, incoming: DataFrame, day=None, small_batch: bool = False) -> DataFrame:
+    def write_batch(self, version: int, incoming: DataFrame, day=None) -> DataFrame:
         """Classify ``incoming`` against the state before ``version`` and store the writes.
 
-        ``small_batch``: the caller guarantees ``incoming`` is small (a rate-limited stream
-        batch); the stored keys are then pruned by a broadcast semi join before aggregation.
-        Returns the classified actions.
+        The stored rows are first cut to the batch's users by a semi join (adaptive execution
+        broadcasts the batch's keys when their measured size is small), then reduced to one
+        row per user.  Returns the classified actions.
         """
         stored = self._log().filter(F.col("version") < version)
         keys = incoming.select(self.user_col).distinct()
-        stored = stored.join(F.broadcast(keys) if small_batch else keys, self.user_col, "left_semi")
-        latest = stored.groupBy(self.user_col).agg(F.max_by("day", "version").alias("day"))
+        stored = stored.join(keys, self.user_col, "left_semi")
+        latest = (stored.groupBy(self.user_col).agg(F.max(F.struct("version", "day")).alias("_s"))
+                  .select(self.user_col, F.col("_s.day").alias("day")))
         actions = classify(incoming, latest, day, self.user_col)
         self._write(actions.filter(F.col("action") != SKIP), version)
         return actions

@@ -242,7 +242,7 @@ def _run_recommend_stream(spark, d, runs: int):
     uf = V.user_factors(spark, d)
     vf = V.item_factors(spark, d)
     pop = popular.top_items_row(V.ratings(spark, d), K).checkpoint(eager=True)
-    fn = RecommendBatch(uf, vf, pop, store, K, "popular", V.TODAY, small_batch=True)
+    fn = RecommendBatch(uf, vf, pop, store, K, "popular", V.TODAY)
     ckpt = scratch_path(spark, "rec-ckpt")
     for run in range(runs):
         # a replay: a fresh checkpoint re-reads the same input as batch 0 again

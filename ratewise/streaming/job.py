@@ -49,13 +49,11 @@ class RecommendBatch:
 
     ``store``      an ``UpsertStore`` (K8 sink); ``None`` for the V2 mode without a write (T5)
     ``sink``       optional callable ``(encoded_batch_df, batch_id)`` for other outputs
-    ``small_batch`` batches are bounded by the trigger's rate limit, so the batch's users may be
-    broadcast into the store lookup
     """
 
     def __init__(self, user_factors: DataFrame, item_factors: DataFrame, popular: DataFrame | None,
                  store: UpsertStore | None = None, k: int = 5, cold_start: str = "popular",
-                 day: str | None = None, strict: bool = True, small_batch: bool = True,
+                 day: str | None = None, strict: bool = True,
                  sink: Callable[[DataFrame, int], None] | None = None):
         self.user_factors = user_factors
         self.item_factors = item_factors
@@ -65,7 +63,6 @@ class RecommendBatch:
         self.cold_start = cold_start
         self.day = day
         self.strict = strict
-        self.small_batch = small_batch
         self.sink = sink
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
@@ -73,7 +70,7 @@ class RecommendBatch:
         recs = recommend(users, self.user_factors, self.item_factors, self.k, self.cold_start, self.popular)
         out = encoded(recs, "ids")
         if self.store is not None:
-            self.store.write_batch(batch_id + 1, out, self.day, self.small_batch)
+            self.store.write_batch(batch_id + 1, out, self.day)
         if self.sink is not None:
             self.sink(out, batch_id)
 

@@ -1,0 +1,77 @@
+import math
+import random
+
+from pyspark.sql import functions as F
+
+from ratewise.operators import popular, split
+from ratewise.operators.metrics import best_by, match_truth, regression_metrics
+
+
+def ratings(spark, n=400, seed=3):
+    rnd = random.Random(seed)
+    rows = {(rnd.randrange(60), rnd.randrange(80)): rnd.choice([0.5, 1.0, 2.5, 3.0, 4.5, 5.0]) for _ in range(n)}
+    return spark.createDataFrame([(u, m, r) for (u, m), r in rows.items()], "user_id int, movie_id int, rating double")
+
+
+def test_global_rank_matches_sort(spark):
+    df = ratings(spark).repartition(7)
+    ranked = split.global_rank(df, split.train_order()).select("user_id", "movie_id", "rating", "_rank", "_n").collect()
+    want = sorted(((r.user_id, r.movie_id, r.rating) for r in ranked), key=lambda t: (-t[2], t[0], t[1]))
+    got = sorted(ranked, key=lambda r: r["_rank"])
+    assert [(r.user_id, r.movie_id, r.rating) for r in got] == want
+    assert [r["_rank"] for r in got] == list(range(len(want)))
+    assert {r["_n"] for r in got} == {len(want)}
+
+
+def test_sorted_fraction_split_sizes(spark):
+    df = ratings(spark)
+    n = df.count()
+    train, test = split.sorted_fraction_split(df, 0.6)
+    assert train.count() == math.floor(n * 0.6)
+    assert test.count() == math.floor(n * (1 - 0.6))
+    # train holds the highest ratings, test the lowest
+    assert train.agg(F.min("rating")).first()[0] >= test.agg(F.max("rating")).first()[0]
+
+
+def test_hash_split_repeatable_and_complete(spark):
+    df = ratings(spark)
+    a1, b1 = split.hash_split(df)
+    a2, _ = split.hash_split(df)
+    assert sorted(a1.collect()) == sorted(a2.collect())
+    assert a1.count() + b1.count() == df.count()
+    assert a1.join(b1, ["user_id", "movie_id"]).count() == 0
+
+
+def test_top_items_tie_break(spark):
+    df = spark.createDataFrame([(1, m) for m in [5, 5, 3, 3, 9, 1]], "user_id int, movie_id int")
+    assert [tuple(r) for r in popular.top_items(df, 3).collect()] == [(3, 2), (5, 2), (1, 1)]
+    assert popular.top_items_row(df, 3).first()["popular"] == [3, 5, 1]
+
+
+def test_filter_and_counts(spark):
+    df = spark.range(1, 11).select(F.col("id").cast("int").alias("user_id"), F.col("id").cast("double").alias("rating"))
+    row = popular.filter_counts(df, 5, 7).first()
+    assert (row.n_above, row.n_user) == (5, 1)   # the reference's filter prints 5
+    counts = popular.row_counts(df).first()
+    assert (counts.n_rows, counts.n_train_06, counts.n_test_06) == (10, 6, 4)
+
+
+def test_metrics_against_python(spark):
+    pred = spark.createDataFrame([(1, 1, 3.0), (1, 2, 2.0), (2, 1, 5.0), (3, 3, 1.0)], "user_id int, movie_id int, prediction double")
+    truth = spark.createDataFrame([(1, 1, 4.0), (1, 2, 2.5), (2, 1, 4.0)], "user_id int, movie_id int, rating double")
+    m = regression_metrics(match_truth(pred, truth), denominator=10).first()
+    errs = [3.0 - 4.0, 2.0 - 2.5, 5.0 - 4.0]
+    labels = [4.0, 2.5, 4.0]
+    mean = sum(labels) / 3
+    assert m.n_matched == 3
+    assert math.isclose(m.rmse, math.sqrt(sum(e * e for e in errs) / 3))
+    assert math.isclose(m.mae, sum(abs(e) for e in errs) / 3)
+    assert math.isclose(m.r2, 1 - sum(e * e for e in errs) / sum((x - mean) ** 2 for x in labels))
+    assert math.isclose(m.rmse_fixed, math.sqrt(sum(e * e for e in errs) / 10))
+    empty = regression_metrics(match_truth(pred.limit(0), truth)).first()
+    assert empty.n_matched == 0 and empty.rmse is None
+
+
+def test_best_by_first_wins(spark):
+    m = spark.createDataFrame([(0, 1.5), (1, 1.2), (2, 1.2), (3, 2.0)], "candidate int, rmse double")
+    assert best_by(m).first().candidate == 1
