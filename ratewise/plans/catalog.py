@@ -152,6 +152,14 @@ def q_parse_dcolon(spark, d):
     return parse.parse_dcolon(V.dcolon_lines(spark, d))
 
 
+def q_text_scan(spark, d):
+    """S1 + P2: the movie lines written as a text file, scanned back with a minimum partition count."""
+    from ratewise.sources.text import read_lines
+    path = scratch_path(spark, "text/movies")
+    V.movies_lines(spark, d).write.mode("overwrite").text(path)
+    return parse.parse_movies(read_lines(spark, path, spark.sparkContext.defaultParallelism))
+
+
 def q_parse_rejects(spark, d):
     _, rejects = parse.parse_ratings(V.bad_lines(spark, d), parse.PERMISSIVE)
     return rejects
@@ -303,6 +311,7 @@ QUERIES: dict[str, Query] = {
     "parse_ratings": q_parse_ratings,
     "parse_dcolon": q_parse_dcolon,
     "parse_rejects": q_parse_rejects,
+    "text_scan": q_text_scan,
     "encode_message": q_encode_message,
     "decode_users": q_decode_users,
     "topk_factors": q_topk_factors,

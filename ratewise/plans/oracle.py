@@ -253,6 +253,7 @@ def build() -> dict[str, str]:
                                      "SELECT user_id, res, action, day FROM actions", UPSERT_CTES)
     q["upsert_result"] = UPSERT_RESULT
     q["table_roundtrip"] = q["parse_ratings"]
+    q["text_scan"] = q["parse_movies"]
     q["stream_distinct_users"] = with_views(["messages"], "SELECT CAST(0 AS BIGINT) AS batch_id, user_id FROM msg_users",
                                             [DECODED])
     q["stream_recommend"] = UPSERT_RESULT

@@ -40,3 +40,9 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint into the shared checkpoint folder."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def export_rows(df: DataFrame):
+    """Stream a finished result to the driver one partition at a time (export only; no
+    operator in this library iterates rows on the driver)."""
+    return df.toLocalIterator(prefetchPartitions=False)

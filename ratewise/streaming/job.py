@@ -86,6 +86,13 @@ def start(messages: DataFrame, fn: Callable[[DataFrame, int], None], checkpoint_
     return w.start()
 
 
+def console(messages: DataFrame, checkpoint_location: str, processing_time: str = f"{BATCH_SECONDS} seconds",
+            num_rows: int = 20) -> StreamingQuery:
+    """Print each batch (debugging)."""
+    return (messages.writeStream.format("console").option("numRows", num_rows).option("truncate", "false")
+            .option("checkpointLocation", checkpoint_location).trigger(processingTime=processing_time).start())
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Existence test on any Hadoop file system (HDFS, S3, local)."""
     jvm = spark.sparkContext._jvm
