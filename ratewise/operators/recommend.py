@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from ratewise.functions.codec import encode_ids, encode_scored
 from ratewise.functions.vector import dot
+from ratewise.sources.tables import cut_lineage
 
 # Score comparison resolution and default block bounds.
 SCORE_DECIMALS = 9
@@ -111,14 +112,16 @@ def block_counts(n_users: int, n_items: int, parallelism: int,
 
 
 def top_k_rows(user_factors: DataFrame, item_factors: DataFrame, k: int = 5,
-               user_block_rows: int = USER_BLOCK_ROWS, item_block_rows: int = ITEM_BLOCK_ROWS) -> DataFrame:
+               user_block_rows: int = USER_BLOCK_ROWS, item_block_rows: int = ITEM_BLOCK_ROWS,
+               n_users: int | None = None, n_items: int | None = None) -> DataFrame:
     """``(user_id, rank, movie_id, rating)`` -- the ``k`` best items of every user.
 
     Includes items the user already rated (as the reference's ``recommendProducts``).
+    ``n_users`` / ``n_items`` size the blocks; when not given they are counted (two small jobs).
     """
     spark = user_factors.sparkSession
-    n_users = user_factors.count()
-    n_items = item_factors.count()
+    n_users = user_factors.count() if n_users is None else n_users
+    n_items = item_factors.count() if n_items is None else n_items
     n_ub, n_ib = block_counts(n_users, n_items, spark.sparkContext.defaultParallelism,
                               user_block_rows, item_block_rows)
 
@@ -180,7 +183,7 @@ COLD_START = ("popular", "drop", "fail")
 
 def recommend(users: DataFrame, user_factors: DataFrame, item_factors: DataFrame, k: int = 5,
               cold_start: str = "popular", popular: DataFrame | None = None,
-              user_col: str = "user_id") -> DataFrame:
+              user_col: str = "user_id", n_items: int | None = None) -> DataFrame:
     """Top-k per requested user: ``(user_id, recommendations, known)``.
 
     cold_start
@@ -191,9 +194,13 @@ def recommend(users: DataFrame, user_factors: DataFrame, item_factors: DataFrame
     """
     if cold_start not in COLD_START:
         raise ValueError(f"cold_start must be one of {COLD_START}")
-    wanted = classify_users(users, user_factors, user_col)
-    known_f = (user_factors.join(wanted.filter("known").select(F.col(user_col).alias("id")), "id", "left_semi"))
-    recs = as_arrays(top_k_rows(known_f, item_factors, k)).withColumnRenamed("user_id", user_col)
+    # one row per requested user, written once to the shared checkpoint folder: both branches
+    # (known, unknown) and the block sizing read it instead of recomputing the users' plan
+    wanted = cut_lineage(classify_users(users, user_factors, user_col))
+    known_ids = wanted.filter("known").select(F.col(user_col).alias("id"))
+    known_f = user_factors.join(known_ids, "id", "left_semi")
+    rows = top_k_rows(known_f, item_factors, k, n_users=known_ids.count(), n_items=n_items)
+    recs = as_arrays(rows).withColumnRenamed("user_id", user_col)
     recs = recs.withColumn("known", F.lit(True))
     if cold_start == "drop":
         return recs

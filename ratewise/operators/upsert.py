@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ratewise.functions.codec import day_text
+from ratewise.sources.tables import cut_lineage
 
 INSERT, UPDATE, SKIP = "insert", "update", "skip"
 
@@ -38,9 +39,16 @@ def classify(incoming: DataFrame, target: DataFrame, day=None, user_col: str = "
     return j.select(*incoming.columns, action.alias("action"), today.alias("day"))
 
 
-def apply_actions(target: DataFrame, actions: DataFrame, user_col: str = "user_id") -> DataFrame:
-    """K6+K7: the target after inserting and updating (skipped rows leave it unchanged)."""
+def apply_actions(target: DataFrame, actions: DataFrame, user_col: str = "user_id",
+                  materialize: bool = True) -> DataFrame:
+    """K6+K7: the target after inserting and updating (skipped rows leave it unchanged).
+
+    The written rows feed both the anti join and the union; ``materialize`` checkpoints them
+    once (shared folder) so the plan that produced them is not run twice.
+    """
     written = actions.filter(F.col("action") != SKIP).select(user_col, "res", "day")
+    if materialize:
+        written = cut_lineage(written)
     kept = target.join(written.select(user_col), user_col, "left_anti")
     return kept.select(user_col, "res", "day").unionByName(written)
 

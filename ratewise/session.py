@@ -22,6 +22,8 @@ DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # per-batch checkpoints (stream) are removed once nothing references them
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 

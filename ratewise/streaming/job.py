@@ -64,10 +64,12 @@ class RecommendBatch:
         self.day = day
         self.strict = strict
         self.sink = sink
+        self.n_items = item_factors.count()   # fixed for the application (T10)
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         users = batch_users(batch, self.strict)
-        recs = recommend(users, self.user_factors, self.item_factors, self.k, self.cold_start, self.popular)
+        recs = recommend(users, self.user_factors, self.item_factors, self.k, self.cold_start, self.popular,
+                         n_items=self.n_items)
         out = encoded(recs, "ids")
         if self.store is not None:
             self.store.write_batch(batch_id + 1, out, self.day)
