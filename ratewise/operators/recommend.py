@@ -28,10 +28,10 @@ from ratewise.sources.tables import cut_lineage
 
 # Score comparison resolution and default block bounds.
 SCORE_DECIMALS = 9
-USER_BLOCK_ROWS = 4096
-ITEM_BLOCK_ROWS = 8192
+USER_BLOCK_ROWS = 16384
+ITEM_BLOCK_ROWS = 32768
 MIN_USER_BLOCK_ROWS = 64
-CHUNK_ROWS = 1024
+SCORE_CELLS = 1 << 23          # users x items scored at once in a task (64 MB of float64)
 
 TOPK_SCHEMA = "user_id int, movie_id int, rating double, score_key double, rank int"
 
@@ -65,10 +65,11 @@ def _block_topk(k: int):
         u_all = np.stack(users["features"].to_numpy()).astype(np.float64)
         user_ids = users["id"].to_numpy().astype(np.int64)
         kk = min(k, len(item_ids))
+        chunk = max(1, SCORE_CELLS // len(item_ids))
         out_u, out_i, out_s, out_key, out_r = [], [], [], [], []
-        for start in range(0, len(user_ids), CHUNK_ROWS):
-            u = u_all[start:start + CHUNK_ROWS]
-            ids = user_ids[start:start + CHUNK_ROWS]
+        for start in range(0, len(user_ids), chunk):
+            u = u_all[start:start + chunk]
+            ids = user_ids[start:start + chunk]
             raw = u @ v.T
             key = np.round(raw, SCORE_DECIMALS)
             cand = np.argpartition(-key, kk - 1, axis=1)[:, :kk]

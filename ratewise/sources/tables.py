@@ -9,10 +9,12 @@ from ratewise.session import checkpoint_dir
 
 
 def save_table(df: DataFrame, name: str, mode: str = "overwrite", fmt: str | None = "parquet",
-               replace: bool = False, path: str | None = None) -> None:
+               replace: bool = False, path: str | None = None, bucket_by: tuple[int, str] | None = None) -> None:
     """K1 (mode + format), K2 (``replace``: drop first), K3 (``fmt=None``: session default).
 
     ``path`` makes it an external table at that location (otherwise managed, in the warehouse).
+    ``bucket_by=(n, column)`` stores the table hash-bucketed and sorted on ``column``, so later
+    joins and aggregates on that key read it without a shuffle.
     Each task writes its own file, so the file count equals the partition count of ``df``."""
     spark = df.sparkSession
     if replace:
@@ -22,6 +24,9 @@ def save_table(df: DataFrame, name: str, mode: str = "overwrite", fmt: str | Non
         w = w.format(fmt)
     if path:
         w = w.option("path", path)
+    if bucket_by:
+        n, column = bucket_by
+        w = w.bucketBy(n, column).sortBy(column)
     w.saveAsTable(name)
 
 

@@ -63,3 +63,20 @@ def write_kafka(messages: DataFrame, bootstrap_servers: str, topic: str, produce
     """Batch write of ``key, value`` records (flushed and closed by the connector)."""
     (messages.select(F.col("key").cast("string"), F.col("value").cast("string"))
      .write.format("kafka").options(**kafka_sink_options(bootstrap_servers, topic, producer)).save())
+
+
+def feed_messages(train: DataFrame, seed: int | None = None) -> DataFrame:
+    """T11 step 1 (O2 + P9): one ``key, value`` record per training row; the key is the
+    reference's random 0..9 when a ``seed`` is given, else the deterministic default."""
+    from ratewise.functions.codec import encode_message, random_key
+    key, value = encode_message("user_id", "movie_id", "rating",
+                                key=random_key(seed) if seed is not None else None)
+    return train.select(key, value)
+
+
+def feed_topic(train: DataFrame, bootstrap_servers: str, topic: str, users_table: str | None = None,
+               producer: dict | None = None, seed: int | None = None) -> None:
+    """Write the training rows to a topic (K10), then keep them as a table (K3)."""
+    write_kafka(feed_messages(train, seed), bootstrap_servers, topic, producer)
+    if users_table:
+        train.write.mode("overwrite").saveAsTable(users_table)

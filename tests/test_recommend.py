@@ -44,7 +44,7 @@ def test_block_counts_bounds():
     assert block_counts(0, 0, 8) == (1, 1)
     assert block_counts(30, 10, 1000) == (1, 1)
     ub, ib = block_counts(10_000_000, 1_000_000, 2000)
-    assert ub >= 2000 and ib == 123
+    assert ub >= 2000 and ib == 31
 
 
 def test_score_pairs_drops_unknown(spark):

@@ -10,7 +10,7 @@ from ratewise.operators.upsert import UpsertStore, apply_actions, classify
 from ratewise.session import scratch_path
 from ratewise.sources.jdbc import jdbc_options, upsert_statements
 from ratewise.streaming import (
-    RecommendBatch, batch_users, file_stream, kafka_sink_options, kafka_source_options, rate_limit,
+    RecommendBatch, batch_counts, batch_users, file_stream, kafka_sink_options, kafka_source_options, rate_limit,
     run_until_marker, start,
 )
 
@@ -69,6 +69,7 @@ def test_stream_recommend_end_to_end(spark):
     src = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(os.path.join(d, "*"))
     q = start(src, fn, scratch_path(spark, "t-ckpt"), available_now=True)
     q.awaitTermination()
+    assert [n for _, n in batch_counts(q)] == [3, 2]     # A11: rows per micro-batch
     state = {r.user_id: (r.res, r.day) for r in store.state().collect()}
     assert state == {7: ("100_102", DAY), 8: ("101_102", DAY), 9: ("101_100", DAY)}
 
@@ -89,6 +90,25 @@ def test_marker_file_stops_query(spark):
     assert not q.isActive and time.time() - t0 < 30
 
 
+def test_feed_messages(spark):
+    from ratewise.streaming import feed_messages
+    train = spark.createDataFrame([(7, 3, 4.5), (1, 2, 1.0)], "user_id int, movie_id int, rating double")
+    got = sorted(tuple(r) for r in feed_messages(train).collect())
+    assert got == [("0", "7_3_4.5"), ("3", "1_2_1.0")]   # key = (31*user + movie) mod 10
+    keys = [r.key for r in feed_messages(train, seed=1).collect()]
+    assert all(k in [str(i) for i in range(10)] for k in keys)
+
+
+def test_bucketed_table_roundtrip(spark):
+    from ratewise.sources.tables import read_table, save_table
+    df = spark.range(100).selectExpr("CAST(id AS INT) AS user_id", "id * 2 AS v")
+    save_table(df, "ratewise_bucketed", replace=True, path=scratch_path(spark, "t-bucket"), bucket_by=(4, "user_id"))
+    back = read_table(spark, "ratewise_bucketed")
+    assert back.count() == 100
+    plan = back.groupBy("user_id").count()._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan
+
+
 def test_option_builders():
     assert rate_limit(100, 3, 4) == 1200
     o = kafka_source_options("h:9092", "miu", {"miu": {0: 5, 1: 7}}, max_offsets_per_trigger=1200)
