@@ -14,6 +14,7 @@ log so that a replayed batch overwrites only its own version and the rule stays
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -73,7 +74,12 @@ class UpsertStore:
         self.user_col = user_col
 
     def _log(self) -> DataFrame:
-        return self.spark.read.parquet(self.path)
+        try:
+            return self.spark.read.parquet(self.path)
+        except AnalysisException:
+            # nothing written yet: an empty log
+            return self.spark.createDataFrame(
+                [], f"{self.user_col} int, res string, day string, version bigint")
 
     def _write(self, rows: DataFrame, version: int) -> None:
         (rows.select(self.user_col, "res", "day").withColumn("version", F.lit(version).cast("bigint"))
