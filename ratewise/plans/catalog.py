@@ -275,7 +275,7 @@ def q_als_recommend(spark, d):
     from ratewise.operators import als
     from ratewise.sources.models import load_model, save_model
     train, _ = _split(spark, d)
-    model = als.fit_als(train, **{**als.DATAFRAME_CALL, "checkpoint_interval": 5})
+    model = als.fit_als(train, **als.DATAFRAME_CALL)
     path = save_model(model, scratch_path(spark, "als-model"))
     loaded = load_model(path)
     recs = als.recommend_users(loaded, popular.distinct_users(train), K)
