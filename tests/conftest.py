@@ -1,5 +1,6 @@
 import os
 import sys
+import tempfile
 
 import pytest
 
@@ -12,6 +13,8 @@ SF0001 = "/root/testdata/sf0.001"
 @pytest.fixture(scope="session")
 def spark():
     from ratewise.session import build_session
-    s = build_session("local[4]", 8, app_name="ratewise-tests")
+    # a fresh warehouse per run: the in-memory catalog forgets managed tables between sessions
+    s = build_session("local[4]", 8, app_name="ratewise-tests",
+                      extra={"spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="ratewise-wh-")})
     yield s
     s.stop()
