@@ -31,8 +31,10 @@ def save_table(df: DataFrame, name: str, mode: str = "overwrite", fmt: str | Non
 
 
 def read_table(spark: SparkSession, name: str, columns: list[str] | None = None) -> DataFrame:
-    """S3: catalog scan with an explicit column list (pruned at the file reader)."""
-    df = spark.table(name)
+    """S3: catalog scan with an explicit column list (pruned at the file reader).
+
+    A name containing ``/`` is read as a parquet table folder (no metastore needed)."""
+    df = spark.read.parquet(name) if "/" in name else spark.table(name)
     return df.select(*columns) if columns else df
 
 
