@@ -37,7 +37,7 @@ def run(spark, name: str, sf_dir: str) -> float:
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    spark = build_session(f"local[{cpus}]", shuffle_partitions=2 * cpus, app_name="ratewise-bench",
+    spark = build_session(f"local[{cpus}]", shuffle_partitions=cpus, app_name="ratewise-bench",
                           extra={"spark.driver.memory": "16g"})
     # warm the JVM and Python workers on the smallest data set (not timed)
     warm = "/root/testdata/sf0.001"
