@@ -63,9 +63,12 @@ class UpsertStore:
 
     Each write adds partition ``version=<v>`` holding only the inserted/updated rows; the
     current state is the latest version per user.  ``write_batch(v, ...)`` classifies against
-    versions < v only and overwrites partition v alone (dynamic partition overwrite), so a
-    replayed micro-batch reproduces the same partition instead of duplicating or losing rows.
-    ``compact`` rewrites the current state as one new base version.
+    versions < v only and overwrites partition v alone (dynamic partition overwrite), so
+    running the same version twice reproduces the same partition.  A write commits as a whole
+    (Spark's job commit), and a committed write makes a later replay of the same users a
+    same-day skip, so replays under a new version number are harmless too.
+    Versions must only grow: callers start from ``next_version()``.
+    ``compact(v)`` writes the current state as a new base version ``v`` (an unused number).
     """
 
     def __init__(self, spark: SparkSession, path: str, user_col: str = "user_id"):
@@ -90,6 +93,11 @@ class UpsertStore:
         self._write(base, version)
         return self
 
+    def next_version(self) -> int:
+        """One more than the highest stored version (0 for an empty store)."""
+        top = self._log().agg(F.max("version")).first()[0]
+        return 0 if top is None else int(top) + 1
+
     def state(self, before: int | None = None) -> DataFrame:
         log = self._log()
         if before is not None:

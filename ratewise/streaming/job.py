@@ -65,6 +65,8 @@ class RecommendBatch:
         self.strict = strict
         self.sink = sink
         self.n_items = item_factors.count()   # fixed for the application (T10)
+        # versions grow across restarts, also when a new checkpoint restarts batch ids at 0
+        self.version_base = store.next_version() if store is not None else 0
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         users = batch_users(batch, self.strict)
@@ -72,7 +74,7 @@ class RecommendBatch:
                          n_items=self.n_items)
         out = encoded(recs, "ids")
         if self.store is not None:
-            self.store.write_batch(batch_id + 1, out, self.day)
+            self.store.write_batch(self.version_base + batch_id, out, self.day)
         if self.sink is not None:
             self.sink(out, batch_id)
 

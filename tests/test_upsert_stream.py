@@ -46,6 +46,7 @@ def test_store_replay_is_idempotent(spark):
     store.write_batch(2, incoming, DAY)          # a later batch the same day: all skipped
     assert sorted(tuple(r) for r in store.state().collect()) == first
     assert {r.user_id: r.res for r in store.state().collect()} == {1: "x", 2: "b", 3: "z"}
+    assert store.next_version() == 2      # the all-skip batch stored nothing
 
 
 def _message_dir(spark, batches):
@@ -72,6 +73,12 @@ def test_stream_recommend_end_to_end(spark):
     assert [n for _, n in batch_counts(q)] == [3, 2]     # A11: rows per micro-batch
     state = {r.user_id: (r.res, r.day) for r in store.state().collect()}
     assert state == {7: ("100_102", DAY), 8: ("101_102", DAY), 9: ("101_100", DAY)}
+    # a restart with a new checkpoint replays both batches under new versions: nothing changes
+    fn2 = RecommendBatch(uf, vf, pop, store, k=2, day=DAY)
+    assert fn2.version_base == 3
+    src2 = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(os.path.join(d, "*"))
+    start(src2, fn2, scratch_path(spark, "t-ckpt2"), available_now=True).awaitTermination()
+    assert {r.user_id: (r.res, r.day) for r in store.state().collect()} == state
 
 
 def test_batch_users_distinct(spark):
