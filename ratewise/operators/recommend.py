@@ -32,6 +32,7 @@ USER_BLOCK_ROWS = 16384
 ITEM_BLOCK_ROWS = 32768
 MIN_USER_BLOCK_ROWS = 64
 SCORE_CELLS = 1 << 23          # users x items scored at once in a task (64 MB of float64)
+BROADCAST_MAX_ROWS = 1_000_000  # requested user ids broadcast only below this measured count
 
 TOPK_SCHEMA = "user_id int, movie_id int, rating double, score_key double, rank int"
 
@@ -155,10 +156,20 @@ def as_arrays(rows: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------- users known / unknown
 
 def classify_users(users: DataFrame, known_ids: DataFrame, user_col: str = "user_id",
-                   id_col: str = "id") -> DataFrame:
-    """One left join with the distinct known ids (no job per user)."""
-    known = known_ids.select(F.col(id_col).alias(user_col)).distinct().withColumn("_hit", F.lit(True))
-    return (users.select(user_col).distinct().join(known, user_col, "left")
+                   id_col: str = "id", n_users: int | None = None) -> DataFrame:
+    """One row per requested user with ``known`` -- no job per user.
+
+    The known table (all users with factors, possibly huge) is cut to the requested users by a
+    semi join whose build side is the requested set.  When the caller has counted the requested
+    users (``n_users``) and they fit under ``BROADCAST_MAX_ROWS``, that side is broadcast and the
+    big table is only scanned; otherwise both sides are shuffled on the user id.
+    """
+    wanted = users.select(user_col).distinct()
+    small = n_users is not None and n_users <= BROADCAST_MAX_ROWS
+    hits = (known_ids.select(F.col(id_col).alias(user_col))
+            .join(F.broadcast(wanted) if small else wanted, user_col, "left_semi")
+            .distinct().withColumn("_hit", F.lit(True)))
+    return (wanted.join(F.broadcast(hits) if small else hits, user_col, "left")
             .select(user_col, F.coalesce("_hit", F.lit(False)).alias("known")))
 
 
@@ -195,9 +206,11 @@ def recommend(users: DataFrame, user_factors: DataFrame, item_factors: DataFrame
     """
     if cold_start not in COLD_START:
         raise ValueError(f"cold_start must be one of {COLD_START}")
-    # one row per requested user, written once to the shared checkpoint folder: both branches
-    # (known, unknown) and the block sizing read it instead of recomputing the users' plan
-    wanted = cut_lineage(classify_users(users, user_factors, user_col))
+    # the requested users are written once to the shared checkpoint folder and counted there;
+    # the count decides the join strategy, and both branches (known, unknown) and the block
+    # sizing read the classified users instead of recomputing the users' plan
+    requested = cut_lineage(users.select(user_col).distinct())
+    wanted = cut_lineage(classify_users(requested, user_factors, user_col, n_users=requested.count()))
     known_ids = wanted.filter("known").select(F.col(user_col).alias("id"))
     known_f = user_factors.join(known_ids, "id", "left_semi")
     rows = top_k_rows(known_f, item_factors, k, n_users=known_ids.count(), n_items=n_items)

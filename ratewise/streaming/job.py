@@ -16,6 +16,7 @@ from __future__ import annotations
 import time
 from collections.abc import Callable
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -55,8 +56,9 @@ class RecommendBatch:
                  store: UpsertStore | None = None, k: int = 5, cold_start: str = "popular",
                  day: str | None = None, strict: bool = True,
                  sink: Callable[[DataFrame, int], None] | None = None):
-        self.user_factors = user_factors
-        self.item_factors = item_factors
+        # loaded once per application and kept (memory, spilling to disk) for every batch
+        self.user_factors = user_factors.persist(StorageLevel.MEMORY_AND_DISK)
+        self.item_factors = item_factors.persist(StorageLevel.MEMORY_AND_DISK)
         self.popular = popular
         self.store = store
         self.k = k
