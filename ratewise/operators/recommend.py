@@ -195,7 +195,7 @@ COLD_START = ("popular", "drop", "fail")
 
 def recommend(users: DataFrame, user_factors: DataFrame, item_factors: DataFrame, k: int = 5,
               cold_start: str = "popular", popular: DataFrame | None = None,
-              user_col: str = "user_id", n_items: int | None = None) -> DataFrame:
+              user_col: str = "user_id", n_items: int | None = None, n_users: int | None = None) -> DataFrame:
     """Top-k per requested user: ``(user_id, recommendations, known)``.
 
     cold_start
@@ -203,17 +203,26 @@ def recommend(users: DataFrame, user_factors: DataFrame, item_factors: DataFrame
                    read once as a scalar subquery -- the broadcast side value of the reference);
       ``drop``     unknown users give no row;
       ``fail``     the job fails on the first unknown user (the reference's model call).
+
+    ``n_users``: the caller passes distinct, already materialised users and their count
+    (a stream batch does); otherwise they are de-duplicated, checkpointed and counted here.
     """
     if cold_start not in COLD_START:
         raise ValueError(f"cold_start must be one of {COLD_START}")
     # the requested users are written once to the shared checkpoint folder and counted there;
     # the count decides the join strategy, and both branches (known, unknown) and the block
     # sizing read the classified users instead of recomputing the users' plan
-    requested = cut_lineage(users.select(user_col).distinct())
-    wanted = cut_lineage(classify_users(requested, user_factors, user_col, n_users=requested.count()))
+    if n_users is None:
+        requested = cut_lineage(users.select(user_col).distinct())
+        n_users = requested.count()
+    else:
+        requested = users.select(user_col)
+    wanted = cut_lineage(classify_users(requested, user_factors, user_col, n_users=n_users))
     known_ids = wanted.filter("known").select(F.col(user_col).alias("id"))
-    known_f = user_factors.join(known_ids, "id", "left_semi")
-    rows = top_k_rows(known_f, item_factors, k, n_users=known_ids.count(), n_items=n_items)
+    n_known = known_ids.count()
+    small = n_known <= BROADCAST_MAX_ROWS
+    known_f = user_factors.join(F.broadcast(known_ids) if small else known_ids, "id", "left_semi")
+    rows = top_k_rows(known_f, item_factors, k, n_users=n_known, n_items=n_items)
     recs = as_arrays(rows).withColumnRenamed("user_id", user_col)
     recs = recs.withColumn("known", F.lit(True))
     if cold_start == "drop":

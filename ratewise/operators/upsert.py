@@ -22,6 +22,7 @@ from ratewise.functions.codec import day_text
 from ratewise.sources.tables import cut_lineage
 
 INSERT, UPDATE, SKIP = "insert", "update", "skip"
+BROADCAST_MAX_ROWS = 1_000_000  # batch keys broadcast only below this measured count
 
 
 def target_days(target: DataFrame, user_col: str = "user_id") -> DataFrame:
@@ -106,16 +107,18 @@ class UpsertStore:
         latest = log.groupBy(self.user_col).agg(F.max(F.struct("version", "day", "res")).alias("_s"))
         return latest.select(self.user_col, "_s.res", "_s.day")
 
-    def write_batch(self, version: int, incoming: DataFrame, day=None) -> DataFrame:
+    def write_batch(self, version: int, incoming: DataFrame, day=None, n_incoming: int | None = None) -> DataFrame:
         """Classify ``incoming`` against the state before ``version`` and store the writes.
 
-        The stored rows are first cut to the batch's users by a semi join (adaptive execution
-        broadcasts the batch's keys when their measured size is small), then reduced to one
-        row per user.  Returns the classified actions.
+        The stored rows are first cut to the batch's users by a semi join, then reduced to one
+        row per user.  ``n_incoming`` (a measured user count) under ``BROADCAST_MAX_ROWS``
+        broadcasts the batch's keys, so the stored log is scanned without a shuffle.
+        Returns the classified actions.
         """
         stored = self._log().filter(F.col("version") < version)
         keys = incoming.select(self.user_col).distinct()
-        stored = stored.join(keys, self.user_col, "left_semi")
+        small = n_incoming is not None and n_incoming <= BROADCAST_MAX_ROWS
+        stored = stored.join(F.broadcast(keys) if small else keys, self.user_col, "left_semi")
         latest = (stored.groupBy(self.user_col).agg(F.max(F.struct("version", "day")).alias("_s"))
                   .select(self.user_col, F.col("_s.day").alias("day")))
         actions = classify(incoming, latest, day, self.user_col)

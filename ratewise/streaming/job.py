@@ -24,6 +24,7 @@ from pyspark.sql.streaming import StreamingQuery
 from ratewise.functions.codec import decode_user
 from ratewise.operators.recommend import encoded, recommend
 from ratewise.operators.upsert import UpsertStore
+from ratewise.sources.tables import cut_lineage
 
 BATCH_SECONDS = 3  # T1
 
@@ -71,12 +72,14 @@ class RecommendBatch:
         self.version_base = store.next_version() if store is not None else 0
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        users = batch_users(batch, self.strict)
+        # the batch's distinct users, written once and counted: the count bounds the broadcasts
+        users = cut_lineage(batch_users(batch, self.strict))
+        n_users = users.count()
         recs = recommend(users, self.user_factors, self.item_factors, self.k, self.cold_start, self.popular,
-                         n_items=self.n_items)
+                         n_items=self.n_items, n_users=n_users)
         out = encoded(recs, "ids")
         if self.store is not None:
-            self.store.write_batch(self.version_base + batch_id, out, self.day)
+            self.store.write_batch(self.version_base + batch_id, out, self.day, n_incoming=n_users)
         if self.sink is not None:
             self.sink(out, batch_id)
 
