@@ -84,3 +84,20 @@ def test_dcolon_strict_arity(spark):
     assert sorted(got) == [(1, 2, 3.5, 99), (4, 5, 1.0, 7)]
     with pytest.raises(FAILS):
         parse.parse_dcolon(lines(spark, ["1::2::3"])).collect()
+
+
+def test_parser_outputs_match_declared_schemas(spark):
+    from ratewise import schemas
+
+    def shape(st):
+        return [(f.name, f.dataType.simpleString()) for f in st.fields]
+
+    cases = {
+        "links": (["1,0114709,862"], schemas.LINKS),
+        "movies": (["1,Toy Story (1995),Adventure"], schemas.MOVIES),
+        "tags": (["15,1193,sci-fi,1"], schemas.TAGS),
+        "ratings": (["1,31,2.5,1"], schemas.RATINGS),
+        "dcolon": (["1::2::3.5::9"], schemas.DCOLON_RATINGS),
+    }
+    for name, (rows_in, declared) in cases.items():
+        assert shape(parse.PARSERS[name](lines(spark, rows_in)).schema) == shape(declared), name
