@@ -290,6 +290,15 @@ def q_als_grid(spark, d):
     return metrics.select("candidate", "reg", "max_iter", "n_matched")
 
 
+def q_als_evaluate(spark, d):
+    """O5 + M3 + J5 + A8: seeded random 0.8/0.2 split, ALS fit, metrics on the held-out pairs."""
+    from ratewise.operators import als
+    train, test = split.random_split(V.ratings(spark, d), (0.8, 0.2), seed=42)
+    model = als.fit_als(train, **als.DATAFRAME_CALL)
+    pred = als.predict(model, test.select("user_id", "movie_id"))
+    return regression_metrics(match_truth(pred, test)).select("n_matched", "rmse", "mse", "mae", "r2")
+
+
 QUERIES: dict[str, Query] = {
     "popular_items": q_popular_items,
     "row_counts": q_row_counts,
@@ -326,4 +335,5 @@ QUERIES: dict[str, Query] = {
     "stream_replay": q_stream_replay,
     "als_recommend": q_als_recommend,
     "als_grid": q_als_grid,
+    "als_evaluate": q_als_evaluate,
 }
