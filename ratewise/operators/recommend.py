@@ -28,6 +28,7 @@ from ratewise.sources.tables import cut_lineage
 
 # Score comparison resolution and default block bounds.
 SCORE_DECIMALS = 9
+TIE_EPS = 2e-9                 # two scores this close may round to the same 1e-9 step
 USER_BLOCK_ROWS = 16384
 ITEM_BLOCK_ROWS = 32768
 MIN_USER_BLOCK_ROWS = 64
@@ -68,30 +69,31 @@ def _block_topk(k: int):
         kk = min(k, len(item_ids))
         chunk = max(1, SCORE_CELLS // len(item_ids))
         out_u, out_i, out_s, out_key, out_r = [], [], [], [], []
+        n = len(item_ids)
         for start in range(0, len(user_ids), chunk):
             u = u_all[start:start + chunk]
             ids = user_ids[start:start + chunk]
             raw = u @ v.T
-            key = np.round(raw, SCORE_DECIMALS)
-            cand = np.argpartition(-key, kk - 1, axis=1)[:, :kk]
             rows = np.arange(len(ids))[:, None]
-            kth = key[rows, cand].min(axis=1)
-            n_ge = (key >= kth[:, None]).sum(axis=1)
-            tied = np.nonzero(n_ge > kk)[0]
+            cand = np.argpartition(raw, n - kk, axis=1)[:, n - kk:]
+            kth = raw[rows, cand].min(axis=1)
+            # scores are compared rounded to 1e-9: only an item within TIE_EPS of the k-th best
+            # can tie with it after rounding, so only such rows need the exact (rounded) pick
+            near = (raw >= (kth - TIE_EPS)[:, None]).sum(axis=1)
+            tied = np.nonzero(near > kk)[0]
             if len(tied):
-                # items tied with the k-th best score: pick by id among all of them
                 cand = cand.copy()
                 for r in tied:
-                    idx = np.nonzero(key[r] >= kth[r])[0]
-                    order = np.lexsort((item_ids[idx], -key[r, idx]))
+                    idx = np.nonzero(raw[r] >= kth[r] - TIE_EPS)[0]
+                    order = np.lexsort((item_ids[idx], -np.round(raw[r, idx], SCORE_DECIMALS)))
                     cand[r] = idx[order[:kk]]
-            ck = key[rows, cand]
+            ck = np.round(raw[rows, cand], SCORE_DECIMALS)
             order = np.lexsort((item_ids[cand], -ck), axis=1)
             best = np.take_along_axis(cand, order, axis=1)
             out_u.append(np.repeat(ids, kk))
             out_i.append(item_ids[best].ravel())
             out_s.append(raw[rows, best].ravel())
-            out_key.append(key[rows, best].ravel())
+            out_key.append(np.take_along_axis(ck, order, axis=1).ravel())
             out_r.append(np.tile(np.arange(1, kk + 1), len(ids)))
         return pd.DataFrame({
             "user_id": np.concatenate(out_u).astype(np.int32),
