@@ -51,7 +51,7 @@ def split_and_train(spark: SparkSession, ratings_table: str, model_base: str, tr
     """Job 2: split, store both sides, fit (one model with ``settings`` or the grid), evaluate on
     the held-out side, save the best model under ``i_<iter>_l0_<lambda>_<rmse>``."""
     ratings = read_table(spark, ratings_table, ["user_id", "movie_id", "rating"])
-    train, test = split.sorted_fraction_split(ratings, fraction)
+    train, test = split.sorted_fraction_split(ratings, fraction, freeze=True)
     save_table(train, train_table, replace=True)
     save_table(test, test_table, replace=True)
     train, test = read_table(spark, train_table), read_table(spark, test_table)
