@@ -21,7 +21,7 @@ from ratewise.operators.recommend import encoded, recommend
 from ratewise.operators.upsert import UpsertStore, classify
 from ratewise.sources.jdbc import jdbc_append, jdbc_upsert, read_jdbc
 from ratewise.sources.models import model_path, save_model
-from ratewise.sources.tables import read_table, save_table
+from ratewise.sources.tables import cut_lineage, read_table, save_table
 from ratewise.sources.text import read_lines
 from ratewise.streaming.job import RecommendBatch, run_until_marker, start
 
@@ -63,9 +63,9 @@ def split_and_train(spark: SparkSession, ratings_table: str, model_base: str, tr
     else:
         cfg = {**als.BUILDER_CALL, **(settings or {})}
         model = als.fit_als(train, **cfg)
-        metrics = als.evaluate(model, test, test, n_test).select(
+        metrics = cut_lineage(als.evaluate(model, test, test, n_test).select(
             F.lit(0).alias("candidate"), F.lit(float(cfg["reg"])).alias("reg"),
-            F.lit(int(cfg["max_iter"])).alias("max_iter"), F.lit(int(cfg["rank"])).alias("rank"), "*")
+            F.lit(int(cfg["max_iter"])).alias("max_iter"), F.lit(int(cfg["rank"])).alias("rank"), "*"))
         row = metrics.first()
         reg, iters, rmse = cfg["reg"], cfg["max_iter"], row["rmse"]
     path = save_model(model, model_path(model_base, iters, reg, rmse))
