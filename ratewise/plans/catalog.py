@@ -300,6 +300,17 @@ def q_als_evaluate(spark, d):
     return regression_metrics(match_truth(pred, test)).select("n_matched", "rmse", "mse", "mae", "r2")
 
 
+def q_als_train_eval(spark, d):
+    """M2 + M5 + A6/A7: the builder settings (rank 10, 30 iterations, lambda 0.006, lineage cut
+    every 5), evaluated on the held-out split with the fixed denominator floor(n * 0.4)."""
+    from ratewise.operators import als
+    r = V.ratings(spark, d)
+    train, test = split.sorted_fraction_split(r, TRAIN_FRACTION, freeze=True)
+    model = als.fit_als(train, **als.BUILDER_CALL)
+    n_test = r.agg(F.floor(F.count(F.lit(1)) * F.lit(1 - TRAIN_FRACTION)).alias("n")).scalar()
+    return als.evaluate(model, test, test, n_test).select("n_matched", "rmse", "rmse_fixed")
+
+
 QUERIES: dict[str, Query] = {
     "popular_items": q_popular_items,
     "row_counts": q_row_counts,
@@ -337,4 +348,5 @@ QUERIES: dict[str, Query] = {
     "als_recommend": q_als_recommend,
     "als_grid": q_als_grid,
     "als_evaluate": q_als_evaluate,
+    "als_train_eval": q_als_train_eval,
 }

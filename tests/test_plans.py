@@ -14,7 +14,7 @@ from ratewise.sources.text import read_lines
 from conftest import SF0001
 
 CROSS = ("CartesianProduct", "BroadcastNestedLoopJoin")
-ITERATIVE = {"als_recommend", "als_grid", "als_evaluate"}
+ITERATIVE = {"als_recommend", "als_grid", "als_evaluate", "als_train_eval"}
 
 
 def plan(df) -> str:
