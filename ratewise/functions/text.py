@@ -19,8 +19,10 @@ from pyspark.sql import functions as F
 
 # The Java whitespace class and number grammars matched by the parsers.
 JAVA_WS_EDGES = r"^[\x00-\x20]+|[\x00-\x20]+\z"
-JAVA_INT = r"^[+-]?[0-9]+$"
-JAVA_DECIMAL = r"^[\x00-\x20]*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?[\x00-\x20]*$"
+JAVA_INT = r"^[+-]?[0-9]+\z"
+JAVA_DECIMAL = (r"^[\x00-\x20]*[+-]?(NaN|Infinity|"
+                r"(([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?"
+                r"|0[xX]([0-9a-fA-F]+\.?[0-9a-fA-F]*|\.[0-9a-fA-F]+)[pP][+-]?[0-9]+)[fFdD]?)[\x00-\x20]*$")
 
 
 def _col(c) -> Column:

@@ -41,6 +41,11 @@ def test_java_numbers(spark):
     assert one(spark, "2.5", java_double(F.col("v"))) == 2.5
     assert one(spark, "1e3", java_double(F.col("v"))) == 1000.0
     assert one(spark, "n/a", java_double(F.col("v"))) is None
+    # the rest of Java's floating literal grammar
+    assert one(spark, "2.5d", java_double(F.col("v"))) == 2.5
+    assert one(spark, "0x1p1", java_double(F.col("v"))) == 2.0
+    assert one(spark, "-Infinity", java_double(F.col("v"))) == float("-inf")
+    assert one(spark, "inf", java_double(F.col("v"))) is None      # Spark would accept, Java does not
 
 
 def test_encoders_golden(spark):
