@@ -21,7 +21,7 @@ from ratewise.operators.recommend import (
 from ratewise.operators.upsert import UpsertStore, apply_actions, classify
 from ratewise.plans import views as V
 from ratewise.session import scratch_path
-from ratewise.sources.tables import read_table, save_table
+from ratewise.sources.tables import cut_lineage, read_table, save_table
 
 K = 5                    # items per recommendation (the reference's recommendNum)
 TRAIN_FRACTION = 0.6     # sorted split
@@ -196,14 +196,17 @@ def q_encode_scored(spark, d):
 
 # ---------------------------------------------------------------- recommendation with cold start, upsert
 
-def _recommend_ids(spark, d, users):
+def _recommend_ids(spark, d, users, ratings=None):
+    ratings = V.ratings(spark, d) if ratings is None else ratings
     recs = recommend(users, V.user_factors(spark, d), V.item_factors(spark, d), K, "popular",
-                     popular.top_items_row(V.ratings(spark, d), K))
+                     popular.top_items_row(ratings, K))
     return recs.select("user_id", encode_ids("recommendations").alias("res"), "known")
 
 
 def q_recommend_cold_start(spark, d):
-    return _recommend_ids(spark, d, popular.distinct_users(V.ratings(spark, d)))
+    # ratings feed both the user list and the popular list: derived once, read twice
+    ratings = cut_lineage(V.ratings(spark, d))
+    return _recommend_ids(spark, d, popular.distinct_users(ratings), ratings)
 
 
 def _incoming(spark, d):
