@@ -96,10 +96,12 @@ def start(messages: DataFrame, fn: Callable[[DataFrame, int], None], checkpoint_
 
 
 def console(messages: DataFrame, checkpoint_location: str, processing_time: str = f"{BATCH_SECONDS} seconds",
-            num_rows: int = 20) -> StreamingQuery:
+            num_rows: int = 20, available_now: bool = False) -> StreamingQuery:
     """Print each batch (debugging)."""
-    return (messages.writeStream.format("console").option("numRows", num_rows).option("truncate", "false")
-            .option("checkpointLocation", checkpoint_location).trigger(processingTime=processing_time).start())
+    w = (messages.writeStream.format("console").option("numRows", num_rows).option("truncate", "false")
+         .option("checkpointLocation", checkpoint_location))
+    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time)
+    return w.start()
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
