@@ -125,5 +125,19 @@ class UpsertStore:
         self._write(actions.filter(F.col("action") != SKIP), version)
         return actions
 
-    def compact(self, version: int) -> None:
-        self._write(self.state(before=version), version)
+    def compact(self, version: int, drop_older: bool = True) -> None:
+        """Write the current state as base version ``version`` (an unused, higher number) and,
+        with ``drop_older``, delete the versions it replaces so the log stops growing.
+
+        The state is frozen in the checkpoint folder first: the versions it is read from are
+        deleted afterwards."""
+        base = cut_lineage(self.state(before=version))
+        self._write(base, version)
+        if drop_older:
+            jvm = self.spark.sparkContext._jvm
+            root = jvm.org.apache.hadoop.fs.Path(self.path)
+            fs = root.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+            for st in fs.listStatus(root):
+                name = st.getPath().getName()
+                if name.startswith("version=") and int(name.split("=", 1)[1]) < version:
+                    fs.delete(st.getPath(), True)

@@ -129,3 +129,15 @@ def test_option_builders():
         jdbc_options("jdbc:x", "t", partition_column="user_id")
     sql = upsert_statements("rec_user", "rec_user_stage")
     assert sql[0].startswith("UPDATE rec_user") and sql[1].startswith("INSERT INTO rec_user")
+
+
+def test_compact_drops_replaced_versions(spark):
+    target, incoming = frames(spark)
+    path = scratch_path(spark, "t-compact")
+    store = UpsertStore(spark, path).init(target, 0)
+    store.write_batch(1, incoming, DAY)
+    before = sorted(tuple(r) for r in store.state().collect())
+    store.compact(store.next_version())
+    assert sorted(tuple(r) for r in store.state().collect()) == before
+    local = path.replace("file:", "")
+    assert sorted(n for n in os.listdir(local) if n.startswith("version=")) == ["version=2"]
