@@ -51,12 +51,14 @@ class RecommendBatch:
 
     ``store``      an ``UpsertStore`` (K8 sink); ``None`` for the V2 mode without a write (T5)
     ``sink``       optional callable ``(encoded_batch_df, batch_id)`` for other outputs
+    ``compact_every`` compact the store after every n-th batch (batch b writes version
+                   base + 2b; its compaction, when due, takes the odd number after it)
     """
 
     def __init__(self, user_factors: DataFrame, item_factors: DataFrame, popular: DataFrame | None,
                  store: UpsertStore | None = None, k: int = 5, cold_start: str = "popular",
                  day: str | None = None, strict: bool = True,
-                 sink: Callable[[DataFrame, int], None] | None = None):
+                 sink: Callable[[DataFrame, int], None] | None = None, compact_every: int | None = None):
         # loaded once per application and kept (memory, spilling to disk) for every batch
         self.user_factors = user_factors.persist(StorageLevel.MEMORY_AND_DISK)
         self.item_factors = item_factors.persist(StorageLevel.MEMORY_AND_DISK)
@@ -67,6 +69,7 @@ class RecommendBatch:
         self.day = day
         self.strict = strict
         self.sink = sink
+        self.compact_every = compact_every
         self.n_items = item_factors.count()   # fixed for the application (T10)
         # versions grow across restarts, also when a new checkpoint restarts batch ids at 0
         self.version_base = store.next_version() if store is not None else 0
@@ -79,7 +82,10 @@ class RecommendBatch:
                          n_items=self.n_items, n_users=n_users)
         out = encoded(recs, "ids")
         if self.store is not None:
-            self.store.write_batch(self.version_base + batch_id, out, self.day, n_incoming=n_users)
+            version = self.version_base + 2 * batch_id
+            self.store.write_batch(version, out, self.day, n_incoming=n_users)
+            if self.compact_every and (batch_id + 1) % self.compact_every == 0:
+                self.store.compact(version + 1)
         if self.sink is not None:
             self.sink(out, batch_id)
 

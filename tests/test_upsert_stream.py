@@ -74,11 +74,14 @@ def test_stream_recommend_end_to_end(spark):
     state = {r.user_id: (r.res, r.day) for r in store.state().collect()}
     assert state == {7: ("100_102", DAY), 8: ("101_102", DAY), 9: ("101_100", DAY)}
     # a restart with a new checkpoint replays both batches under new versions: nothing changes
-    fn2 = RecommendBatch(uf, vf, pop, store, k=2, day=DAY)
-    assert fn2.version_base == 3
+    fn2 = RecommendBatch(uf, vf, pop, store, k=2, day=DAY, compact_every=1)
+    assert fn2.version_base == 4        # batches wrote versions 1 and 3 (base 1, step 2)
     src2 = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(os.path.join(d, "*"))
     start(src2, fn2, scratch_path(spark, "t-ckpt2"), available_now=True).awaitTermination()
     assert {r.user_id: (r.res, r.day) for r in store.state().collect()} == state
+    # compaction after each replayed batch left one base version
+    local = store.path.replace("file:", "")
+    assert sorted(n for n in os.listdir(local) if n.startswith("version=")) == ["version=7"]
 
 
 def test_batch_users_distinct(spark):
