@@ -5,7 +5,7 @@
   train      --ratings-table T --model-base DIR [--grid] [--rank R --iters N --reg L]
   recommend  --model PATH --users-table T --out-table T [--k 5] [--cold-start drop|popular]
   stream     --model PATH --ratings-table T --messages DIR --store DIR --checkpoint DIR
-             [--marker PATH] [--kafka-servers S --topic T] [--max-offsets N]
+             [--marker PATH] [--kafka-servers S --topic T] [--max-offsets N] [--compact-every N]
 
 Connection settings come from arguments and Spark conf only; nothing is hard-coded.
 """
@@ -65,6 +65,7 @@ def main(argv=None) -> None:
     st.add_argument("--checkpoint", required=True)
     st.add_argument("--marker")
     st.add_argument("--k", type=int, default=5)
+    st.add_argument("--compact-every", type=int)
 
     a = ap.parse_args(argv)
     spark = _session()
@@ -97,7 +98,7 @@ def main(argv=None) -> None:
             messages = spark.readStream.schema("key string, value string").parquet(a.messages)
         q = jobs.stream_recommend(spark, messages.select("value"), model.userFactors, model.itemFactors,
                                   read_table(spark, a.ratings_table, ["movie_id"]), a.checkpoint,
-                                  store_path=a.store, k=a.k, marker=a.marker)
+                                  store_path=a.store, k=a.k, marker=a.marker, compact_every=a.compact_every)
         if not a.marker:
             q.awaitTermination()
 

@@ -113,14 +113,16 @@ def stream_recommend(spark: SparkSession, messages: DataFrame, user_factors: Dat
                      ratings: DataFrame, checkpoint_location: str, store_path: str | None = None,
                      sink: Callable[[DataFrame, int], None] | None = None, k: int = 5,
                      cold_start: str = "popular", marker: str | None = None, poll_seconds: float = 60.0,
-                     processing_time: str = "3 seconds", available_now: bool = False):
+                     processing_time: str = "3 seconds", available_now: bool = False,
+                     compact_every: int | None = None):
     """Job 4: start the recommendation stream; with ``marker`` block until the marker file appears.
 
     The popular list is computed once and checkpointed (T10); ``store_path`` keeps the target as
     an ``UpsertStore``, ``sink`` is any other per-batch writer (``jdbc_upsert_sink``)."""
     pop = popular.top_items_row(ratings, k).checkpoint(eager=True) if cold_start == "popular" else None
     store = UpsertStore(spark, store_path) if store_path else None
-    fn = RecommendBatch(user_factors, item_factors, pop, store, k, cold_start, sink=sink)
+    fn = RecommendBatch(user_factors, item_factors, pop, store, k, cold_start, sink=sink,
+                        compact_every=compact_every)
     q = start(messages, fn, checkpoint_location, processing_time=processing_time, available_now=available_now)
     if marker:
         run_until_marker(spark, q, marker, poll_seconds)
