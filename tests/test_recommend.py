@@ -88,3 +88,15 @@ def test_as_arrays_rank_order(spark):
     rows = spark.createDataFrame([(1, 2, 7, 0.5), (1, 1, 9, 0.9)], "user_id int, rank int, movie_id int, rating double")
     r = as_arrays(rows).first()
     assert [x.movie_id for x in r.recommendations] == [9, 7]
+
+
+def test_no_known_users_and_no_items(spark):
+    uf, _ = factors(spark, [1, 2], 4, 7)
+    vf, _ = factors(spark, range(10, 20), 4, 8)
+    users = spark.createDataFrame([(5,), (6,)], "user_id int")
+    ratings = spark.createDataFrame([(1, 12)], "user_id int, movie_id int")
+    recs = recommend(users, uf, vf, 3, "popular", popular.top_items_row(ratings, 3)).collect()
+    assert sorted((r.user_id, [x.movie_id for x in r.recommendations], r.known) for r in recs) == [
+        (5, [12], False), (6, [12], False)]
+    empty_items = vf.limit(0)
+    assert top_k_rows(uf, empty_items, 3).count() == 0
