@@ -75,3 +75,22 @@ def test_metrics_against_python(spark):
 def test_best_by_first_wins(spark):
     m = spark.createDataFrame([(0, 1.5), (1, 1.2), (2, 1.2), (3, 2.0)], "candidate int, rmse double")
     assert best_by(m).first().candidate == 1
+
+
+def test_global_rank_spreads_copies(spark):
+    # a third of the rows are copies of one row
+    base = spark.range(3000).select((F.col("id") % 1000).cast("int").alias("user_id"),
+                                    F.col("id").cast("int").alias("movie_id"), F.lit(1.0).alias("rating"))
+    copies = spark.range(1500).select(F.lit(7).alias("user_id"), F.lit(7).alias("movie_id"), F.lit(3.0).alias("rating"))
+    df = base.unionByName(copies).repartition(6)
+    ranked = split.global_rank(df, split.train_order(), split_copies=True)
+    ranks = sorted(r["_rank"] for r in ranked.select("_rank").collect())
+    assert ranks == list(range(4500))
+    top = ranked.filter(F.col("_rank") < 1500).agg(F.min("rating")).first()[0]
+    assert top == 3.0                      # the copies (highest rating) take ranks 0..1499
+    sizes = [r["count"] for r in ranked.groupBy(F.spark_partition_id()).count().collect()]
+    assert max(sizes) < 1500               # the copies are spread over several partitions
+    # without the salt the 1500 copies would sit in one range partition
+    unsalted = split.global_rank(df, split.train_order(), freeze=True)
+    biggest = max(r["count"] for r in unsalted.groupBy(F.spark_partition_id()).count().collect())
+    assert biggest >= 1500
