@@ -1,6 +1,5 @@
 """Guards on physical plans: what each operator must (not) turn into."""
 
-import os
 
 import pytest
 

@@ -1,5 +1,4 @@
 import math
-import os
 
 from pyspark.sql import functions as F
 
