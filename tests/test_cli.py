@@ -1,0 +1,35 @@
+"""The command line runs the reference's jobs in their own Spark applications."""
+
+import json
+import os
+import subprocess
+import sys
+
+from ratewise.plans import views as V
+from ratewise.session import scratch_path
+
+from conftest import SF0001
+
+REPO = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+
+
+def _run(args, cwd):
+    env = {**os.environ, "PYTHONPATH": REPO}
+    out = subprocess.run([sys.executable, "-m", "ratewise", *args], cwd=cwd, env=env,
+                         capture_output=True, text=True, timeout=600)
+    assert out.returncode == 0, out.stderr[-2000:]
+    return out.stdout.strip().splitlines()[-1]
+
+
+def test_cli_etl_then_train(spark):
+    base = scratch_path(spark, "t-cli").replace("file:", "")
+    paths = {}
+    for name, view in (("movies", V.movies_lines), ("ratings", V.ratings_lines)):
+        paths[name] = os.path.join(base, name)
+        view(spark, SF0001).write.text(paths[name])
+    tables = json.loads(_run(["etl", "--movies", paths["movies"], "--ratings", paths["ratings"]], base))
+    assert tables == {"movies": "movies", "ratings": "ratings"}
+    ratings_dir = os.path.join(base, "spark-warehouse", "ratings")
+    out = json.loads(_run(["train", "--ratings-table", ratings_dir, "--model-base", os.path.join(base, "m"),
+                           "--rank", "2", "--iters", "2"], base))
+    assert os.path.isdir(out["model_path"]) and "/i_2_l0_0.006_" in out["model_path"]
