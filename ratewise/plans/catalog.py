@@ -316,6 +316,18 @@ def q_als_train_eval(spark, d):
     return als.evaluate(model, test, test, n_test).select("n_matched", "rmse", "rmse_fixed")
 
 
+def q_als_dcolon_eval(spark, d):
+    """P5 + O5 + M3 + A8: ``user::movie::rating::ts`` lines parsed strictly, seeded 0.8/0.2 random
+    split, ALS on ``userId``/``movieId``/``rating``, metrics on the held-out rows."""
+    from ratewise.operators import als
+    ratings = parse.parse_dcolon(V.dcolon_lines(spark, d))
+    train, test = split.random_split(ratings, (0.8, 0.2), seed=42)
+    model = als.fit_als(train, **als.DATAFRAME_CALL, user_col="userId", item_col="movieId")
+    pred = als.predict(model, test.select("userId", "movieId"))
+    matched = match_truth(pred, test, ("userId", "movieId"))
+    return regression_metrics(matched).select("n_matched", "rmse", "mse", "mae", "r2")
+
+
 QUERIES: dict[str, Query] = {
     "popular_items": q_popular_items,
     "row_counts": q_row_counts,
@@ -354,4 +366,5 @@ QUERIES: dict[str, Query] = {
     "als_grid": q_als_grid,
     "als_evaluate": q_als_evaluate,
     "als_train_eval": q_als_train_eval,
+    "als_dcolon_eval": q_als_dcolon_eval,
 }
