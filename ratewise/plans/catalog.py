@@ -277,7 +277,7 @@ def q_stream_replay(spark, d):
 # ---------------------------------------------------------------- ALS (checked by invariants, no SQL)
 
 def q_als_recommend(spark, d):
-    """M2 + S11/K11 + M6: fit on the train split, save, load, top-k for every known user."""
+    """M3 settings + S11/K11 + M6: fit on the train split, save, load, top-k for every known user."""
     from ratewise.operators import als
     from ratewise.sources.models import load_model, save_model
     train, _ = _split(spark, d, freeze=True)
