@@ -83,3 +83,16 @@ def test_parser_matches_model(spark, name, model, seed):
     want_bad = sorted(x for x in data if model(x) is FAIL)
     assert sorted(tuple(r) for r in good.collect()) == want_good
     assert sorted(r.value for r in rejects.collect()) == want_bad
+
+
+@pytest.mark.parametrize("sep", [",", "::"])
+def test_java_split_matches_model(spark, sep):
+    from pyspark.sql import functions as F
+
+    from ratewise.functions.text import java_split
+    rnd = random.Random(3)
+    data = sorted({"".join(rnd.choice(["a", ":", ",", " ", "b"]) for _ in range(rnd.randrange(0, 10)))
+                   for _ in range(3000)})
+    df = spark.createDataFrame([(x,) for x in data], "value string")
+    got = {r.value: list(r.f) for r in df.select("value", java_split(F.col("value"), sep).alias("f")).collect()}
+    assert got == {x: jsplit(x, sep) for x in data}
