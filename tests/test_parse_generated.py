@@ -64,6 +64,16 @@ def model_tag(line: str):
     return (uid, mid, jtrim(tag), jtrim(f[n - 1]))
 
 
+def model_link(line: str):
+    f = jsplit(line)
+    if len(f) < 3:
+        return None
+    mid = jint(jtrim(f[0]))
+    if mid is FAIL:
+        return FAIL
+    return (mid, jtrim(f[1]), jtrim(f[2]))
+
+
 def lines(seed: int, count: int = 3000):
     rnd = random.Random(seed)
     out = set()
@@ -74,7 +84,8 @@ def lines(seed: int, count: int = 3000):
     return sorted(out)
 
 
-@pytest.mark.parametrize("name,model,seed", [("movies", model_movie, 1), ("tags", model_tag, 2)])
+@pytest.mark.parametrize("name,model,seed", [("movies", model_movie, 1), ("tags", model_tag, 2),
+                                             ("links", model_link, 4)])
 def test_parser_matches_model(spark, name, model, seed):
     data = lines(seed)
     df = spark.createDataFrame([(x,) for x in data], "value string")
