@@ -94,3 +94,19 @@ def test_global_rank_spreads_copies(spark):
     unsalted = split.global_rank(df, split.train_order(), freeze=True)
     biggest = max(r["count"] for r in unsalted.groupBy(F.spark_partition_id()).count().collect())
     assert biggest >= 1500
+
+
+def test_global_rank_generated_ties(spark):
+    rnd = random.Random(11)
+    rows = {(rnd.randrange(5000), rnd.randrange(5000)): rnd.choice([1.0, 2.0, 3.0]) for _ in range(20000)}
+    data = [(u, m, r) for (u, m), r in rows.items()]
+    df = spark.createDataFrame(data, "user_id int, movie_id int, rating double").repartition(13)
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    try:
+        got = {(r.user_id, r.movie_id): r["_rank"] for r in
+               split.global_rank(df, split.train_order()).select("user_id", "movie_id", "_rank").collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+    order = sorted(data, key=lambda t: (-t[2], t[0], t[1]))
+    assert got == {(u, m): i for i, (u, m, _) in enumerate(order)}
