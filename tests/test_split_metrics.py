@@ -110,3 +110,20 @@ def test_global_rank_generated_ties(spark):
         spark.conf.set("spark.sql.shuffle.partitions", old)
     order = sorted(data, key=lambda t: (-t[2], t[0], t[1]))
     assert got == {(u, m): i for i, (u, m, _) in enumerate(order)}
+
+
+def test_split_bucket_is_plain_integer_arithmetic(spark):
+    rnd = random.Random(13)
+    pairs = [(rnd.randrange(-2**31, 2**31), rnd.randrange(-2**31, 2**31)) for _ in range(3000)]
+    df = spark.createDataFrame(pairs, "user_id int, movie_id int")
+    got = [r.b for r in df.select(split.split_bucket(("user_id", "movie_id")).alias("b")).collect()]
+
+    def bucket(u, m):
+        x = 0
+        for k in (u, m):
+            x = (x * split.KEY_STRIDE + k % split.KEY_STRIDE) % split.MINSTD_M
+        for _ in range(2):
+            x = x * split.MINSTD_A % split.MINSTD_M
+        return x % 1000
+
+    assert got == [bucket(u, m) for u, m in pairs]
