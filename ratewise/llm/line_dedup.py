@@ -49,9 +49,12 @@ def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN
              .filter(F.char_length("_key") >= min_chars)
              .select("_id", "_th", "_pos", F.xxhash64("_key").alias("_k1"), F.xxhash64(F.lit(7), "_key").alias("_k2")))
     keys = ["_k1", "_k2"]
-    often = lines.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") >= min_docs).select(*keys)
+    # both small tables are written first: a join against a plain scan lets adaptive execution
+    # split the rows of a hot line, which it cannot do against an aggregate on the same keys
+    often = cut_lineage(lines.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") >= min_docs).select(*keys))
     hits = cut_lineage(lines.join(often, keys))        # read twice below
-    drop = (hits.groupBy(*keys, "_id").agg(F.count(F.lit(1)).alias("_n"))
+    drop = cut_lineage(
+            hits.groupBy(*keys, "_id").agg(F.count(F.lit(1)).alias("_n"))
             .groupBy(*keys).agg(F.count(F.lit(1)).alias("_docs"), F.max("_id").alias("_keep"))
             .filter(F.col("_docs") >= min_docs).select(*keys, "_keep"))
     gone = (hits.join(drop, keys).filter(~F.col("_id").eqNullSafe(F.col("_keep")))

@@ -62,11 +62,8 @@ def source_rates(docs: DataFrame, weights: dict[str, float] | None = None, alpha
         given = spark.createDataFrame([(k, float(v)) for k, v in weights.items()], "wsource string, weight double")
         weighted = (mass.join(given, F.col("source").cast("string").eqNullSafe(F.col("wsource")), "left")
                     .select("source", "mass", F.coalesce("weight", F.lit(0.0)).alias("weight")))
-    total = weighted.agg(F.sum("mass").alias("tm"), F.sum("weight").alias("tw"))
-    # one row of totals, not a cross join of data
-    return (weighted.withColumn("_one", F.lit(1)).join(total.withColumn("_one", F.lit(1)), "_one")
-            .select("source", "mass", F.when(F.col("tw") > 0, F.col("tm") * F.col("weight") / F.col("tw") / F.col("mass"))
-                    .otherwise(0.0).alias("rate")))
+    tm, tw = weighted.agg(F.sum("mass")).scalar(), weighted.agg(F.sum("weight")).scalar()
+    return weighted.select("source", "mass", F.when(tw > 0, tm * F.col("weight") / tw / F.col("mass")).otherwise(0.0).alias("rate"))
 
 
 def mix(docs: DataFrame, weights: dict[str, float] | None = None, alpha: float = ALPHA, seed: int = SEED,
