@@ -37,9 +37,11 @@ from pyspark.sql import functions as F
 from ratewise.llm.common import packed, quoted, small_batches
 
 SPACE = "▁"
-CACHE_CHUNKS = 400_000        # distinct chunks a worker remembers; beyond it, it starts anew
+CACHE_CHUNKS = 400_000        # distinct chunks a worker remembers
 GROUP_CHARS = 6_000_000       # text handled together
 INDEX_CHARS = 1_500_000       # characters of distinct chunks in one suffix array
+MEMO_PAIRS = 4_000_000        # pairs of pieces a worker remembers
+PAIR = 1 << 32                # two tokens in one integer
 _CHUNK = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 
 
@@ -77,7 +79,9 @@ class Vocabulary:
         self.piece_code = np.full((len(self.by_start), self.longest), -1, dtype=np.int64)
         for k, p in enumerate(self.by_start):
             self.piece_code[k, :len(p)] = [ord(c) for c in p]
-        self.pairs: dict[tuple[str, str], bool] = {}
+        self.pair_keys = np.array([-1], dtype=np.int64)
+        self.pair_fits = np.zeros(1, dtype=bool)
+        self.fresh: dict[int, bool] = {}
 
     def merged(self, text: str) -> list[str]:
         """Merging by best score, leftmost first, from single characters."""
@@ -93,16 +97,33 @@ class Vocabulary:
             s[at:at + 2] = [s[at] + s[at + 1]]
         return s
 
-    def fits(self, left: str, right: str) -> bool:
-        """Whether the two pieces side by side stay as they are."""
-        if left[-1] + right[0] not in self.joined:
-            return True
-        got = self.pairs.get((left, right))
-        if got is None:
-            if len(self.pairs) > 1_000_000:
-                self.pairs.clear()
-            got = self.pairs[left, right] = self.merged(left + right) == [left, right]
-        return got
+    def name(self, token: int) -> str:
+        """A piece, or the character of a token beyond the vocabulary."""
+        return self.pieces[token] if token < self.size else chr(token - self.size)
+
+    def fits(self, keys: np.ndarray) -> np.ndarray:
+        """For sorted pairs ``left * PAIR + right``: whether the two side by side stay as they are.
+
+        What is known is a sorted table, new pairs wait in a dict until there are enough."""
+        at = np.minimum(np.searchsorted(self.pair_keys, keys), len(self.pair_keys) - 1)
+        out = self.pair_fits[at]
+        unseen = np.flatnonzero(self.pair_keys[at] != keys)
+        fresh = self.fresh
+        for i, k in zip(unseen.tolist(), keys[unseen].tolist()):
+            got = fresh.get(k)
+            if got is None:
+                left, right = self.name(k // PAIR), self.name(k % PAIR)
+                got = fresh[k] = left[-1] + right[0] not in self.joined or self.merged(left + right) == [left, right]
+            out[i] = got
+        if len(fresh) > MEMO_PAIRS // 16:
+            if len(self.pair_keys) > MEMO_PAIRS:
+                self.pair_keys, self.pair_fits = self.pair_keys[:1], self.pair_fits[:1]
+            keys = np.concatenate((self.pair_keys, np.fromiter(fresh.keys(), np.int64, len(fresh))))
+            order = np.argsort(keys)
+            self.pair_keys = keys[order]
+            self.pair_fits = np.concatenate((self.pair_fits, np.fromiter(fresh.values(), bool, len(fresh))))[order]
+            fresh.clear()
+        return out
 
 
 @lru_cache(maxsize=2)
@@ -111,7 +132,7 @@ def vocabulary(path: str) -> Vocabulary:
 
 
 def suffix_array(codes: np.ndarray, depth: int) -> np.ndarray:
-    """Starts of all suffixes, sorted by their first ``depth`` codes (ties by start)."""
+    """Starts of all suffixes, sorted by their first ``depth`` codes."""
     n = len(codes)
     rank = np.unique(codes, return_inverse=True)[1].astype(np.int64) + 1
     span, bits = 1, max(1, int(rank.max()).bit_length())
@@ -122,7 +143,7 @@ def suffix_array(codes: np.ndarray, depth: int) -> np.ndarray:
         span = 4
     else:
         key = rank
-    order = np.argsort(key, kind="stable")
+    order = np.argsort(key)
     while True:
         k = key[order]
         new = np.empty(n, dtype=np.int64)
@@ -132,7 +153,7 @@ def suffix_array(codes: np.ndarray, depth: int) -> np.ndarray:
         later = np.zeros(n, dtype=np.int64)
         later[:n - span] = new[span:] if span < n else 0
         key = new * (n + 1) + later
-        order = np.argsort(key, kind="stable")
+        order = np.argsort(key)
         span *= 2
 
 
@@ -191,29 +212,26 @@ def encode_chunks(chunks: list[str], v: Vocabulary) -> list[bytes]:
     low, high = occurrences(codes, sa, v)
     # the edges: every occurrence of every piece, and single characters without a piece
     n_occ = high - low
-    which = np.repeat(np.arange(len(n_occ)), n_occ)
-    offset = np.arange(n_occ.sum()) - np.repeat(np.cumsum(n_occ) - n_occ, n_occ)
-    start = sa[np.repeat(low, n_occ) + offset]
-    length, token = v.piece_len[which], v.piece_ids[which]
+    place = np.arange(n_occ.sum()) + np.repeat(low - np.cumsum(n_occ) + n_occ, n_occ)
+    start = sa.astype(np.int32)[place]
+    length, token = np.repeat(v.piece_len.astype(np.int32), n_occ), np.repeat(v.piece_ids.astype(np.int32), n_occ)
     has_char = np.zeros(len(codes), dtype=bool)
     has_char[start[length == 1]] = True
     has_char[ends_of] = True
-    bare = np.flatnonzero(~has_char)
+    bare = np.flatnonzero(~has_char).astype(np.int32)
     start = np.concatenate((start, bare))
-    length = np.concatenate((length, np.ones(len(bare), dtype=np.int64)))
-    token = np.concatenate((token, v.size + codes[bare]))
+    length = np.concatenate((length, np.ones(len(bare), dtype=np.int32)))
+    token = np.concatenate((token, (v.size + codes[bare]).astype(np.int32)))
     end = start + length
     # relax in order of the end's offset in its chunk, all chunks side by side
-    step = end - first[chunk_of[start]]
-    order = np.argsort(step, kind="stable")
+    step = end - first.astype(np.int32)[chunk_of][start]
+    order = np.argsort(step.astype(np.uint16) if step.max(initial=0) < 65536 else step, kind="stable")
     start, end, token, step = start[order], end[order], token[order], step[order]
     bounds = np.searchsorted(step, np.arange(1, int(step.max()) + 2)) if len(step) else np.zeros(1, dtype=np.int64)
-    into = np.full(len(codes) + 1, -1, dtype=np.int64)   # piece that ends at a position
-    back = np.full(len(codes) + 1, -1, dtype=np.int64)
+    into = np.full(len(codes) + 1, -1, dtype=np.int32)   # piece that ends at a position
+    back = np.full(len(codes) + 1, -1, dtype=np.int32)
     is_first = np.zeros(len(codes) + 1, dtype=bool)
     is_first[first] = True
-    space = v.size + 0x110000
-    name = lambda t: v.pieces[t] if t < v.size else chr(t - v.size)
     for a, b in zip(bounds[:-1], bounds[1:]):
         if a == b:
             continue
@@ -222,9 +240,8 @@ def encode_chunks(chunks: list[str], v: Vocabulary) -> list[bytes]:
         ok = is_first[s].copy()
         test = np.flatnonzero(~ok & (before >= 0))
         if len(test):
-            key, inverse = np.unique(before[test] * space + t[test], return_inverse=True)
-            good = np.fromiter((v.fits(name(k // space), name(k % space)) for k in key.tolist()), dtype=bool, count=len(key))
-            ok[test] = good[inverse]
+            key, inverse = np.unique(before[test].astype(np.int64) * PAIR + t[test], return_inverse=True)
+            ok[test] = v.fits(key)[inverse]
         e = end[a:b][ok]
         into[e] = t[ok]
         back[e] = s[ok]
@@ -263,13 +280,20 @@ class Codec:
     def __init__(self, path: str):
         self.v = vocabulary(path)
         self.known: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
 
     def _learn(self, chunks: set[str]) -> None:
-        new = [c for c in chunks if c not in self.known]
-        if len(self.known) + len(new) > CACHE_CHUNKS:
-            self.known.clear()
-            new = list(chunks)
-        new.sort()
+        """Have all of ``chunks`` in ``known``; what two turns did not use is forgotten."""
+        if len(self.known) + len(chunks) > CACHE_CHUNKS // 2:
+            self.old, self.known = self.known, {}
+        new = []
+        for c in chunks:
+            if c not in self.known:
+                ids = self.old.get(c)
+                if ids is None:
+                    new.append(c)
+                else:
+                    self.known[c] = ids
         group, size = [], 0
         for c in new:
             group.append(c)
