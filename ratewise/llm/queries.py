@@ -5,7 +5,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ratewise.llm import line_dedup, mixing, quality, sentencepiece_codec, simhash_dedup
+from ratewise.llm import (
+    imatch, language_mixture, line_dedup, mixing, nn_descent, quality, sentencepiece_codec, simhash_dedup, suffix_dedup,
+    url_filter,
+)
 from ratewise.llm.common import sha256_text, table
 
 
@@ -14,6 +17,22 @@ def crc_mod(column: str, m: int):
     return F.crc32(F.col(column).cast("string").cast("binary")) % m
 
 
+def q_imatch(spark, d):
+    return imatch.edited_pairs(table(spark, d, "documents"))
+
+
+def q_url_filter(spark, d):
+    return url_filter.judge(table(spark, d, "pages"))
+
+
+def q_language(spark, d):
+    docs = table(spark, d, "documents")
+    held = F.coalesce(crc_mod("doc_id", 4) == 2, F.lit(False))
+    model = language_mixture.fit(docs.filter(~held))
+    return docs.select("doc_id", held.alias("held_out"), language_mixture.predict_column(F.col("text"), model).alias("o")).select(
+        "doc_id", "held_out", "o.lang_pred", "o.score", "o.languages", "o.proportions")
+
+
 def q_mix(spark, d):
     out = mixing.mix(table(spark, d, "documents"))
     return out.select("_row.doc_id", "_row.source", "copy", "shuffle_key",
@@ -44,10 +63,24 @@ def q_quality(spark, d):
             .withColumn("predicted", (F.col("score") >= quality.CUT).cast("int")))
 
 
+def q_neighbours(spark, d):
+    return nn_descent.nearest(table(spark, d, "embeddings"), F.col("id") % 20 == 0)
+
+
+def q_suffix_dedup(spark, d):
+    out = suffix_dedup.dedup_substrings(table(spark, d, "documents"))
+    return out.select("_row.doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 QUERIES = {
+    "op1_imatch": q_imatch,
     "op2_mix_sources": q_mix,
+    "op3_nn_descent": q_neighbours,
+    "op4_url_filter": q_url_filter,
+    "op5_language_mixture": q_language,
     "op6_simhash_near_dedup": q_simhash,
     "op7_line_dedup": q_line_dedup,
     "op8_sentencepiece": q_sentencepiece,
     "op9_quality": q_quality,
+    "op10_suffix_dedup": q_suffix_dedup,
 }

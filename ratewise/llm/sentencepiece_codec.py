@@ -85,16 +85,19 @@ class Vocabulary:
 
     def merged(self, text: str) -> list[str]:
         """Merging by best score, leftmost first, from single characters."""
-        s, score = list(text), self.score
-        while len(s) > 1:
-            best, at = None, -1
-            for i in range(len(s) - 1):
-                v = score.get(s[i] + s[i + 1])
-                if v is not None and (best is None or v > best):
-                    best, at = v, i
-            if at < 0:
+        s, score, none = list(text), self.score, float("-inf")
+        pairs = [score.get(a + b, none) for a, b in zip(s, s[1:])]
+        while pairs:
+            best = max(pairs)
+            if best == none:
                 break
-            s[at:at + 2] = [s[at] + s[at + 1]]
+            i = pairs.index(best)
+            s[i:i + 2] = [s[i] + s[i + 1]]
+            del pairs[i]
+            if i:
+                pairs[i - 1] = score.get(s[i - 1] + s[i], none)
+            if i < len(pairs):
+                pairs[i] = score.get(s[i] + s[i + 1], none)
         return s
 
     def name(self, token: int) -> str:
