@@ -39,8 +39,8 @@ LEAF, LEAF_MAX = 1000, 2500       # wanted and largest cell of the start graph
 ROUNDS = 2
 CHUNK = 512                       # nodes pointing to one node that are joined in one piece
 GROUP = 20_000                    # messages joined in one group
-BEAM = 80
-EXPAND = 40                       # nodes of a beam expanded in one round
+BEAM = 120
+EXPAND = 30                       # nodes of a beam expanded in one round
 PIVOTS = 256                      # sampled entry nodes (smallest md5 of the id)
 SEED = 5
 
