@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import gc
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,6 +24,13 @@ def small_batches(spark: SparkSession, rows: int = ARROW_ROWS) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark's cleaner delete the shuffle files of plans that nothing refers to any more: it
+    learns of them when the driver collects its garbage, by default only each half hour."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def quoted(name: str) -> Column:
     """A column by its exact name, dots and spaces included."""
     return F.col("`" + name.replace("`", "``") + "`")

@@ -11,8 +11,8 @@ only suffixes that can matter are ever listed:
      pointer stands for the run of windows that chose it.  A bucket with one pointer is done.
   2. Refinement of a whole run: pointers whose run (all bytes of all its windows) is equal share a
      sub-bucket; all but its first are repeats, in one step.
-  3. Refinement by offset: the firsts that remain are split into four blocks of window offsets;
-     a block survives if the 85 bytes that all its windows share occur elsewhere in the bucket.
+  3. Refinement by offset: the firsts that remain are split into eight blocks of window offsets;
+     a block survives if the 93 bytes that all its windows share occur elsewhere in the bucket.
   4. The surviving windows are compared on 128-bit hashes of their ``MATCH`` bytes; all but the
      first of each are repeats.
 Buckets hold about ``BUCKET_BYTES`` of text's pointers each.  A q-gram that holds over ``HOT_SHARE``
@@ -34,12 +34,12 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ratewise.llm.common import packed, quoted, small_batches
+from ratewise.llm.common import packed, quoted, release, small_batches
 from ratewise.session import scratch_path
 from ratewise.sources.tables import cut_lineage
 
 MATCH, Q, WINDOW = 100, 37, 64
-BLOCKS, BLOCK = 4, 16                 # window offsets 0..63 in four blocks of 16
+BLOCKS, BLOCK = 8, 8                  # window offsets 0..63 in eight blocks of 8
 CORE = MATCH - BLOCK + 1              # bytes that all windows of a block share
 SLICE = 1 << 19                       # bytes hashed at once
 HELD_BYTES = 8 << 20                  # text whose pointers a task holds before it hands them on
@@ -78,7 +78,7 @@ def pointers(buffer: bytes, ends: np.ndarray) -> dict[str, np.ndarray] | None:
     """Pointers of all windows in ``buffer``, several texts put together, that end at ``ends``.
 
     ``at``: the pointer, ``lo``/``hi``: first and last window start of its run, ``h``: its q-gram's
-    hash, ``run``: the hash of all the run's bytes, ``core``: 8 bits for each block of offsets."""
+    hash, ``run``: the hash of all the run's bytes, ``core``: 32 bits for each block of offsets."""
     n = len(buffer)
     if n < MATCH:
         return None
@@ -104,10 +104,10 @@ def pointers(buffer: bytes, ends: np.ndarray) -> dict[str, np.ndarray] | None:
     lo, hi, at = start[new], start[np.concatenate((new[1:], [len(start)])) - 1], at[new]
     near, far = at - hi, at - lo                                # offsets of the pointer in its windows
     run = hashed(lo, hi - lo + MATCH) ^ _mix((near * 64 + far).astype(np.uint64))
-    core = np.zeros((len(at), BLOCKS), dtype=np.uint8)
+    core = np.zeros((len(at), BLOCKS), dtype=np.uint32)
     for b in range(BLOCKS):
         has = (near < (b + 1) * BLOCK) & (far >= b * BLOCK)
-        core[has, b] = hashed(at[has] - b * BLOCK, CORE).astype(np.uint8)
+        core[has, b] = hashed(at[has] - b * BLOCK, CORE).astype(np.uint32)
     return {"at": at, "lo": lo, "hi": hi, "h": grams[at], "run": run, "core": core}
 
 
@@ -145,13 +145,13 @@ def found(pdf: pd.DataFrame):
             continue
         part = np.searchsorted(ends, p["lo"], side="right")
         yield {"id": did[part], "tag": dtag[part], "lo": (p["lo"] + shift[part]).astype(np.int32),
-               "hi": (p["hi"] + shift[part]).astype(np.int32), "near": (p["at"] - p["hi"]).astype(np.uint8),
+               "span": (p["hi"] - p["lo"]).astype(np.uint8), "near": (p["at"] - p["hi"]).astype(np.uint8),
                "h": p["h"], "run": p["run"], "core": p["core"]}
 
 
 #: Columns of a bucket's block, in order, as they lie in its bytes.
-_BLOCK = (("id", "<i8", 1), ("tag", "<i4", 1), ("lo", "<i4", 1), ("hi", "<i4", 1), ("near", "u1", 1),
-          ("h", "<u4", 1), ("run", "<u8", 1), ("core", "u1", BLOCKS))
+_BLOCK = (("id", "<i8", 1), ("tag", "<i4", 1), ("lo", "<i4", 1), ("span", "u1", 1), ("near", "u1", 1),
+          ("h", "<u4", 1), ("run", "<u8", 1), ("core", "<u2", BLOCKS))
 
 
 def _pack(cols: dict, rows: np.ndarray) -> bytes:
@@ -172,30 +172,31 @@ def _unpack(blobs: list[bytes]) -> dict[str, np.ndarray]:
 
 def refined(c: dict[str, np.ndarray]) -> pd.DataFrame:
     """One bucket: ``sure`` byte ranges [a, b) that repeat, and windows a..b still to compare."""
-    order = np.lexsort((c["lo"], c["id"], c["near"], c["hi"] - c["lo"], c["run"], c["h"]))
+    order = np.lexsort((c["lo"], c["id"], c["near"], c["span"], c["run"], c["h"]))
     c = {k: v[order] for k, v in c.items()}
     h = c["h"]
     bucket = np.cumsum(np.concatenate(([0], (h[1:] != h[:-1]).astype(np.int64))))
     alone = np.bincount(bucket)[bucket] == 1
     c, bucket = {k: v[~alone] for k, v in c.items()}, bucket[~alone]
-    n, length = len(bucket), c["hi"] - c["lo"]
-    if not n:
+    if not len(bucket):
         return pd.DataFrame({"id": np.zeros(0, np.int64), "tag": np.zeros(0, np.int32), "a": np.zeros(0, np.int32),
                              "b": np.zeros(0, np.int32), "sure": np.zeros(0, bool)})
     # equal runs: all but the first of each sub-bucket repeat
     sub = np.concatenate(([True], (bucket[1:] != bucket[:-1]) | (c["run"][1:] != c["run"][:-1])
-                          | (length[1:] != length[:-1]) | (c["near"][1:] != c["near"][:-1])))
+                          | (c["span"][1:] != c["span"][:-1]) | (c["near"][1:] != c["near"][:-1])))
     first = np.flatnonzero(sub)[np.cumsum(sub) - 1]
     later = (c["id"] != c["id"][first]) | (c["lo"] != c["lo"][first])
-    out = [(c["id"][later], c["tag"][later], c["lo"][later], c["hi"][later] + MATCH, np.ones(later.sum(), bool))]
+    out = [(c["id"][later], c["tag"][later], c["lo"][later],
+            c["lo"][later] + c["span"][later] + MATCH, np.ones(later.sum(), bool))]
     # the firsts (and rows at the very same place): blocks of offsets whose shared bytes recur in the bucket
     left = ~later
     c, bucket, sub = {k: v[left] for k, v in c.items()}, bucket[left], sub[left]
-    near, far = c["near"].astype(np.int64), c["near"].astype(np.int64) + (c["hi"] - c["lo"])
-    at = c["hi"] + near
+    near = c["near"].astype(np.int64)
+    far = near + c["span"]
+    at = c["lo"] + far
     for b in range(BLOCKS):
         has = np.flatnonzero((near < (b + 1) * BLOCK) & (far >= b * BLOCK))
-        key = bucket[has] * 256 + c["core"][has, b]
+        key = bucket[has] * 65536 + c["core"][has, b]
         _, inverse, times = np.unique(key, return_inverse=True, return_counts=True)
         has = has[times[inverse] > 1]
         lo = np.maximum(at[has] - np.minimum(far[has], (b + 1) * BLOCK - 1), 0)
@@ -272,20 +273,34 @@ def bucket_ranges(rows: DataFrame, hot: np.ndarray, n_buckets: int) -> DataFrame
 
 def hot_ranges(rows: DataFrame, hot: np.ndarray) -> DataFrame:
     """The refinement of hot buckets by aggregations: equal runs, then all windows of the firsts."""
+    cores = [f"c{b}" for b in range(BLOCKS)]
+
     def deal(batches):
         for pdf in batches:
             for p in found(pdf):
                 warm = np.isin(p["h"], hot)
                 yield pd.DataFrame({"h": p["h"][warm].view(np.int64), "run": p["run"][warm].view(np.int64),
-                                    "near": p["near"][warm].astype(np.int32), "id": p["id"][warm], "tag": p["tag"][warm],
-                                    "a": p["lo"][warm], "b": p["hi"][warm]})
+                                    "near": p["near"][warm].astype(np.int32), "span": p["span"][warm].astype(np.int32),
+                                    "id": p["id"][warm], "tag": p["tag"][warm], "lo": p["lo"][warm]}
+                                   | {c: p["core"][warm, b].view(np.int32) for b, c in enumerate(cores)})
 
-    runs = cut_lineage(rows.mapInPandas(deal, "h long, run long, near int, id long, tag int, a int, b int"))
+    kind = "h long, run long, near int, span int, id long, tag int, lo int, " + ", ".join(f"{c} int" for c in cores)
+    runs = cut_lineage(rows.mapInPandas(deal, kind).withColumn("place", _place("id", "lo")))
     same = ["h", "run", "near", "span"]
-    runs = runs.withColumn("span", F.col("b") - F.col("a")).withColumn("place", _place("id", "a"))
     firsts = cut_lineage(runs.groupBy(*same).agg(F.min("place").alias("first")))
-    told = runs.join(firsts, same).select("id", "tag", "a", "b", (F.col("place") > F.col("first")).alias("sure"))
-    return told.select("id", "tag", "a", F.when(F.col("sure"), F.col("b") + MATCH).otherwise(F.col("b")).alias("b"), "sure")
+    told = runs.join(firsts, same)
+    sure = told.filter("place > first").select("id", "tag", F.col("lo").alias("a"), (F.col("lo") + F.col("span") + MATCH).alias("b"),
+                                               F.lit(True).alias("sure"))
+    far = F.col("near") + F.col("span")
+    block = [F.when((F.col("near") < (b + 1) * BLOCK) & (far >= b * BLOCK), F.struct(
+        F.lit(b).alias("block"), F.col(c).alias("core"),
+        (F.col("lo") + far - F.least(far, F.lit((b + 1) * BLOCK - 1))).alias("a"),
+        (F.col("lo") + far - F.greatest(F.col("near"), F.lit(b * BLOCK))).alias("b"))) for b, c in enumerate(cores)]
+    blocks = cut_lineage(told.filter("place = first").select("h", "id", "tag", F.explode(F.array_compact(F.array(*block))).alias("x"))
+                         .select("h", "id", "tag", "x.*"))
+    shared = ["h", "block", "core"]
+    recur = cut_lineage(blocks.groupBy(*shared).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select(*shared))
+    return sure.unionByName(blocks.join(recur, shared).select("id", "tag", "a", "b", F.lit(False).alias("sure")))
 
 
 def _place(id_col: str, at: str):
@@ -304,6 +319,7 @@ def repeats(rows: DataFrame) -> DataFrame:
     path = scratch_path(spark, "ranges")
     ranges.write.parquet(path)
     ranges = spark.read.schema(_RANGES).parquet(path)
+    release(spark)          # the buckets are written down: their shuffle files may go
 
     todo = ranges.filter(~F.col("sure")).groupBy("id", "tag").agg(F.collect_set(F.struct("a", "b")).alias("spots"))
 
@@ -328,6 +344,7 @@ def repeats(rows: DataFrame) -> DataFrame:
     # a written table: it is read twice, and the text is moved once for it
     path = scratch_path(spark, "windows")
     rows.join(todo, ["id", "tag"]).mapInPandas(windows, "id long, tag int, p int, h1 long, h2 long").write.parquet(path)
+    release(spark)
     w = spark.read.parquet(path).withColumn("place", _place("id", "p"))
     firsts = cut_lineage(w.groupBy("h1", "h2").agg(F.min("place").alias("first"), F.count(F.lit(1)).alias("n"))
                          .filter("n > 1").select("h1", "h2", "first"))
