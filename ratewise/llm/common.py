@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import gc
+import contextlib
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,11 +24,17 @@ def small_batches(spark: SparkSession, rows: int = ARROW_ROWS) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
 
 
-def release(spark: SparkSession) -> None:
-    """Let Spark's cleaner delete the shuffle files of plans that nothing refers to any more: it
-    learns of them when the driver collects its garbage, by default only each half hour."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+@contextlib.contextmanager
+def finished_shuffles_deleted(spark: SparkSession):
+    """Within it, a plan's shuffle files go as soon as its result is written (Spark else keeps them
+    until the driver happens to collect its garbage).  For steps that end in written tables."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, "false")
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
 
 
 def quoted(name: str) -> Column:

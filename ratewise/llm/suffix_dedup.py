@@ -34,7 +34,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ratewise.llm.common import packed, quoted, release, small_batches
+from ratewise.llm.common import finished_shuffles_deleted, packed, quoted, small_batches
 from ratewise.session import scratch_path
 from ratewise.sources.tables import cut_lineage
 
@@ -319,7 +319,6 @@ def repeats(rows: DataFrame) -> DataFrame:
     path = scratch_path(spark, "ranges")
     ranges.write.parquet(path)
     ranges = spark.read.schema(_RANGES).parquet(path)
-    release(spark)          # the buckets are written down: their shuffle files may go
 
     todo = ranges.filter(~F.col("sure")).groupBy("id", "tag").agg(F.collect_set(F.struct("a", "b")).alias("spots"))
 
@@ -344,7 +343,6 @@ def repeats(rows: DataFrame) -> DataFrame:
     # a written table: it is read twice, and the text is moved once for it
     path = scratch_path(spark, "windows")
     rows.join(todo, ["id", "tag"]).mapInPandas(windows, "id long, tag int, p int, h1 long, h2 long").write.parquet(path)
-    release(spark)
     w = spark.read.parquet(path).withColumn("place", _place("id", "p"))
     firsts = cut_lineage(w.groupBy("h1", "h2").agg(F.min("place").alias("first"), F.count(F.lit(1)).alias("n"))
                          .filter("n > 1").select("h1", "h2", "first"))
@@ -365,7 +363,9 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     # ids are unique as a rule; where one repeats, rows are told apart by their text
     tag = F.hash(quoted(text_col)) if twice else F.lit(0)
     base = docs.select(row, ident.alias("id"), tag.alias("tag"), F.coalesce(quoted(text_col), F.lit("")).alias("text"))
-    gone = (repeats(base.select("id", "tag", "text")).groupBy("id", "tag")
+    with finished_shuffles_deleted(docs.sparkSession):
+        ranges = repeats(base.select("id", "tag", "text"))
+    gone = (ranges.groupBy("id", "tag")
             .agg(F.collect_list(F.struct("a", "b")).alias("ranges")))
     joined = base.join(gone, ["id", "tag"], "left")
     kind = "n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans array<struct<a:int,b:int>>" + (
