@@ -139,8 +139,9 @@ def with_next(rows: DataFrame, columns: list[str], id_col: str = "doc_id", tie:
         F.when(i.eqNullSafe(F.lit(top).cast("long")), spot(F.lit(0), no, F.lit(True)))))
     dealt = placed.select(*rows.columns, F.explode(spots).alias("_s"))
     w = Window.partitionBy("_s.at").orderBy(F.col("_s.close"), i.desc_nulls_last(), F.col(tie))
-    told = dealt.withColumn("_next", F.lead(F.struct(*columns)).over(w))
-    return told.filter("_s.tells").drop("_s")
+    # plain columns: a struct would be built, and moved, beside the columns themselves
+    told = dealt.select("*", *[F.lead(c).over(w).alias(f"_next_{c}") for c in columns]).filter("_s.tells")
+    return told.select(*rows.columns, F.struct(*[F.col(f"_next_{c}").alias(c) for c in columns]).alias("_next"))
 
 
 def edited_pairs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

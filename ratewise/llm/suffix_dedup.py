@@ -348,7 +348,9 @@ def repeats(rows: DataFrame) -> DataFrame:
                          .filter("n > 1").select("h1", "h2", "first"))
     late = w.join(firsts, ["h1", "h2"]).filter(F.col("place") > F.col("first")).select(
         "id", "tag", F.col("p").alias("a"), (F.col("p") + MATCH).alias("b"))
-    return ranges.filter("sure").select("id", "tag", "a", "b").unionByName(late)
+    path = scratch_path(spark, "repeats")
+    ranges.filter("sure").select("id", "tag", "a", "b").unionByName(late).write.parquet(path)
+    return spark.read.parquet(path)
 
 
 def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", with_kept: bool = False) -> DataFrame:
