@@ -27,7 +27,7 @@ BROADCAST_MAX_ROWS = 1_000_000  # batch keys broadcast only below this measured
 
 def target_days(target: DataFrame, user_col: str = "user_id") -> DataFrame:
     """One ``(user_id, day)`` per stored user (latest day if a user repeats)."""
-    return target.groupBy(user_col).agg(F.max("day").alias("_stored_day"))
+    return target.groupBy(user_col).agg(F.max("day").alias("_stored_day")).withColumn("_stored", F.lit(True))
 
 
 def classify(incoming: DataFrame, target: DataFrame, day=None, user_col: str = "user_id") -> DataFrame:
@@ -35,8 +35,9 @@ def classify(incoming: DataFrame, target: DataFrame, day=None, user_col: str = "
     today = day_text(day)
     stored = target_days(target, user_col)
     j = incoming.join(stored, user_col, "left")
-    action = (F.when(F.col("_stored_day").isNull(), F.lit(INSERT))
-              .when(F.col("_stored_day") != today, F.lit(UPDATE))
+    # a stored user may have no day: presence is a flag of its own
+    action = (F.when(F.col("_stored").isNull(), F.lit(INSERT))
+              .when(~F.col("_stored_day").eqNullSafe(today), F.lit(UPDATE))
               .otherwise(F.lit(SKIP)))
     return j.select(*incoming.columns, action.alias("action"), today.alias("day"))
 

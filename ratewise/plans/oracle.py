@@ -157,8 +157,8 @@ def _ratings_cols() -> list[tuple[str, str]]:
 
 UPSERT_CTES = [DECODED] + recommend_ctes("msg_users") + [
     ("stored", "SELECT user_id, max(day) AS sday FROM rec_user GROUP BY user_id"),
-    ("actions", f"""SELECT r.user_id, r.res, CASE WHEN s.sday IS NULL THEN 'insert'
-        WHEN s.sday <> '{V.TODAY}' THEN 'update' ELSE 'skip' END AS action, '{V.TODAY}' AS day
+    ("actions", f"""SELECT r.user_id, r.res, CASE WHEN s.user_id IS NULL THEN 'insert'
+        WHEN s.sday IS DISTINCT FROM '{V.TODAY}' THEN 'update' ELSE 'skip' END AS action, '{V.TODAY}' AS day
         FROM recs r LEFT JOIN stored s ON s.user_id = r.user_id"""),
     ("written", "SELECT user_id, res, day FROM actions WHERE action <> 'skip'"),
 ]

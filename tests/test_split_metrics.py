@@ -127,3 +127,20 @@ def test_split_bucket_is_plain_integer_arithmetic(spark):
         return x % 1000
 
     assert got == [bucket(u, m) for u, m in pairs]
+
+
+def test_split_with_a_column_that_is_no_sort_key(spark):
+    from pyspark.sql import functions as F
+    from ratewise.operators.split import global_rank, sorted_fraction_split, train_order
+    df = spark.range(20000).select((F.col("id") % 997).alias("user_id"), F.col("id").alias("movie_id"),
+                                   (F.hash("id") % 10).cast("double").alias("rating"), (F.col("id") * 3).alias("timeStamp"))
+    before = spark.conf.get("spark.sql.exchange.reuse", "true")
+    spark.conf.set("spark.sql.exchange.reuse", "false")
+    try:
+        ranks = sorted(r[0] for r in global_rank(df, train_order()).select("_rank").collect())
+        train, _ = sorted_fraction_split(df, 0.6)
+        got = {tuple(r) for r in train.collect()}
+    finally:
+        spark.conf.set("spark.sql.exchange.reuse", before)
+    assert ranks == list(range(20000))
+    assert got == {tuple(r) for r in df.orderBy(*train_order()).limit(12000).collect()}

@@ -144,3 +144,11 @@ def test_compact_drops_replaced_versions(spark):
     assert sorted(tuple(r) for r in store.state().collect()) == before
     local = path.replace("file:", "")
     assert sorted(n for n in os.listdir(local) if n.startswith("version=")) == ["version=2"]
+
+
+def test_stored_user_without_a_day_is_updated(spark):
+    from ratewise.operators.upsert import classify
+    target = spark.createDataFrame([(1, "a", None), (2, "a", "2020-01-01"), (3, "a", "2020-01-02")], "user_id int, res string, day string")
+    incoming = spark.createDataFrame([(i, "b") for i in (1, 2, 3, 4)], "user_id int, res string")
+    got = {r["user_id"]: r["action"] for r in classify(incoming, target, "2020-01-02").collect()}
+    assert got == {1: "update", 2: "update", 3: "skip", 4: "insert"}
