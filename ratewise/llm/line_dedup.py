@@ -60,12 +60,14 @@ def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN
     gone = (hits.join(drop, keys).filter(~F.col("_id").eqNullSafe(F.col("_keep")))
             .groupBy(F.col("_id").alias("_gid"), F.col("_th").alias("_gth")).agg(F.collect_set("_pos").alias("_drop")))
 
-    rows = docs.select(packed(docs), quoted(id_col).alias("_id"), quoted(text_col).alias("_text"))
-    rows = rows.withColumn("_th", F.xxhash64("_text"))
+    # the text goes through the join once, inside ``_row``
+    rows = docs.select(packed(docs), quoted(id_col).alias("_id"), F.xxhash64(quoted(text_col)).alias("_th"))
     joined = rows.join(gone, rows["_id"].eqNullSafe(gone["_gid"]) & (rows["_th"] == gone["_gth"]), "left")
-    parts = F.split(text, "\n")
-    out = joined.select("_row", "_text", "_drop", F.size(parts).cast("long").alias("n_lines"))
+    text = F.coalesce(F.col("_row").getField(text_col), F.lit(""))
+    out = joined.select("_row", "_drop", F.size(F.split(text, "\n")).cast("long").alias("n_lines"))
     left = F.array_except(F.sequence(F.lit(0), (F.col("n_lines") - 1).cast("int")), F.col("_drop"))
-    kept = F.array_join(F.transform(left, lambda i: F.get(parts, i)), "\n")
+    # a one-element array binds the parts to a name: a lambda would split the text anew for every line
+    bound = F.array(F.struct(F.split(text, "\n").alias("parts"), left.alias("left")))
+    kept = F.transform(bound, lambda b: F.array_join(F.transform(b["left"], lambda i: F.get(b["parts"], i)), "\n"))[0]
     return out.select("_row", "n_lines", F.coalesce(F.size("_drop"), F.lit(0)).cast("long").alias("n_dropped"),
                       F.when(F.col("_drop").isNull(), text).otherwise(kept).alias("kept_text"))
