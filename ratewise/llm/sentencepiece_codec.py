@@ -39,7 +39,7 @@ from ratewise.llm.common import packed, quoted, small_batches
 SPACE = "▁"
 CACHE_CHUNKS = 400_000        # distinct chunks a worker remembers
 GROUP_CHARS = 6_000_000       # text handled together
-INDEX_CHARS = 1_500_000       # characters of distinct chunks in one suffix array
+INDEX_CHARS = 400_000         # characters of distinct chunks in one suffix array
 MEMO_PAIRS = 4_000_000        # pairs of pieces a worker remembers
 PAIR = 1 << 32                # two tokens in one integer
 _CHUNK = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
