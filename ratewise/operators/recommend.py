@@ -107,12 +107,13 @@ def _block_topk(k: int):
 
 def block_counts(n_users: int, n_items: int, parallelism: int,
                  user_block_rows: int = USER_BLOCK_ROWS, item_block_rows: int = ITEM_BLOCK_ROWS):
-    """(U, I): enough user blocks to use the cluster, item blocks bounded in size."""
-    u_by_size = math.ceil(n_users / user_block_rows) if n_users else 1
-    u_by_par = min(parallelism, math.ceil(n_users / MIN_USER_BLOCK_ROWS)) if n_users else 1
-    n_ub = max(1, u_by_size, u_by_par)
-    n_ib = max(1, math.ceil(n_items / item_block_rows)) if n_items else 1
-    return n_ub, n_ib
+    """(U, I): blocks bounded in size, and U * I tasks for the cluster's cores.
+
+    Every user block is sent all items, so U grows beyond its size bound only until U * I covers
+    the cores."""
+    n_ib = max(1, math.ceil(n_items / item_block_rows))
+    u_by_par = min(math.ceil(parallelism / n_ib), math.ceil(n_users / MIN_USER_BLOCK_ROWS))
+    return max(1, math.ceil(n_users / user_block_rows), u_by_par), n_ib
 
 
 def top_k_rows(user_factors: DataFrame, item_factors: DataFrame, k: int = 5,

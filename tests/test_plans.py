@@ -13,7 +13,7 @@ from ratewise.sources.text import read_lines
 from conftest import SF0001
 
 CROSS = ("CartesianProduct", "BroadcastNestedLoopJoin")
-ITERATIVE = {"als_recommend", "als_grid", "als_evaluate", "als_train_eval", "als_dcolon_eval"}
+ITERATIVE = {"als_recommend", "als_grid", "als_evaluate", "als_static_eval", "als_train_eval", "als_dcolon_eval"}
 
 
 def plan(df) -> str:

@@ -43,8 +43,10 @@ def test_blocked_topk_matches_brute_force(spark, ties):
 def test_block_counts_bounds():
     assert block_counts(0, 0, 8) == (1, 1)
     assert block_counts(30, 10, 1000) == (1, 1)
-    ub, ib = block_counts(10_000_000, 1_000_000, 2000)
-    assert ub >= 2000 and ib == 31
+    assert block_counts(10_000_000, 1_000_000, 2000) == (611, 31)     # size alone fills the cores
+    assert block_counts(2_000_000, 2_000_000, 5000) == (123, 62)
+    assert block_counts(100_000, 20_000, 64) == (64, 1)               # one item block: users fill them
+    assert block_counts(100_000, 100_000, 64) == (16, 4)
 
 
 def test_score_pairs_drops_unknown(spark):

@@ -121,10 +121,10 @@ def test_bucketed_table_roundtrip(spark):
 
 def test_option_builders():
     assert rate_limit(100, 3, 4) == 1200
-    o = kafka_source_options("h:9092", "miu", {"miu": {0: 5, 1: 7}}, max_offsets_per_trigger=1200)
-    assert o["startingOffsets"] == '{"miu": {"0": 5, "1": 7}}' and o["maxOffsetsPerTrigger"] == "1200"
-    s = kafka_sink_options("h:9092", "miu")
-    assert s["kafka.acks"] == "all" and s["topic"] == "miu"
+    o = kafka_source_options("h:9092", "ratings", {"ratings": {0: 5, 1: 7}}, max_offsets_per_trigger=1200)
+    assert o["startingOffsets"] == '{"ratings": {"0": 5, "1": 7}}' and o["maxOffsetsPerTrigger"] == "1200"
+    s = kafka_sink_options("h:9092", "ratings")
+    assert s["kafka.acks"] == "all" and s["topic"] == "ratings"
     j = jdbc_options("jdbc:x", "rec_user", partition_column="user_id", lower_bound=1, upper_bound=9,
                      num_partitions=3, batchsize=1000)
     assert j["numPartitions"] == "3" and j["batchsize"] == "1000"
