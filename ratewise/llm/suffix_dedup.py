@@ -367,8 +367,9 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     base = docs.select(row, ident.alias("id"), tag.alias("tag"), F.coalesce(quoted(text_col), F.lit("")).alias("text"))
     with finished_shuffles_deleted(docs.sparkSession):
         ranges = repeats(base.select("id", "tag", "text"))
+    # a range is one number, a in the upper half: Python gets an integer array, not an object per range
     gone = (ranges.groupBy("id", "tag")
-            .agg(F.collect_list(F.struct("a", "b")).alias("ranges")))
+            .agg(F.collect_list(F.shiftleft(F.col("a").cast("long"), 32) + F.col("b")).alias("ranges")))
     joined = base.join(gone, ["id", "tag"], "left")
     kind = "n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans array<struct<a:int,b:int>>" + (
         ", kept binary" if with_kept else "")
@@ -380,11 +381,10 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
             raw = t.encode("utf-8")
             kept, spans = raw, []
             if rs is not None and len(rs):
-                ab = np.array([(r["a"], r["b"]) for r in rs], dtype=np.int64)
-                ab = ab[np.argsort(ab[:, 0], kind="stable")]
-                reach = np.maximum.accumulate(ab[:, 1])
-                new = np.flatnonzero(np.concatenate(([True], ab[1:, 0] > reach[:-1])))
-                a, b = ab[new, 0], reach[np.concatenate((new[1:], [len(ab)])) - 1]
+                ab = np.sort(np.asarray(rs, dtype=np.int64))
+                starts, reach = ab >> 32, np.maximum.accumulate(ab & 0xFFFFFFFF)
+                new = np.flatnonzero(np.concatenate(([True], starts[1:] > reach[:-1])))
+                a, b = starts[new], reach[np.concatenate((new[1:], [len(ab)])) - 1]
                 spans = list(zip(a.tolist(), b.tolist()))
                 keep = [raw[x:y] for x, y in zip([0, *b.tolist()], [*a.tolist(), len(raw)])]
                 kept = b"".join(keep)
