@@ -38,8 +38,8 @@ from ratewise.llm.common import packed, quoted, small_batches
 
 SPACE = "▁"
 CACHE_CHUNKS = 400_000        # distinct chunks a worker remembers
-GROUP_CHARS = 6_000_000       # text handled together
-INDEX_CHARS = 400_000         # characters of distinct chunks in one suffix array
+GROUP_CHARS = 1_000_000       # text handled together
+INDEX_CHARS = 200_000         # characters of distinct chunks in one suffix array
 MEMO_PAIRS = 4_000_000        # pairs of pieces a worker remembers
 PAIR = 1 << 32                # two tokens in one integer
 _CHUNK = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
@@ -349,7 +349,7 @@ def encoded(docs: DataFrame, path: str | None = None, text_col: str = "text", wi
     if not wanted), ``n_pieces`` long, ``ids_sha256`` (of the little-endian int32 ids),
     ``decoded_sha256`` and ``round_trip`` (the decoded text is the input)."""
     path = path or default_model()
-    small_batches(docs.sparkSession, 2048)
+    small_batches(docs.sparkSession)
     rest = [c for c in docs.columns if c != text_col]
     rows = docs.select(packed(docs.select(*[quoted(c) for c in rest])) if rest else F.struct(F.lit(1).alias("_")).alias("_row"),
                        quoted(text_col).alias("_text"))
