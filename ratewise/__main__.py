@@ -65,7 +65,7 @@ def main(argv=None) -> None:
     st.add_argument("--checkpoint", required=True)
     st.add_argument("--marker")
     st.add_argument("--k", type=int, default=5)
-    st.add_argument("--compact-every", type=int)
+    st.add_argument("--compact-every", type=int, default=100)
 
     a = ap.parse_args(argv)
     spark = _session()

@@ -14,6 +14,8 @@ log so that a replayed batch overwrites only its own version and the rule stays
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,6 +25,7 @@ from ratewise.sources.tables import cut_lineage
 
 INSERT, UPDATE, SKIP = "insert", "update", "skip"
 BROADCAST_MAX_ROWS = 1_000_000  # batch keys broadcast only below this measured count
+BUCKETS = 64                    # hash buckets of a new store; a batch reads only those it touches
 
 
 def target_days(target: DataFrame, user_col: str = "user_id") -> DataFrame:
@@ -61,84 +64,138 @@ def upsert(target: DataFrame, incoming: DataFrame, day=None, user_col: str = "us
 
 
 class UpsertStore:
-    """A ``rec_user`` table kept as a versioned parquet log under ``path``.
-
-    Each write adds partition ``version=<v>`` holding only the inserted/updated rows; the
-    current state is the latest version per user.  ``write_batch(v, ...)`` classifies against
-    versions < v only and overwrites partition v alone (dynamic partition overwrite), so
-    running the same version twice reproduces the same partition.  A write commits as a whole
-    (Spark's job commit), and a committed write makes a later replay of the same users a
-    same-day skip, so replays under a new version number are harmless too.
-    Versions must only grow: callers start from ``next_version()``.
+    """A ``rec_user`` table kept as a versioned, bucketed parquet log under ``path``.
+
+    Each write adds partitions ``version=<v>/bucket=<b>`` holding only the inserted/updated rows;
+    the current state is the latest version per user.  ``write_batch(v, ...)`` classifies against
+    versions < v only and overwrites the partitions of v alone (dynamic partition overwrite), so
+    running the same version twice reproduces them.  A write commits as a whole (Spark's job
+    commit), and a committed write makes a later replay of the same users a same-day skip, so
+    replays under a new version number are harmless too.
+    Versions must only grow: callers start from ``next_version()`` or, to get the same numbers
+    again after a restart, from ``base_for(run)``.
     ``compact(v)`` writes the current state as a new base version ``v`` (an unused number).
+
+    The bucket count is fixed by the first write.  It, the bases and the runs are empty files
+    named by their number in ``_buckets``, ``_base`` and ``_run-*`` beside the data.
     """
 
-    def __init__(self, spark: SparkSession, path: str, user_col: str = "user_id"):
+    def __init__(self, spark: SparkSession, path: str, user_col: str = "user_id", buckets: int = BUCKETS):
         self.spark = spark
         self.path = path.rstrip("/")
         self.user_col = user_col
+        self.buckets = next(iter(self._marks("_buckets")), buckets)
+
+    def _folder(self, name: str):
+        """The Hadoop file system and the path of a sub-folder ("" for the store itself)."""
+        path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}" if name else self.path)
+        return path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), path
+
+    def _names(self, name: str) -> list[str]:
+        fs, path = self._folder(name)
+        return [s.getPath().getName() for s in fs.listStatus(path)] if fs.exists(path) else []
+
+    def _marks(self, name: str) -> list[int]:
+        return sorted(map(int, self._names(name)))
 
-    def _log(self) -> DataFrame:
+    def _mark(self, name: str, n: int) -> None:
+        fs, path = self._folder(f"{name}/{n}")
+        fs.create(path, True).close()
+
+    def _delete(self, name: str) -> None:
+        fs, path = self._folder(name)
+        fs.delete(path, True)
+
+    def _versions(self) -> list[int]:
+        return sorted(int(n.split("=", 1)[1]) for n in self._names("") if n.startswith("version="))
+
+    def _bucket(self):
+        return F.pmod(F.hash(F.col(self.user_col).cast("bigint")), F.lit(self.buckets))
+
+    def _log(self, before: int | None = None, buckets: list[int] | None = None) -> DataFrame:
+        """Rows from the newest base on; both limits are partition filters."""
         try:
-            return self.spark.read.parquet(self.path)
+            log = self.spark.read.parquet(self.path)
         except AnalysisException:
             # nothing written yet: an empty log
             return self.spark.createDataFrame(
-                [], f"{self.user_col} int, res string, day string, version bigint")
+                [], f"{self.user_col} int, res string, day string, version bigint, bucket int")
+        bases = [b for b in self._marks("_base") if before is None or b < before]
+        if bases:
+            log = log.filter(F.col("version") >= bases[-1])
+        if before is not None:
+            log = log.filter(F.col("version") < before)
+        return log if buckets is None else log.filter(F.col("bucket").isin(buckets))
 
     def _write(self, rows: DataFrame, version: int) -> None:
-        (rows.select(self.user_col, "res", "day").withColumn("version", F.lit(version).cast("bigint"))
-         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("version").parquet(self.path))
+        if not self._marks("_buckets"):
+            self._mark("_buckets", self.buckets)
+        rows = rows.select(self.user_col, "res", "day", F.lit(version).cast("bigint").alias("version"),
+                           self._bucket().alias("bucket"))
+        # few files a bucket; adaptive execution splits large buckets and joins small ones
+        (rows.hint("rebalance", "bucket").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("version", "bucket").parquet(self.path))
 
     def init(self, base: DataFrame, version: int = 0) -> "UpsertStore":
         self._write(base, version)
         return self
 
     def next_version(self) -> int:
-        """One more than the highest stored version (0 for an empty store)."""
-        top = self._log().agg(F.max("version")).first()[0]
-        return 0 if top is None else int(top) + 1
+        """One more than the highest version written (0 for an empty store)."""
+        return max(self._versions() + self._marks("_base"), default=-1) + 1
+
+    def base_for(self, run: str) -> int:
+        """The first version of a run (say, a stream's checkpoint folder): ``next_version()`` when
+        first asked, the same number ever after."""
+        name = "_run-" + hashlib.sha256(run.encode()).hexdigest()[:16]
+        if not self._marks(name):
+            self._mark(name, self.next_version())
+        return self._marks(name)[0]
+
+    def touched(self, users: DataFrame) -> tuple[int, list[int]]:
+        """The number of rows of ``users`` and the buckets they fall into (at most ``buckets``)."""
+        n, found = users.agg(F.count(F.lit(1)), F.collect_set(self._bucket())).first()
+        return n, sorted(found)
 
     def state(self, before: int | None = None) -> DataFrame:
-        log = self._log()
-        if before is not None:
-            log = log.filter(F.col("version") < before)
         # newest version wins; inside one version the latest day (then res) -- one row per user
-        latest = log.groupBy(self.user_col).agg(F.max(F.struct("version", "day", "res")).alias("_s"))
+        latest = self._log(before).groupBy(self.user_col).agg(F.max(F.struct("version", "day", "res")).alias("_s"))
         return latest.select(self.user_col, "_s.res", "_s.day")
 
-    def write_batch(self, version: int, incoming: DataFrame, day=None, n_incoming: int | None = None) -> DataFrame:
+    def stored(self, version: int, incoming: DataFrame, n_incoming: int | None = None,
+               buckets: list[int] | None = None) -> DataFrame:
+        """``(user, day)`` of the users of ``incoming`` stored before ``version``, one row each."""
+        keys = incoming.select(self.user_col).distinct()
+        small = n_incoming is not None and n_incoming <= BROADCAST_MAX_ROWS
+        found = self._log(version, buckets).join(F.broadcast(keys) if small else keys, self.user_col, "left_semi")
+        return (found.groupBy(self.user_col).agg(F.max(F.struct("version", "day")).alias("_s"))
+                .select(self.user_col, F.col("_s.day").alias("day")))
+
+    def write_batch(self, version: int, incoming: DataFrame, day=None, n_incoming: int | None = None,
+                    buckets: list[int] | None = None) -> DataFrame:
         """Classify ``incoming`` against the state before ``version`` and store the writes.
 
-        The stored rows are first cut to the batch's users by a semi join, then reduced to one
-        row per user.  ``n_incoming`` (a measured user count) under ``BROADCAST_MAX_ROWS``
-        broadcasts the batch's keys, so the stored log is scanned without a shuffle.
+        ``buckets`` (from ``touched``) limits the reading to the partitions that can hold the
+        batch's users.  ``n_incoming`` (a measured user count) under ``BROADCAST_MAX_ROWS``
+        broadcasts the batch's keys, so the stored rows are scanned without a shuffle.
         Returns the classified actions.
         """
-        stored = self._log().filter(F.col("version") < version)
-        keys = incoming.select(self.user_col).distinct()
-        small = n_incoming is not None and n_incoming <= BROADCAST_MAX_ROWS
-        stored = stored.join(F.broadcast(keys) if small else keys, self.user_col, "left_semi")
-        latest = (stored.groupBy(self.user_col).agg(F.max(F.struct("version", "day")).alias("_s"))
-                  .select(self.user_col, F.col("_s.day").alias("day")))
-        actions = classify(incoming, latest, day, self.user_col)
+        actions = classify(incoming, self.stored(version, incoming, n_incoming, buckets), day, self.user_col)
         self._write(actions.filter(F.col("action") != SKIP), version)
         return actions
 
     def compact(self, version: int, drop_older: bool = True) -> None:
-        """Write the current state as base version ``version`` (an unused, higher number) and,
-        with ``drop_older``, delete the versions it replaces so the log stops growing.
-
-        The state is frozen in the checkpoint folder first: the versions it is read from are
-        deleted afterwards."""
-        base = cut_lineage(self.state(before=version))
-        self._write(base, version)
-        if drop_older:
-            jvm = self.spark.sparkContext._jvm
-            root = jvm.org.apache.hadoop.fs.Path(self.path)
-            fs = root.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
-            for st in fs.listStatus(root):
-                name = st.getPath().getName()
-                if name.startswith("version=") and int(name.split("=", 1)[1]) < version:
-                    fs.delete(st.getPath(), True)
+        """Write the current state as base version ``version`` (an unused, higher number).
+
+        Readers move to it when its mark appears.  With ``drop_older`` the versions below the base
+        before it go, so the log stops growing, and a reader that began before the switch still
+        finds its files until the next one."""
+        self._write(self.state(before=version), version)
+        self._mark("_base", version)
+        older = [b for b in self._marks("_base") if b < version]
+        if drop_older and older:
+            for v in self._versions():
+                if v < older[-1]:
+                    self._delete(f"version={v}")
+            for b in older[:-1]:
+                self._delete(f"_base/{b}")

@@ -94,6 +94,7 @@ def _held_out_metrics(spark, d, freeze_ratings: bool = False):
     if freeze_ratings:
         r = cut_lineage(r)      # read twice (split and fixed denominator): derived once
     _, test = split.sorted_fraction_split(r, TRAIN_FRACTION)
+    test = cut_lineage(test)    # both the pairs to score and the truth
     pred = score_pairs(test.select("user_id", "movie_id"), V.user_factors(spark, d), V.item_factors(spark, d))
     return r, test, match_truth(pred, test)
 
@@ -246,18 +247,19 @@ def q_stream_distinct_users(spark, d):
     return spark.read.parquet(out).select(F.col("batch_id").cast("bigint"), "user_id")
 
 
+def _recommend_batch(spark, d, store, **options):
+    from ratewise.streaming.job import RecommendBatch
+    pop = popular.top_items_row(V.ratings(spark, d), K).checkpoint(eager=True)
+    return RecommendBatch(V.user_factors(spark, d), V.item_factors(spark, d), pop, store, K, "popular", V.TODAY, **options)
+
+
 def _run_recommend_stream(spark, d, runs: int):
-    from ratewise.streaming.job import RecommendBatch, start
+    from ratewise.streaming.job import start
     store = UpsertStore(spark, scratch_path(spark, "rec-user")).init(V.rec_user(spark, d), 0)
-    uf = V.user_factors(spark, d)
-    vf = V.item_factors(spark, d)
-    pop = popular.top_items_row(V.ratings(spark, d), K).checkpoint(eager=True)
-    fn = RecommendBatch(uf, vf, pop, store, K, "popular", V.TODAY)
-    ckpt = scratch_path(spark, "rec-ckpt")
-    for run in range(runs):
+    fn = _recommend_batch(spark, d, store)
+    for _ in range(runs):
         # a replay: a fresh checkpoint re-reads the same input as batch 0 again
-        q = start(_events_stream(spark, d), fn, ckpt if run == 0 else scratch_path(spark, "rec-ckpt"),
-                  available_now=True)
+        q = start(_events_stream(spark, d), fn, scratch_path(spark, "rec-ckpt"), available_now=True)
         q.awaitTermination()
     return store.state()
 
@@ -270,6 +272,91 @@ def q_stream_replay(spark, d):
     return _run_recommend_stream(spark, d, 2)
 
 
+EVENT_FILES = 3
+
+
+def _event_halves(spark, d):
+    """The events before and from their mean time; events without a time come second."""
+    e = V.table(spark, d, "events").select("event_id", "user_id", "value", "ts")
+    early = F.coalesce(F.col("ts").cast("double") < e.agg(F.avg(F.col("ts").cast("double"))).scalar(), F.lit(False))
+    return [e.filter(early).drop("ts"), e.filter(~early).drop("ts")]
+
+
+def _add_files(events, path: str) -> None:
+    events.repartition(EVENT_FILES, "event_id").write.mode("append").parquet(path)
+
+
+def _files_stream(spark, path: str):
+    """One file a batch."""
+    from ratewise.streaming.job import file_stream
+    return V.message_frame(file_stream(spark, path, "*.parquet", "event_id bigint, user_id bigint, value double"))
+
+
+def q_stream_restart(spark, d):
+    """Half of the files, then a new query object goes on from the same checkpoint."""
+    from ratewise.streaming.job import start
+    files, ckpt = scratch_path(spark, "events"), scratch_path(spark, "rec-ckpt")
+    store = UpsertStore(spark, scratch_path(spark, "rec-user")).init(V.rec_user(spark, d), 0)
+    for half in _event_halves(spark, d):
+        _add_files(half, files)
+        fn = _recommend_batch(spark, d, store, run=ckpt, compact_every=2)
+        start(_files_stream(spark, files), fn, ckpt, available_now=True).awaitTermination()
+    return store.state()
+
+
+def q_stream_failed_batch(spark, d):
+    """The second batch fails after its store write; the restarted query replays it."""
+    from pyspark.errors import StreamingQueryException
+
+    from ratewise.streaming.job import start
+
+    def fail(batch, batch_id):
+        if batch_id == 1:
+            raise RuntimeError("lost after the write")
+
+    files, ckpt = scratch_path(spark, "events"), scratch_path(spark, "rec-ckpt")
+    store = UpsertStore(spark, scratch_path(spark, "rec-user")).init(V.rec_user(spark, d), 0)
+    for half in _event_halves(spark, d):
+        _add_files(half, files)
+    try:
+        start(_files_stream(spark, files), _recommend_batch(spark, d, store, run=ckpt, sink=fail), ckpt,
+              available_now=True).awaitTermination()
+    except StreamingQueryException:
+        pass        # the failure asked for
+    start(_files_stream(spark, files), _recommend_batch(spark, d, store, run=ckpt), ckpt, available_now=True).awaitTermination()
+    return store.state()
+
+
+def q_stream_model_only(spark, d):
+    """T5: no store and no popular list; the messages of users the model knows, an unknown one would fail."""
+    from ratewise.streaming.job import RecommendBatch, start
+    files, out = scratch_path(spark, "events"), scratch_path(spark, "recs")
+    for half in _event_halves(spark, d):
+        _add_files(half, files)
+    users = V.user_factors(spark, d)
+    known = _files_stream(spark, files).join(
+        users.select(F.col("id").alias("_known")), F.split("value", "_")[0].cast("int") == F.col("_known"), "left_semi")
+
+    def write(recs, batch_id):
+        (recs.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(out))
+
+    fn = RecommendBatch(users, V.item_factors(spark, d), None, None, K, "fail", sink=write)
+    start(known, fn, scratch_path(spark, "rec-ckpt"), available_now=True).awaitTermination()
+    return spark.read.parquet(out).select("user_id", "res").distinct()
+
+
+def q_stream_counts(spark, d):
+    """Rows counted per batch, over a restart; one row with their sum and the batch count."""
+    from ratewise.streaming.job import batch_counts, start
+    files, ckpt, counts = (scratch_path(spark, n) for n in ("events", "count-ckpt", "counts"))
+    for half in _event_halves(spark, d):
+        _add_files(half, files)
+        start(_files_stream(spark, files), lambda batch, batch_id: None, ckpt, available_now=True,
+              counts_path=counts).awaitTermination()
+    return batch_counts(spark, counts).agg(F.count(F.lit(1)).alias("n_batches"), F.sum("n").alias("n_messages"))
+
+
 # ---------------------------------------------------------------- ALS (rows in SQL, the model by facts that must hold)
 
 def q_als_recommend(spark, d):
@@ -375,6 +462,10 @@ QUERIES: dict[str, Query] = {
     "stream_distinct_users": q_stream_distinct_users,
     "stream_recommend": q_stream_recommend,
     "stream_replay": q_stream_replay,
+    "stream_restart": q_stream_restart,
+    "stream_failed_batch": q_stream_failed_batch,
+    "stream_model_only": q_stream_model_only,
+    "stream_counts": q_stream_counts,
     "als_recommend": q_als_recommend,
     "als_grid": q_als_grid,
     "als_evaluate": q_als_evaluate,

@@ -23,7 +23,7 @@ from ratewise.sources.jdbc import jdbc_append, jdbc_upsert, read_jdbc
 from ratewise.sources.models import model_path, save_model
 from ratewise.sources.tables import cut_lineage, read_table, save_table
 from ratewise.sources.text import read_lines
-from ratewise.streaming.job import RecommendBatch, run_until_marker, start
+from ratewise.streaming.job import COMPACT_EVERY, RecommendBatch, run_until_marker, start
 
 MIN_PARTITIONS = 8   # the reference's minimum split count for its text inputs
 
@@ -114,16 +114,17 @@ def stream_recommend(spark: SparkSession, messages: DataFrame, user_factors: Dat
                      sink: Callable[[DataFrame, int], None] | None = None, k: int = 5,
                      cold_start: str = "popular", marker: str | None = None, poll_seconds: float = 60.0,
                      processing_time: str = "3 seconds", available_now: bool = False,
-                     compact_every: int | None = None):
+                     compact_every: int | None = COMPACT_EVERY, counts_path: str | None = None):
     """Job 4: start the recommendation stream; with ``marker`` block until the marker file appears.
 
     The popular list is computed once and checkpointed (T10); ``store_path`` keeps the target as
-    an ``UpsertStore``, ``sink`` is any other per-batch writer (``jdbc_upsert_sink``)."""
+    an ``UpsertStore``, ``sink`` is any other per-batch writer (``jdbc_upsert_sink``), ``counts_path`` a table of rows per batch."""
     pop = popular.top_items_row(ratings, k).checkpoint(eager=True) if cold_start == "popular" else None
     store = UpsertStore(spark, store_path) if store_path else None
     fn = RecommendBatch(user_factors, item_factors, pop, store, k, cold_start, sink=sink,
-                        compact_every=compact_every)
-    q = start(messages, fn, checkpoint_location, processing_time=processing_time, available_now=available_now)
+                        compact_every=compact_every, run=checkpoint_location)
+    q = start(messages, fn, checkpoint_location, processing_time=processing_time, available_now=available_now,
+              counts_path=counts_path)
     if marker:
         run_until_marker(spark, q, marker, poll_seconds)
     return q

@@ -261,6 +261,11 @@ def build() -> dict[str, str]:
                                             [DECODED])
     q["stream_recommend"] = UPSERT_RESULT
     q["stream_replay"] = UPSERT_RESULT
+    q["stream_restart"] = UPSERT_RESULT
+    q["stream_failed_batch"] = UPSERT_RESULT
+    q["stream_model_only"] = with_views(["messages", "factors"], f"""SELECT user_id, string_agg({vs('movie_id')}, '_' ORDER BY rank)
+        AS res FROM topk WHERE user_id IN (SELECT user_id FROM msg_users) GROUP BY user_id""", [DECODED] + topk_ctes())
+    q["stream_counts"] = f"SELECT {2 * C.EVENT_FILES} AS n_batches, count(*) AS n_messages FROM events"
     q |= _als()
     return q
 

@@ -7,8 +7,9 @@ collect and a driver loop of one Spark job per user:
     model top-k (J6) | popular ids (J7) -> ids text (P13) -> daily-guarded upsert (K8)
 
 Delivery: the source offsets and the commit log live in ``checkpointLocation`` (T6/T7).  A batch
-replayed after a failure carries the same ``batch_id``; the versioned upsert store rewrites that
-version only, so the result is the same as a single run.
+replayed after a failure carries the same ``batch_id``.  With ``run`` (the checkpoint folder) the
+upsert store remembers the run's first version, so a replay after a restart rewrites its own
+version; without it the replay gets a new version and finds its users already served that day.
 """
 
 from __future__ import annotations
@@ -26,7 +27,8 @@ from ratewise.operators.recommend import encoded, recommend
 from ratewise.operators.upsert import UpsertStore
 from ratewise.sources.tables import cut_lineage
 
-BATCH_SECONDS = 3  # T1
+BATCH_SECONDS = 3     # T1
+COMPACT_EVERY = 100   # batches between compactions of the upsert store
 
 
 def file_stream(spark: SparkSession, directory: str, file_glob: str, schema, max_files_per_trigger: int = 1,
@@ -51,14 +53,16 @@ class RecommendBatch:
 
     ``store``      an ``UpsertStore`` (K8 sink); ``None`` for the V2 mode without a write (T5)
     ``sink``       optional callable ``(encoded_batch_df, batch_id)`` for other outputs
+    ``run``        name of the run, as its checkpoint folder: a restart gets the same versions
     ``compact_every`` compact the store after every n-th batch (batch b writes version
-                   base + 2b; its compaction, when due, takes the odd number after it)
+                   base + 2b; its compaction, when due, takes the number after it); None: never
     """
 
     def __init__(self, user_factors: DataFrame, item_factors: DataFrame, popular: DataFrame | None,
                  store: UpsertStore | None = None, k: int = 5, cold_start: str = "popular",
                  day: str | None = None, strict: bool = True,
-                 sink: Callable[[DataFrame, int], None] | None = None, compact_every: int | None = None):
+                 sink: Callable[[DataFrame, int], None] | None = None,
+                 compact_every: int | None = COMPACT_EVERY, run: str | None = None):
         # loaded once per application and kept (memory, spilling to disk) for every batch
         self.user_factors = user_factors.persist(StorageLevel.MEMORY_AND_DISK)
         self.item_factors = item_factors.persist(StorageLevel.MEMORY_AND_DISK)
@@ -72,18 +76,21 @@ class RecommendBatch:
         self.compact_every = compact_every
         self.n_items = item_factors.count()   # fixed for the application (T10)
         # versions grow across restarts, also when a new checkpoint restarts batch ids at 0
-        self.version_base = store.next_version() if store is not None else 0
+        self.version_base = 0
+        if store is not None:
+            self.version_base = store.base_for(run) if run else store.next_version()
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        # the batch's distinct users, written once and counted: the count bounds the broadcasts
+        # the batch's distinct users, written once; their count bounds the broadcasts, their
+        # buckets what is read of the store
         users = cut_lineage(batch_users(batch, self.strict))
-        n_users = users.count()
+        n_users, buckets = self.store.touched(users) if self.store is not None else (users.count(), None)
         recs = recommend(users, self.user_factors, self.item_factors, self.k, self.cold_start, self.popular,
                          n_items=self.n_items, n_users=n_users)
         out = encoded(recs, "ids")
         if self.store is not None:
             version = self.version_base + 2 * batch_id
-            self.store.write_batch(version, out, self.day, n_incoming=n_users)
+            self.store.write_batch(version, out, self.day, n_incoming=n_users, buckets=buckets)
             if self.compact_every and (batch_id + 1) % self.compact_every == 0:
                 self.store.compact(version + 1)
         if self.sink is not None:
@@ -92,8 +99,13 @@ class RecommendBatch:
 
 def start(messages: DataFrame, fn: Callable[[DataFrame, int], None], checkpoint_location: str,
           processing_time: str | None = f"{BATCH_SECONDS} seconds", available_now: bool = False,
-          query_name: str | None = None) -> StreamingQuery:
-    """``foreachBatch`` query with a checkpoint; ``available_now`` drains and stops."""
+          query_name: str | None = None, counts_path: str | None = None) -> StreamingQuery:
+    """``foreachBatch`` query with a checkpoint; ``available_now`` drains and stops.
+
+    With ``counts_path`` the rows of every batch are counted into that table (A11), see
+    ``batch_counts``."""
+    if counts_path:
+        fn = _counted(fn, counts_path)
     w = messages.writeStream.foreachBatch(fn).option("checkpointLocation", checkpoint_location)
     if query_name:
         w = w.queryName(query_name)
@@ -119,9 +131,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 
 def run_until_marker(spark: SparkSession, query: StreamingQuery, marker: str, poll_seconds: float = 60.0,
-                     max_polls: int | None = None) -> bool:
+                     max_polls: int | None = None, max_wait: float = 600.0) -> bool:
     """Poll every ``poll_seconds``; stop the query between batches once ``marker`` exists.
 
+    On a stream that is always behind no gap may be seen; after ``max_wait`` seconds the query is
+    stopped within a batch, which its checkpoint replays.
+
     Returns True when stopped by the marker, False when the query ended by itself (or
     ``max_polls`` ran out).
     """
@@ -130,7 +145,8 @@ def run_until_marker(spark: SparkSession, query: StreamingQuery, marker: str, po
         if query.awaitTermination(poll_seconds):
             return False
         if path_exists(spark, marker):
-            while query.status.get("isTriggerActive"):
+            until = time.monotonic() + max_wait
+            while query.status.get("isTriggerActive") and time.monotonic() < until:
                 time.sleep(0.05)
             query.stop()
             return True
@@ -139,9 +155,19 @@ def run_until_marker(spark: SparkSession, query: StreamingQuery, marker: str, po
             return False
 
 
-def batch_counts(query: StreamingQuery) -> list[tuple[int, int]]:
-    """(batch id, input rows) for the batches still in the query's progress history."""
-    return [(p["batchId"], p["numInputRows"]) for p in query.recentProgress]
+def _counted(fn: Callable[[DataFrame, int], None], path: str) -> Callable[[DataFrame, int], None]:
+    def run(batch: DataFrame, batch_id: int) -> None:
+        # keyed by batch id: a replayed batch writes its own count again
+        (batch.agg(F.count(F.lit(1)).alias("n")).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(path))
+        fn(batch, batch_id)
+
+    return run
+
+
+def batch_counts(spark: SparkSession, counts_path: str) -> DataFrame:
+    """``(batch_id, n)``, the input rows of every batch so far, over all restarts."""
+    return spark.read.schema("n bigint, batch_id bigint").parquet(counts_path).select("batch_id", "n")
 
 
 def distinct_users_per_batch(messages: DataFrame, out_path: str, checkpoint_location: str,

@@ -68,9 +68,10 @@ def test_stream_recommend_end_to_end(spark):
         spark.createDataFrame([(9, "old", "2024-01-30")], "user_id int, res string, day string"))
     fn = RecommendBatch(uf, vf, pop, store, k=2, day=DAY)
     src = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(os.path.join(d, "*"))
-    q = start(src, fn, scratch_path(spark, "t-ckpt"), available_now=True)
+    counts = scratch_path(spark, "t-counts")
+    q = start(src, fn, scratch_path(spark, "t-ckpt"), available_now=True, counts_path=counts)
     q.awaitTermination()
-    assert [n for _, n in batch_counts(q)] == [3, 2]     # A11: rows per micro-batch
+    assert sorted(map(tuple, batch_counts(spark, counts).collect())) == [(0, 3), (1, 2)]     # A11: rows per micro-batch
     state = {r.user_id: (r.res, r.day) for r in store.state().collect()}
     assert state == {7: ("100_102", DAY), 8: ("101_102", DAY), 9: ("101_100", DAY)}
     # a restart with a new checkpoint replays both batches under new versions: nothing changes
@@ -79,9 +80,9 @@ def test_stream_recommend_end_to_end(spark):
     src2 = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(os.path.join(d, "*"))
     start(src2, fn2, scratch_path(spark, "t-ckpt2"), available_now=True).awaitTermination()
     assert {r.user_id: (r.res, r.day) for r in store.state().collect()} == state
-    # compaction after each replayed batch left one base version
+    # compaction after each replayed batch left its base and the one before it
     local = store.path.replace("file:", "")
-    assert sorted(n for n in os.listdir(local) if n.startswith("version=")) == ["version=7"]
+    assert sorted(n for n in os.listdir(local) if n.startswith("version=")) == ["version=5", "version=7"]
 
 
 def test_batch_users_distinct(spark):
@@ -140,10 +141,46 @@ def test_compact_drops_replaced_versions(spark):
     store = UpsertStore(spark, path).init(target, 0)
     store.write_batch(1, incoming, DAY)
     before = sorted(tuple(r) for r in store.state().collect())
+    reader = store.state()                       # planned before the switch
+    store.compact(store.next_version())
+    assert sorted(tuple(r) for r in store.state().collect()) == before
+    assert sorted(tuple(r) for r in reader.collect()) == before
+    assert {r.version for r in store._log().select("version").distinct().collect()} == {2}
     store.compact(store.next_version())
     assert sorted(tuple(r) for r in store.state().collect()) == before
     local = path.replace("file:", "")
-    assert sorted(n for n in os.listdir(local) if n.startswith("version=")) == ["version=2"]
+    assert sorted(n for n in os.listdir(local) if n.startswith("version=")) == ["version=2", "version=3"]
+
+
+def test_batch_reads_only_its_buckets(spark):
+    base = spark.range(2000).selectExpr("CAST(id AS INT) AS user_id", "'a' AS res", "'2024-01-30' AS day")
+    path = scratch_path(spark, "t-buckets")
+    UpsertStore(spark, path, buckets=16).init(base, 0)
+    store = UpsertStore(spark, path)             # the count is the store's own
+    assert store.buckets == 16
+    incoming = spark.createDataFrame([(5, "x"), (9999, "y")], "user_id int, res string")
+    n, buckets = store.touched(incoming)
+    assert n == 2 and 1 <= len(buckets) <= 2
+    found = store.stored(1, incoming, n, buckets)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and "bucket" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert sorted(map(tuple, found.collect())) == [(5, "2024-01-30")]
+    store.write_batch(1, incoming, DAY, n, buckets)
+    after = {r.user_id: r.res for r in store.state().collect()}
+    assert len(after) == 2001 and after[5] == "x" and after[9999] == "y" and after[6] == "a"
+
+
+def test_run_keeps_its_versions(spark):
+    target, incoming = frames(spark)
+    store = UpsertStore(spark, scratch_path(spark, "t-run")).init(target, 0)
+    assert store.base_for("ckpt-a") == 1
+    store.write_batch(1, incoming, DAY)
+    assert store.base_for("ckpt-a") == 1 and store.base_for("ckpt-b") == 2
+    # a batch replayed after its own compaction changes nothing
+    before = sorted(tuple(r) for r in store.state().collect())
+    store.compact(2)
+    store.write_batch(1, incoming, DAY)
+    assert sorted(tuple(r) for r in store.state().collect()) == before
 
 
 def test_stored_user_without_a_day_is_updated(spark):
