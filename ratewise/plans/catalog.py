@@ -278,7 +278,7 @@ EVENT_FILES = 3
 def _event_halves(spark, d):
     """The events before and from their mean time; events without a time come second."""
     e = V.table(spark, d, "events").select("event_id", "user_id", "value", "ts")
-    early = F.coalesce(F.col("ts").cast("double") < e.agg(F.avg(F.col("ts").cast("double"))).scalar(), F.lit(False))
+    early = F.coalesce(F.col("ts").cast("timestamp").cast("double") < e.agg(F.avg(F.col("ts").cast("timestamp").cast("double"))).scalar(), F.lit(False))
     return [e.filter(early).drop("ts"), e.filter(~early).drop("ts")]
 
 
