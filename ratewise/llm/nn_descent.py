@@ -4,10 +4,12 @@ Nearness is the largest inner product.  Index:
   * equal vectors are one node (the smallest id), so copies make no hubs;
   * a start graph: in each of ``TREES`` random hyperplane partitions, a node's best neighbours
     within its cell (cells above ``LEAF_MAX`` are dealt to random pieces);
-  * NN-descent: for ``ROUNDS`` rounds, a Spark join brings together at every node v the nodes that
-    point to v and the nodes v points to; each pair is scored and offered to both ends, and each
-    node keeps its ``DEGREE`` best.  A node that many point to is split into chunks, each joined
-    with the same bounded list, so nothing is dropped.
+  * NN-descent: a Spark join brings together at every node v the nodes that point to v and the
+    nodes v points to; each pair is scored and offered to both ends, and each node keeps its
+    ``DEGREE`` best.  A node that many point to is split into chunks, each joined with the same
+    bounded list, so nothing is dropped.  Pairs whose two edges at v are both older than the last
+    round were scored before and are left out.  Rounds go on, at any size, until the share of edges
+    that a round has changed is under ``DELTA``.
 Graph work uses 8-bit copies of the vectors; results are scored on the originals, in doubles.
 
 Search: a query's beam starts at the nearest of ``PIVOTS`` sampled nodes and, for a vector in the
@@ -36,7 +38,7 @@ from ratewise.session import scratch_path
 DEGREE = 40
 TREES = 8
 LEAF, LEAF_MAX = 1000, 2500       # wanted and largest cell of the start graph
-ROUNDS = 2
+DELTA = 0.001                     # rounds end when less than this share of the edges is new
 CHUNK = 512                       # nodes pointing to one node that are joined in one piece
 GROUP = 20_000                    # messages joined in one group
 BEAM = 120
@@ -151,31 +153,33 @@ def start_graph(nodes: DataFrame, n: int, dim: int, degree: int, trees: int, lea
 
 
 def descent_round(nodes: DataFrame, edges: DataFrame, n: int, degree: int) -> DataFrame:
-    """One round: neighbours of neighbours, by a join at the node between them."""
+    """One round: neighbours of neighbours, by a join at the node between them.
+
+    ``edges`` (src, dst, sc, new) -> the same; ``new``: the edge was not there before the round."""
     state = nodes.join(edges.groupBy(F.col("src").alias("id")).agg(
         F.when(F.count(F.lit(1)) >= degree, F.min("sc")).alias("low")), "id", "left").select(
         F.col("id").alias("x"), "code", F.coalesce("low", F.lit(float("-inf"))).cast("float").alias("low"))
     chunks = edges.groupBy(F.col("dst").alias("v")).agg(F.ceil(F.count(F.lit(1)) / F.lit(CHUNK)).cast("int").alias("chunks"))
-    to = edges.select(F.col("dst").alias("v"), F.col("src").alias("x")).join(chunks, "v").select(
-        "v", F.pmod(F.xxhash64("x"), F.col("chunks")).cast("int").alias("c"), "x", F.lit(False).alias("out"))
-    out = edges.select(F.col("src").alias("v"), F.col("dst").alias("x")).join(chunks, "v", "left").select(
-        "v", F.explode(F.sequence(F.lit(0), F.coalesce("chunks", F.lit(1)) - 1)).alias("c"), "x", F.lit(True).alias("out"))
+    to = edges.select(F.col("dst").alias("v"), F.col("src").alias("x"), "new").join(chunks, "v").select(
+        "v", F.pmod(F.xxhash64("x"), F.col("chunks")).cast("int").alias("c"), "x", F.lit(False).alias("out"), "new")
+    out = edges.select(F.col("src").alias("v"), F.col("dst").alias("x"), "new").join(chunks, "v", "left").select(
+        "v", F.explode(F.sequence(F.lit(0), F.coalesce("chunks", F.lit(1)) - 1)).alias("c"), "x", F.lit(True).alias("out"), "new")
     groups = max(1, 2 * n * degree // GROUP)
     sent = to.unionByName(out).join(state, "x").withColumn("g", F.pmod(F.xxhash64("v", "c"), F.lit(groups)))
 
     def join(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["v", "c", "out"])
         ids, low, x = pdf["x"].to_numpy(), pdf["low"].to_numpy(), matrix(list(pdf["code"]))
-        v, c, is_out = pdf["v"].to_numpy(), pdf["c"].to_numpy(), pdf["out"].to_numpy()
+        v, c, is_out, new = pdf["v"].to_numpy(), pdf["c"].to_numpy(), pdf["out"].to_numpy(), pdf["new"].to_numpy()
         starts = np.flatnonzero(np.concatenate(([True], (v[1:] != v[:-1]) | (c[1:] != c[:-1]))))
         src, dst, sc = [], [], []
         for a, b in zip(starts, np.append(starts[1:], len(v))):
             m = a + np.count_nonzero(~is_out[a:b])
-            if m == b:
+            if m == b or not new[a:b].any():
                 continue
             s = x[a:b] @ x[m:b].T
             near, far = ids[a:b], ids[m:b]
-            other = near[:, None] != far[None, :]
+            other = (near[:, None] != far[None, :]) & (new[a:b][:, None] | new[m:b][None, :])
             i, j = np.nonzero((s > low[a:b][:, None]) & other)       # w for u
             src.append(near[i])
             dst.append(far[j])
@@ -188,11 +192,24 @@ def descent_round(nodes: DataFrame, edges: DataFrame, n: int, degree: int) -> Da
             return _frame(ids[:0], ids[:0], np.zeros(0))
         return _frame(*_best(np.concatenate(src), np.concatenate(dst), np.concatenate(sc), degree))
 
-    offers = sent.select("g", "v", "c", "x", "out", "code", "low").groupBy("g").applyInPandas(join, _EDGES)
-    return _top(edges.unionByName(offers), degree)
+    offers = sent.select("g", "v", "c", "x", "out", "new", "code", "low").groupBy("g").applyInPandas(join, _EDGES)
+    best = _top(edges.select("src", "dst", "sc").unionByName(offers), degree)
+    before = edges.select("src", "dst", F.lit(False).alias("fresh"))
+    return best.join(before, ["src", "dst"], "left").select("src", "dst", "sc", F.coalesce("fresh", F.lit(True)).alias("new"))
+
+
+def descended(nodes: DataFrame, edges: DataFrame, n: int, degree: int, delta: float) -> DataFrame:
+    """Rounds from ``edges`` (src, dst, sc) until under ``delta`` of the edges are new.  Each node's list
+    only gets better, so that comes at last."""
+    edges = _written(edges.withColumn("new", F.lit(True)), "edges")
+    while True:
+        edges = _written(descent_round(nodes, edges, n, degree), "edges")
+        changed, total = edges.agg(F.count_if("new"), F.count(F.lit(1))).first()
+        if changed <= delta * total:
+            return edges.select("src", "dst", "sc")
 
 
-def build(vectors: DataFrame, degree: int = DEGREE, trees: int = TREES, leaf: int = LEAF, rounds: int = ROUNDS,
+def build(vectors: DataFrame, degree: int = DEGREE, trees: int = TREES, leaf: int = LEAF, delta: float = DELTA,
           seed: int = SEED) -> dict | None:
     """Index of ``usable`` vectors: tables ``nodes`` (id, code) and ``edges`` (src, dst, sc), and the
     pivots.  None if there is no vector."""
@@ -201,9 +218,7 @@ def build(vectors: DataFrame, degree: int = DEGREE, trees: int = TREES, leaf: in
         return None
     nodes = _written(vectors.filter("id = rep").select("id", codes_column("v").alias("code")), "nodes")
     n = nodes.count()
-    edges = _written(start_graph(nodes, n, head[0], degree, trees, leaf, seed), "edges")
-    for _ in range(rounds):
-        edges = _written(descent_round(nodes, edges, n, degree), "edges")
+    edges = descended(nodes, start_graph(nodes, n, head[0], degree, trees, leaf, seed), n, degree, delta)
     sample = nodes.orderBy(F.md5(F.col("id").cast("string")), "id").limit(PIVOTS).toPandas()
     return {"nodes": nodes, "edges": edges, "pivots": (sample["id"].to_numpy(dtype=np.int64), list(sample["code"]))}
 

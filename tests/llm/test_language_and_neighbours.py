@@ -46,3 +46,22 @@ def test_neighbours_of_awkward_vectors(spark):
             assert all(abs(got[i][r][1] - s[ids.index(got[i][r][0])]) < 1e-9 for r in range(1, 21))
     assert np.mean(hits) >= 0.9
     assert nn_descent.nearest(df.filter("vec_id = 500"), F.col("id") % 20 == 0).count() == 0
+
+
+def test_graph_is_refined_until_it_settles(spark, monkeypatch):
+    """Many cells, and a tight cluster of a third of the vectors that is dealt to random pieces."""
+    monkeypatch.setattr(nn_descent, "LEAF_MAX", 40)
+    rng = np.random.default_rng(4)
+    x = rng.standard_normal((4000, 16))
+    x[::3] = 2 * rng.standard_normal(16) + 0.05 * rng.standard_normal((1334, 16))
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    index = nn_descent.build(nn_descent.usable(df), trees=2, leaf=40)
+    edges, nodes = index["edges"].toPandas(), index["nodes"].toPandas().sort_values("id")
+    y = nn_descent.matrix(list(nodes["code"]))
+    s = y @ y.T
+    np.fill_diagonal(s, -np.inf)
+    least = np.sort(s, axis=1)[:, -nn_descent.DEGREE] - 1e-4
+    right = s[edges["src"], edges["dst"]] >= least[edges["src"]]
+    hot = edges["src"].to_numpy() % 3 == 0
+    assert right[hot].sum() >= 0.99 * 1334 * nn_descent.DEGREE
+    assert right[~hot].sum() >= 0.95 * 2666 * nn_descent.DEGREE      # two rounds: 0.906
