@@ -3,11 +3,13 @@
 Rules (host, path) decide the urls they fit.  The method learns from them: urls that a rule allows
 are the accepted sample, urls that a rule blocks the rejected one.  For each a smoothed
 variable-order Markov model of characters is counted over all its urls: contexts of 0 to ``ORDER``
-characters, interpolated from the shortest to the longest by Witten-Bell weights.  A context or
-continuation is kept if its share of all positions is at least ``P_MIN``; at most 1 / P_MIN are, so
-the model that reaches the workers is bounded whatever the input.  A url's score is the
-log-likelihood difference of the two models per character; the threshold is calibrated on a held
-tenth of the rule-covered urls, where it maximises balanced accuracy.
+characters, interpolated from the shortest to the longest by Witten-Bell weights.  Every n-gram
+counts, however rare: the counts are a Spark table that grows with the input, and no model reaches
+the driver or a worker.  The distinct n-grams of the urls to score are joined to it, level by level
+from single characters to the longest contexts, and each batch of urls gets the values of its own
+n-grams.  A url's score is the log-likelihood difference of the two models per character; the
+threshold is calibrated on a held tenth of the rule-covered urls, where it maximises balanced
+accuracy.
 
 Cases: a null url, or one without ``://``, has an empty host and path, fits no rule and is
 scored on its text (null: empty); an empty text scores 0; without accepted or rejected urls there
@@ -17,21 +19,22 @@ cannot both fit); repeated urls count as often as they occur; an empty table giv
 
 from __future__ import annotations
 
-import math
 from collections import Counter, defaultdict
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ratewise.llm.common import ascii_lower, quoted, small_batches
+from ratewise.session import scratch_path
 
 #: (verdict, host, path) of the production rules.
 RULES = (("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"),
          ("allow", "com", "/fr/"), ("block", "com", "/de/"))
 ORDER = 5
-P_MIN = 2e-6
+SCORED_ROWS = 4096        # urls scored together (divides 2**33, so a batch lies in one partition)
 HELD_GRAMS = 300_000      # distinct n-grams a counting task holds before it hands them on
 BINS = 400                # of the calibration histogram, over scores -4 to 4
 START, END = "\x02", "\x03"
@@ -88,7 +91,7 @@ def count_grams(urls: DataFrame) -> DataFrame:
 
 
 class Markov:
-    """One class's model from its kept n-grams."""
+    """One class's model held in memory: what ``log_ratios`` computes, as the tests' brute force."""
 
     def __init__(self, grams: list[str], counts: list[int]):
         self.next: dict[str, dict[str, int]] = defaultdict(dict)
@@ -110,63 +113,87 @@ class Markov:
         return p
 
 
-class Ratio:
-    """Length-normalised log-likelihood difference of the two models."""
+def _written(df: DataFrame, name: str) -> DataFrame:
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
-    def __init__(self, grams, n1, n0):
-        self.accepted, self.rejected = Markov(grams, n1), Markov(grams, n0)
-        self.memo: dict[str, float] = {}
 
-    def score(self, url: str | None) -> float:
-        if not url:
-            return 0.0
-        t, memo, total = START * ORDER + url + END, self.memo, 0.0
-        for i in range(ORDER, len(t)):
-            g = t[i - ORDER:i + 1]
-            x = memo.get(g)
-            if x is None:
-                if len(memo) > 500_000:
-                    memo.clear()
-                x = memo[g] = math.log(self.accepted.probability(g) / self.rejected.probability(g))
-            total += x
-        return total / (len(url) + 1)
-
-
-def score_column(url: Column, model: dict) -> Column:
-    held: dict = {}
-
-    @F.pandas_udf("double")
-    def run(s: pd.Series) -> pd.Series:
-        if "ratio" not in held:
-            held["ratio"] = Ratio(model["grams"], model["n1"], model["n0"])
-        return pd.Series([held["ratio"].score(u) for u in s], dtype="float64")
-
-    return run(url)
+def _longest(url: str) -> list[str]:
+    """The n-gram of every position with its longest context."""
+    t = START * ORDER + url + END
+    return [t[i - ORDER:i + 1] for i in range(ORDER, len(t))]
 
 
-def fit(urls: DataFrame, p_min: float = P_MIN) -> dict | None:
-    """``urls`` (url, accepted boolean), the rule-covered ones -> model with its threshold."""
-    held = F.pmod(F.xxhash64("url"), F.lit(10)) == 0
-    small_batches(urls.sparkSession, 4096)
-    train = urls.filter(~held & F.col("url").isNotNull())
-    n = train.agg(F.count_if("accepted"), F.count_if(~F.col("accepted")),
-                  F.sum(F.char_length("url") + 1)).first()
-    if not n[0] or not n[1]:
-        return None
-    least = max(1, math.ceil(p_min * n[2]))
-    got = count_grams(train).filter(F.col("n1") + F.col("n0") >= least).toPandas()
-    model = {"grams": got["gram"].tolist(), "n1": got["n1"].tolist(), "n0": got["n0"].tolist(), "threshold": 0.0}
-    scored = urls.filter(held & F.col("url").isNotNull()).select("accepted", score_column(F.col("url"), model).alias("s"))
+def asked_grams(parts: DataFrame) -> DataFrame:
+    """``parts`` (batch, url) -> ``(batch, gram)``: the distinct longest n-grams of each batch."""
+    def run(batches):
+        for pdf in batches:
+            held: dict[int, set] = defaultdict(set)
+            for b, url in zip(pdf["batch"], pdf["url"]):
+                held[b].update(_longest(url) if url else ())
+            for b, grams in held.items():
+                yield pd.DataFrame({"batch": b, "gram": list(grams)}).astype({"batch": "int64", "gram": "object"})
+
+    return parts.select("batch", "url").mapInPandas(run, "batch long, gram string").distinct()
+
+
+def log_ratios(train: DataFrame, asked: DataFrame) -> DataFrame:
+    """``train`` (url, accepted), ``asked`` (gram) -> ``(gram, x)``: the log of the two models' ratio.
+
+    Joins go from a gram to the one without its first character, so a key meets at most as many rows
+    as there are characters."""
+    ends = asked.select("gram").distinct().select(
+        F.explode(F.array(*[F.substring("gram", ORDER + 1 - k, k + 1) for k in range(ORDER + 1)])).alias("gram"))
+    none = F.lit(0).cast("long")
+    grams = (count_grams(train).withColumn("asked", F.lit(False))
+             .unionByName(ends.distinct().select("gram", none.alias("n1"), none.alias("n0"), F.lit(True).alias("asked")))
+             .groupBy("gram").agg(F.sum("n1").alias("n1"), F.sum("n0").alias("n0"), F.max("asked").alias("asked")))
+    w = Window.partitionBy(F.expr("substring(gram, 1, char_length(gram) - 1)"))
+    known = _written(grams.select("gram", "asked", "n1", "n0", *[
+        f for c in "10" for f in (F.sum(f"n{c}").over(w).alias(f"t{c}"), F.sum((F.col(f"n{c}") > 0).cast("long")).over(w).alias(f"k{c}"))
+    ]).filter("asked"), "grams")
+    out = None
+    for k in range(ORDER + 1):
+        level = known.filter(F.char_length("gram") == k + 1)
+        if out is None:
+            level = level.withColumns({"p1": F.lit(1 / 256), "p0": F.lit(1 / 256)})
+        else:
+            level = level.withColumn("end", F.substring("gram", 2, k)).join(out.withColumnRenamed("gram", "end"), "end")
+        out = level.select("gram", *[
+            F.when(F.col(f"t{c}") > 0, (F.col(f"n{c}") + F.col(f"k{c}") * F.col(f"p{c}")) / (F.col(f"t{c}") + F.col(f"k{c}")))
+            .otherwise(F.col(f"p{c}")).alias(f"p{c}") for c in "10"])
+    return out.select("gram", F.log(F.col("p1") / F.col("p0")).alias("x"))
+
+
+def scores(rows: DataFrame, train: DataFrame) -> DataFrame:
+    """``rows`` (url and others) with ``s``, the length-normalised log-likelihood difference; written."""
+    at = F.floor(F.monotonically_increasing_id() / SCORED_ROWS).cast("long")
+    parts = _written(rows.withColumn("batch", at), "parts")
+    asked = _written(asked_grams(parts), "asked")
+    told = asked.join(log_ratios(train, asked), "gram")
+
+    def score(left: pa.Table, right: pa.Table) -> pa.Table:
+        x = dict(zip(right["gram"].to_pylist(), right["x"].to_pylist()))
+        s = [sum(x[g] for g in _longest(u)) / (len(u) + 1) if u else 0.0 for u in left["url"].to_pylist()]
+        return left.append_column("s", pa.array(s, pa.float64()))
+
+    kind = parts.withColumn("s", F.lit(0.0)).schema
+    return _written(parts.groupBy("batch").cogroup(told.groupBy("batch")).applyInArrow(score, kind), "scored")
+
+
+def threshold(scored: DataFrame) -> float:
+    """``scored`` (accepted, s) -> the middle of the cuts with the best balanced accuracy."""
     bins = scored.groupBy(F.floor((F.greatest(F.least("s", F.lit(4.0)), F.lit(-4.0)) + 4) / 8 * BINS).cast("int").alias("b")).agg(
         F.count_if("accepted").alias("n1"), F.count_if(~F.col("accepted")).alias("n0")).toPandas()
     n1, n0 = np.zeros(BINS + 1), np.zeros(BINS + 1)
     n1[bins["b"]], n0[bins["b"]] = bins["n1"], bins["n0"]
-    if n1.sum() and n0.sum():
-        # accepted at or above a cut, rejected below it; the middle of the best cuts
-        right = (n1.sum() - np.cumsum(n1) + n1) / n1.sum() + (np.cumsum(n0) - n0) / n0.sum()
-        best = np.flatnonzero(right >= right.max() - 1e-9)
-        model["threshold"] = float((best[0] + best[-1]) / 2 / BINS * 8 - 4)
-    return model
+    if not n1.sum() or not n0.sum():
+        return 0.0
+    # accepted at or above a cut, rejected below it
+    right = (n1.sum() - np.cumsum(n1) + n1) / n1.sum() + (np.cumsum(n0) - n0) / n0.sum()
+    best = np.flatnonzero(right >= right.max() - 1e-9)
+    return float((best[0] + best[-1]) / 2 / BINS * 8 - 4)
 
 
 def judge(pages: DataFrame, rules=RULES, id_col: str = "page_id", url_col: str = "url") -> DataFrame:
@@ -176,13 +203,18 @@ def judge(pages: DataFrame, rules=RULES, id_col: str = "page_id", url_col: str =
     base = pages.select(quoted(id_col).alias("page_id"), url.alias("url"), host.alias("host"), path.alias("path"))
     rule, verdict = rule_of(F.col("host"), F.col("path"), rules)
     base = base.select("*", rule.alias("rule"), verdict.alias("ruled"))
-    model = fit(base.filter(F.col("ruled").isNotNull()).select("url", (F.col("ruled") == "allow").alias("accepted")))
-    if model is None:
+    ruled = F.col("ruled").isNotNull()
+    held = F.pmod(F.xxhash64("url"), F.lit(10)) == 0
+    accepted = (F.col("ruled") == "allow").alias("accepted")
+    train = base.filter(ruled & ~held & F.col("url").isNotNull()).select("url", accepted)
+    n = train.agg(F.count_if("accepted"), F.count_if(~F.col("accepted"))).first()
+    if not n[0] or not n[1]:
         return base.select("page_id", "host", "path", "rule", F.coalesce("ruled", F.lit("allow")).alias("verdict"),
                            F.lit(None).cast("double").alias("score"))
-    small_batches(pages.sparkSession, 4096)
-    open_url = F.when(F.col("ruled").isNull(), F.coalesce("url", F.lit("")))    # null (no work) where a rule decides
-    out = base.select("*", score_column(open_url, model).alias("s"))
-    by_model = F.when(F.col("s") >= model["threshold"], "allow").otherwise("block")
-    return out.select("page_id", "host", "path", "rule", F.coalesce("ruled", by_model).alias("verdict"),
-                      F.when(F.col("ruled").isNull(), F.col("s")).alias("score"))
+    small_batches(pages.sparkSession, SCORED_ROWS)
+    scored = scores(base.filter(~ruled | (held & F.col("url").isNotNull())), train)
+    cut = threshold(scored.filter(ruled).select(accepted, "s"))
+    columns = ["page_id", "host", "path", "rule"]
+    by_rule = base.filter(ruled).select(*columns, F.col("ruled").alias("verdict"), F.lit(None).cast("double").alias("score"))
+    by_model = F.when(F.col("s") >= cut, "allow").otherwise("block")
+    return by_rule.unionByName(scored.filter(~ruled).select(*columns, by_model.alias("verdict"), F.col("s").alias("score")))
