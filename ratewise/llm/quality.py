@@ -3,12 +3,12 @@
 Learns from preference pairs: a document labelled 1 is preferred to one labelled 0, with
 probability sigmoid(w.x1 - w.x0).  That is logistic regression without intercept on feature
 differences (Spark ML).  The ranking score w.x is then cut at a score quantile: the threshold is
-the quantile of the labelled documents' scores at the share of label 0 among all training labels.
+the exact quantile of all training-labelled documents' scores at the share of label 0 among them.
 
 ``score`` maps w.x to 0..1 by a logistic curve that puts the threshold at ``CUT``.
 
 The fit uses a bounded sample (``MAX_PER_LABEL`` rows of each label, the smallest md5 of the id),
-a documented parameter; label shares are counted over all training labels and every document is
+a documented parameter; the threshold is taken over all training labels and every document is
 scored on its whole text.  Features are text statistics alone (never labels, lang, source or ids).
 
 Cases: null and empty texts have the features of an empty text; a document labelled twice gives
@@ -36,6 +36,7 @@ from ratewise.sources.tables import cut_lineage
 MAX_PER_LABEL = 4000      # sample bound of the fit, per label
 PAIRS_PER_ROW = 4         # preference pairs drawn for each sampled row of label 1
 CUT = 0.3                 # score >= CUT: label 1
+BINS = 4096               # of one pass of the threshold's histogram
 SHAPES = 64               # buckets of hashed word shapes
 HEAD = 20                 # named statistics ahead of the shapes
 DIM = HEAD + SHAPES
@@ -109,26 +110,69 @@ def feature_array(text):
     return run(text)
 
 
+def marked_ids(labels: DataFrame, id_col: str = "doc_id", label_col: str = "quality") -> DataFrame:
+    """The usable labels ``(_id, y)``."""
+    return (labels.select(quoted(id_col).alias("_id"), quoted(label_col).cast("int").alias("y"))
+            .filter(F.col("_id").isNotNull() & F.col("y").isin(0, 1)))
+
+
 def training_rows(docs: DataFrame, labels: DataFrame, text_col: str = "text", id_col: str = "doc_id",
-                  label_col: str = "quality", max_per_label: int = MAX_PER_LABEL) -> tuple[DataFrame, dict]:
-    """The sampled rows ``(y, rn, x)`` and the label counts over all of ``labels``."""
-    marked = (labels.select(quoted(id_col).alias("_id"), quoted(label_col).cast("int").alias("y"))
-              .filter(F.col("_id").isNotNull() & F.col("y").isin(0, 1)))
-    share = {r["y"]: r["n"] for r in marked.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
+                  label_col: str = "quality", max_per_label: int = MAX_PER_LABEL) -> DataFrame:
+    """The sampled rows ``(y, o, x)``."""
+    marked = marked_ids(labels, id_col, label_col)
     order = F.md5(F.concat(F.lit("bt:"), F.col("_id").cast("string")))
     picked = [marked.filter(F.col("y") == y).orderBy(order, "_id").limit(max_per_label) for y in (0, 1)]
     sample = cut_lineage(picked[0].unionByName(picked[1]))
     # at most 2 * max_per_label ids: a proven bound for the broadcast
     texts = docs.select(quoted(id_col).alias("_id"), quoted(text_col).alias("_text")).join(F.broadcast(sample), "_id")
     return texts.select("y", F.md5(F.concat_ws(":", F.col("_id").cast("string"), F.lit("pair"))).alias("o"),
-                        feature_array("_text").alias("x")), share
+                        feature_array("_text").alias("x"))
+
+
+def rank_column(text, w: list[float]):
+    """The ranking score w.x of a text column."""
+    cache: dict = {}
+
+    @F.pandas_udf("double")
+    def run(s: pd.Series) -> pd.Series:
+        return pd.Series(_rows(s, cache) @ np.array(w))
+
+    return run(text)
+
+
+def smallest(scores: DataFrame, k: int) -> float:
+    """The k-th smallest ``s`` (from 1), exactly: each pass counts ``BINS`` bins and goes on in one."""
+    lo, hi = scores.agg(F.min("s"), F.max("s")).first()
+    while lo < hi:
+        bin_of = F.least(F.floor((F.col("s") - F.lit(lo)) / F.lit((hi - lo) / BINS)), F.lit(BINS - 1))
+        for b in (scores.filter(F.col("s").between(lo, hi)).groupBy(bin_of.alias("b"))
+                  .agg(F.count(F.lit(1)).alias("n"), F.min("s").alias("lo"), F.max("s").alias("hi")).orderBy("b").collect()):
+            if k <= b["n"]:
+                break
+            k -= b["n"]
+        if (b["lo"], b["hi"]) == (lo, hi):        # neighbouring numbers that no bin tells apart
+            break
+        lo, hi = b["lo"], b["hi"]
+    return lo
+
+
+def threshold(docs: DataFrame, labels: DataFrame, w: list[float], text_col: str = "text", id_col: str = "doc_id",
+              label_col: str = "quality") -> float:
+    """The score quantile at the share of label 0, over all labelled documents."""
+    # scored before the join, so that no text is moved
+    ranked = docs.select(quoted(id_col).alias("_id"), rank_column(quoted(text_col), w).alias("s"))
+    scores = cut_lineage(ranked.join(marked_ids(labels, id_col, label_col), "_id").select("y", "s"))
+    below = scores.filter("y = 0").count()
+    last = smallest(scores, below)
+    above = scores.filter(F.col("s") > last).agg(F.min("s")).first()[0]
+    return last if above is None else (last + above) / 2
 
 
 def fit(docs: DataFrame, labels: DataFrame, text_col: str = "text", id_col: str = "doc_id",
         label_col: str = "quality", max_per_label: int = MAX_PER_LABEL) -> dict | None:
     """Weights, threshold and slope; None if there are no pairs to learn from."""
     small_batches(docs.sparkSession)
-    rows, share = training_rows(docs, labels, text_col, id_col, label_col, max_per_label)
+    rows = training_rows(docs, labels, text_col, id_col, label_col, max_per_label)
     # ranks within the bounded sample
     rows = cut_lineage(rows.withColumn("rn", F.row_number().over(Window.partitionBy("y").orderBy("o")) - 1))
     n = {r["y"]: r["n"] for r in rows.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
@@ -145,21 +189,10 @@ def fit(docs: DataFrame, labels: DataFrame, text_col: str = "text", id_col: str
         F.transform("d", lambda v: F.when(won, v).otherwise(-v))).alias("features"))
     model = LogisticRegression(fitIntercept=False, regParam=1e-3, maxIter=60).fit(pairs)
     w = model.coefficients.toArray()
-    # scores of the bounded sample; each label weighted by its share among all training labels
+    tau = threshold(docs, labels, w.tolist(), text_col, id_col, label_col)
+    # the sample's medians give the slope alone
     got = [(r["y"], float(np.dot(w, r["x"]))) for r in rows.select("y", "x").collect()]
     y, s = np.array([g[0] for g in got]), np.array([g[1] for g in got])
-    weight = np.where(y == 1, share[1] / n[1], share[0] / n[0])
-    o = np.argsort(s)
-    cum = np.cumsum(weight[o]) / weight.sum()
-    quantile = share[0] / (share[0] + share[1])
-    k = min(int(np.searchsorted(cum, quantile)), len(o) - 2)
-    # the threshold at the quantile, moved into the widest gap of the nearby scores: a quantile of
-    # a sample is known only to about its standard error
-    near = max(1, int(2 * math.sqrt(len(o) * 0.25)))
-    lo, hi = max(0, k - near), min(len(o) - 1, k + near)
-    gaps = np.diff(s[o][lo:hi + 1])
-    g = lo + int(np.argmax(gaps)) if len(gaps) else k
-    tau = float((s[o][g] + s[o][min(g + 1, len(o) - 1)]) / 2)
     spread = float(np.median(s[y == 1]) - np.median(s[y == 0])) or 1.0
     return {"w": w.tolist(), "tau": tau, "slope": 8.0 / max(abs(spread), 1e-6)}
 

@@ -34,3 +34,20 @@ def test_one_label_rejects_nothing(spark):
     assert quality.fit(df, spark.createDataFrame([], "doc_id long, quality int")) is None
     assert df.select(quality.score_column(F.col("text"), None).alias("s")).filter("s = 1").count() == len(helpers.rows())
     assert quality.fit(helpers.empty(spark), spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, quality int")) is None
+
+
+def test_threshold_is_the_quantile_of_all_labels(spark):
+    """More labels than the sample of the fit holds: the cut still leaves the share of label 0 below it."""
+    docs, labels = table(spark, SF001, "documents"), table(spark, SF001, "labels").filter("quality is not null")
+    model = quality.fit(docs, labels, max_per_label=20)
+    rows = docs.join(labels, "doc_id").select("quality", quality.rank_column(F.col("text"), model["w"]).alias("s")).collect()
+    s = sorted(r["s"] for r in rows)
+    k = sum(r["quality"] == 0 for r in rows)
+    assert 20 < k < len(s) and s[k - 1] < model["tau"] < s[k]
+
+
+def test_smallest_is_exact(spark):
+    values = [0.1] * 5000 + [0.1 + 1e-17, 1e12, -1e12, -3.5, 0.10000000000000002] + [k / 7 for k in range(2000)]
+    df = spark.createDataFrame([(v,) for v in values], "s double")
+    for k in (1, 2, 3, 2500, 5003, 5004, len(values)):
+        assert quality.smallest(df, k) == sorted(values)[k - 1]
