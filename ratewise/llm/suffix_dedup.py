@@ -1,10 +1,10 @@
-"""Suffix-array dedup by bucket-pointer refinement: remove bytes covered by a repeated string.
+"""Substring dedup by winnowing with hashed windows (in place of bucket-pointer refinement, which is
+not built): remove bytes covered by a repeated string.
 
 A byte is removed if a ``MATCH``-byte string that covers it also starts earlier (smaller id, or same
 document and earlier start).  Matches never cross documents; all is judged on the input.
 
-Suffixes are bucketed by a q-gram and buckets are refined by what follows at later offsets, but
-only suffixes that can matter are ever listed:
+Windows are bucketed by a q-gram and buckets are refined by hashes; no suffix is listed or sorted:
   1. Initial buckets.  In every ``MATCH``-byte window the smallest hashed q-gram is its pointer
      (``Q`` bytes, ``WINDOW`` candidates; Q + WINDOW - 1 = MATCH).  Equal windows have the same
      pointer at the same offset, so windows are compared within a pointer's bucket only, and a
