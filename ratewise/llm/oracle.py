@@ -38,4 +38,10 @@ e AS (SELECT doc_id, source, n_chars, rate, unnest(generate_series(1, copies)) A
 SELECT doc_id, source, copy::INTEGER AS copy, md5('17:order:' || doc_id || ':' || copy) AS shuffle_key, n_chars, round(rate, 9) AS rate FROM e
 """
 
-ORACLE_SQL = {"op7_line_dedup": LINE_DEDUP, "op2_mix_sources": MIX}
+EXACT_DEDUP = r"""
+WITH t AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS norm FROM documents),
+g AS (SELECT norm, min(doc_id) AS keep_id, count(*) AS group_size FROM t GROUP BY norm)
+SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(norm) AS text_sha256 FROM t JOIN g USING (norm)
+"""
+
+ORACLE_SQL = {"op7_line_dedup": LINE_DEDUP, "op2_mix_sources": MIX, "op12_exact_dedup": EXACT_DEDUP}

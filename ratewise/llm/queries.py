@@ -6,8 +6,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ratewise.llm import (
-    imatch, language_mixture, line_dedup, mixing, nn_descent, quality, sentencepiece_codec, simhash_dedup, suffix_dedup,
-    url_filter,
+    content_sort, imatch, language_mixture, line_dedup, mixing, nn_descent, quality, sentencepiece_codec, simhash_dedup,
+    suffix_dedup, url_filter,
 )
 from ratewise.llm.common import sha256_text, table
 
@@ -72,6 +72,11 @@ def q_suffix_dedup(spark, d):
     return out.select("_row.doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
+def q_content_sort(spark, d):
+    out = content_sort.exact_groups(table(spark, d, "documents"), columns=["doc_id"])
+    return out.select("_row.doc_id", "keep_id", "group_size", "kept", "text_sha256")
+
+
 QUERIES = {
     "op1_imatch": q_imatch,
     "op2_mix_sources": q_mix,
@@ -83,4 +88,5 @@ QUERIES = {
     "op8_sentencepiece": q_sentencepiece,
     "op9_quality": q_quality,
     "op10_suffix_dedup": q_suffix_dedup,
+    "op12_exact_dedup": q_content_sort,
 }
