@@ -44,4 +44,37 @@ g AS (SELECT norm, min(doc_id) AS keep_id, count(*) AS group_size FROM t GROUP B
 SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(norm) AS text_sha256 FROM t JOIN g USING (norm)
 """
 
-ORACLE_SQL = {"op7_line_dedup": LINE_DEDUP, "op2_mix_sources": MIX, "op12_exact_dedup": EXACT_DEDUP}
+
+
+def _clusters() -> str:
+    """Ten rounds of assignment by all distances and exact floored means, then one assignment more."""
+    nearest = """{a} AS MATERIALIZED (
+  SELECT rid, c, dist FROM (
+    SELECT x.rid, k.c, sum((x.x - k.x) * (x.x - k.x)) AS dist FROM x JOIN {c} k USING (d) GROUP BY x.rid, k.c)
+  QUALIFY row_number() OVER (PARTITION BY rid ORDER BY dist, c) = 1)"""
+    moved = """{new} AS MATERIALIZED (
+  SELECT k.c, k.d, coalesce(m.x, k.x) AS x FROM {c} k LEFT JOIN (
+    SELECT c, d, CASE WHEN s >= 0 THEN s // n ELSE -((n - 1 - s) // n) END AS x
+    FROM (SELECT a.c, x.d, sum(x.x) AS s, count(*) AS n FROM x JOIN {a} a USING (rid) GROUP BY a.c, x.d)) m USING (c, d))"""
+    rounds = []
+    for r in range(10):
+        rounds += [nearest.format(a=f"a{r}", c=f"c{r}"), moved.format(new=f"c{r + 1}", c=f"c{r}", a=f"a{r}")]
+    rounds.append(nearest.format(a="a10", c="c10"))
+    return f"""
+WITH v AS (SELECT row_number() OVER () AS rid, vec_id, embedding FROM embeddings WHERE len(embedding) = 64),
+e AS (SELECT rid, vec_id, generate_subscripts(embedding, 1) AS d, unnest(embedding)::DOUBLE AS x FROM v),
+good AS (SELECT rid FROM e GROUP BY rid HAVING count(*) FILTER (WHERE isfinite(x)) = 64),
+x AS MATERIALIZED (SELECT rid, vec_id, d, floor(1024 * x)::BIGINT AS x FROM e JOIN good USING (rid)),
+ids AS MATERIALIZED (SELECT DISTINCT rid, vec_id FROM x),
+s AS (SELECT rid, row_number() OVER (ORDER BY sha256('3:' || vec_id)) - 1 AS c FROM ids QUALIFY c < 8),
+c0 AS MATERIALIZED (SELECT s.c, x.d, x.x FROM x JOIN s USING (rid)),
+{", ".join(rounds)},
+sums AS (SELECT c, sum(dist) AS inertia FROM a10 GROUP BY c),
+text AS (SELECT c, sha256(string_agg(x::VARCHAR, ',' ORDER BY d)) AS sha FROM c10 GROUP BY c)
+SELECT ids.vec_id, a10.c::INTEGER AS cluster, a10.dist::BIGINT AS distance, sums.inertia::BIGINT AS cluster_inertia,
+       (SELECT sum(inertia) FROM sums)::BIGINT AS inertia, text.sha AS centroid_sha256
+FROM a10 JOIN ids USING (rid) JOIN sums USING (c) JOIN text USING (c)
+"""
+
+
+ORACLE_SQL = {"op11_threshold_clusters": _clusters(), "op7_line_dedup": LINE_DEDUP, "op2_mix_sources": MIX, "op12_exact_dedup": EXACT_DEDUP}

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ratewise.llm import (
     content_sort, imatch, language_mixture, line_dedup, mixing, nn_descent, quality, sentencepiece_codec, simhash_dedup,
-    suffix_dedup, url_filter,
+    suffix_dedup, threshold_clusters, url_filter,
 )
 from ratewise.llm.common import sha256_text, table
 
@@ -77,6 +77,13 @@ def q_content_sort(spark, d):
     return out.select("_row.doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def q_clusters(spark, d):
+    out = threshold_clusters.clusters(table(spark, d, "embeddings"))
+    text = F.array_join(F.transform("centroid", lambda x: x.cast("string")), ",")
+    return out.select(F.col("id").alias("vec_id"), "cluster", "distance", "cluster_inertia", "inertia",
+                      sha256_text(text).alias("centroid_sha256"))
+
+
 QUERIES = {
     "op1_imatch": q_imatch,
     "op2_mix_sources": q_mix,
@@ -88,5 +95,6 @@ QUERIES = {
     "op8_sentencepiece": q_sentencepiece,
     "op9_quality": q_quality,
     "op10_suffix_dedup": q_suffix_dedup,
+    "op11_threshold_clusters": q_clusters,
     "op12_exact_dedup": q_content_sort,
 }
