@@ -24,6 +24,18 @@ def small_batches(spark: SparkSession, rows: int = ARROW_ROWS) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
 
 
+@contextlib.contextmanager
+def batch_rows(spark: SparkSession, rows: int = ARROW_ROWS):
+    """``small_batches`` for the plans executed within it; the session's own setting comes back."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 @contextlib.contextmanager
 def finished_shuffles_deleted(spark: SparkSession):
     """Within it, a plan's shuffle files go as soon as its result is written (Spark else keeps them

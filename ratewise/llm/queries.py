@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ratewise.llm import (
     content_sort, imatch, language_mixture, line_dedup, mixing, nn_descent, quality, sentencepiece_codec, simhash_dedup,
-    suffix_dedup, threshold_clusters, url_filter,
+    spelling_variants, suffix_dedup, threshold_clusters, url_filter,
 )
 from ratewise.llm.common import sha256_text, table
 
@@ -84,6 +84,10 @@ def q_clusters(spark, d):
                       sha256_text(text).alias("centroid_sha256"))
 
 
+def q_spelling(spark, d):
+    return spelling_variants.variants(table(spark, d, "documents"))
+
+
 QUERIES = {
     "op1_imatch": q_imatch,
     "op2_mix_sources": q_mix,
@@ -97,4 +101,5 @@ QUERIES = {
     "op10_suffix_dedup": q_suffix_dedup,
     "op11_threshold_clusters": q_clusters,
     "op12_exact_dedup": q_content_sort,
+    "op13_spelling_variants": q_spelling,
 }
