@@ -19,7 +19,7 @@ import math
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from ratewise.functions.codec import encode_ids, encode_scored
@@ -196,6 +196,12 @@ def exclude(df: DataFrame, blacklist: DataFrame, key: str, how: str = "anti") ->
 COLD_START = ("popular", "drop", "fail")
 
 
+def _written(df: DataFrame, count) -> tuple[DataFrame, int]:
+    """The rows in the checkpoint folder, and a count that the writing pass observes."""
+    seen = Observation()
+    return cut_lineage(df.observe(seen, count.alias("n"))), seen.get["n"]
+
+
 def recommend(users: DataFrame, user_factors: DataFrame, item_factors: DataFrame, k: int = 5,
               cold_start: str = "popular", popular: DataFrame | None = None,
               user_col: str = "user_id", n_items: int | None = None, n_users: int | None = None) -> DataFrame:
@@ -216,13 +222,11 @@ def recommend(users: DataFrame, user_factors: DataFrame, item_factors: DataFrame
     # the count decides the join strategy, and both branches (known, unknown) and the block
     # sizing read the classified users instead of recomputing the users' plan
     if n_users is None:
-        requested = cut_lineage(users.select(user_col).distinct())
-        n_users = requested.count()
+        requested, n_users = _written(users.select(user_col).distinct(), F.count(F.lit(1)))
     else:
         requested = users.select(user_col)
-    wanted = cut_lineage(classify_users(requested, user_factors, user_col, n_users=n_users))
+    wanted, n_known = _written(classify_users(requested, user_factors, user_col, n_users=n_users), F.count_if("known"))
     known_ids = wanted.filter("known").select(F.col(user_col).alias("id"))
-    n_known = known_ids.count()
     small = n_known <= BROADCAST_MAX_ROWS
     known_f = user_factors.join(F.broadcast(known_ids) if small else known_ids, "id", "left_semi")
     rows = top_k_rows(known_f, item_factors, k, n_users=n_known, n_items=n_items)

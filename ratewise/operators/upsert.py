@@ -8,24 +8,21 @@ When the target holds several rows of one user, its latest day decides.
 
 Everything is joins on ``user_id``: the incoming batch is joined with the target's keys
 (a left join, J4), and the new target is ``target anti updated users  UNION  inserts+updates``
-(a keyed overwrite, K7).  ``UpsertStore`` keeps the target as an append-only, versioned parquet
-log so that a replayed batch overwrites only its own version and the rule stays idempotent.
+(a keyed overwrite, K7).  ``UserTable`` keeps the target as a plain parquet table partitioned by a
+hash bucket of the user id; a batch joins the buckets it touches and overwrites just these.
 """
 
 from __future__ import annotations
 
-import hashlib
-
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ratewise.functions.codec import day_text
-from ratewise.sources.tables import cut_lineage
+from ratewise.sources.tables import cut_lineage, path_exists
 
 INSERT, UPDATE, SKIP = "insert", "update", "skip"
 BROADCAST_MAX_ROWS = 1_000_000  # batch keys broadcast only below this measured count
-BUCKETS = 64                    # hash buckets of a new store; a batch reads only those it touches
+BUCKETS = 64                    # hash buckets of a new table; a batch rewrites only those it touches
 
 
 def target_days(target: DataFrame, user_col: str = "user_id") -> DataFrame:
@@ -63,139 +60,101 @@ def upsert(target: DataFrame, incoming: DataFrame, day=None, user_col: str = "us
     return apply_actions(target, classify(incoming, target, day, user_col), user_col)
 
 
-class UpsertStore:
-    """A ``rec_user`` table kept as a versioned, bucketed parquet log under ``path``.
+class UserTable:
+    """A ``rec_user`` table, one row per user: parquet under ``path/table``, partitioned by bucket.
+
+    ``write_batch`` is an idempotent read-modify-write.  It joins the stored rows of the touched
+    buckets with the batch, writes their new contents to ``path/batches`` keyed by run and batch id,
+    and from there overwrites these buckets of the table (dynamic partition overwrite).  A batch
+    replayed by the stream's checkpoint finds its users served today and writes the same rows again,
+    so the checkpoint is the only log.
 
-    Each write adds partitions ``version=<v>/bucket=<b>`` holding only the inserted/updated rows;
-    the current state is the latest version per user.  ``write_batch(v, ...)`` classifies against
-    versions < v only and overwrites the partitions of v alone (dynamic partition overwrite), so
-    running the same version twice reproduces them.  A write commits as a whole (Spark's job
-    commit), and a committed write makes a later replay of the same users a same-day skip, so
-    replays under a new version number are harmless too.
-    Versions must only grow: callers start from ``next_version()`` or, to get the same numbers
-    again after a restart, from ``base_for(run)``.
-    ``compact(v)`` writes the current state as a new base version ``v`` (an unused number).
+    Spark replaces partitions one after another when a write commits.  If the driver dies between
+    removing a bucket and putting the new one in its place, the bucket is missing from the table but
+    stands in the last batch: ``recover(run)``, called when a run starts, puts it back.  A run that
+    died is to be started again (or recovered) before another run writes; one run writes at a time.
+    Only the last batch of a run is ever read again: older partitions of ``batches`` may be dropped.
 
-    The bucket count is fixed by the first write.  It, the bases and the runs are empty files
-    named by their number in ``_buckets``, ``_base`` and ``_run-*`` beside the data.
+    The bucket count is a partition column, so an existing table keeps its own.  Each batch rewrites
+    its buckets whole: give a large table as many buckets as keeps one at a few megabytes.
     """
 
     def __init__(self, spark: SparkSession, path: str, user_col: str = "user_id", buckets: int = BUCKETS):
-        self.spark = spark
-        self.path = path.rstrip("/")
-        self.user_col = user_col
-        self.buckets = next(iter(self._marks("_buckets")), buckets)
-
-    def _folder(self, name: str):
-        """The Hadoop file system and the path of a sub-folder ("" for the store itself)."""
-        path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}" if name else self.path)
-        return path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), path
-
-    def _names(self, name: str) -> list[str]:
-        fs, path = self._folder(name)
-        return [s.getPath().getName() for s in fs.listStatus(path)] if fs.exists(path) else []
-
-    def _marks(self, name: str) -> list[int]:
-        return sorted(map(int, self._names(name)))
+        self.spark, self.path, self.user_col = spark, path.rstrip("/"), user_col
+        self.table, self.batches = f"{self.path}/table", f"{self.path}/batches"
+        stored = self._stored().select("n_buckets").first()
+        self.buckets = stored[0] if stored else buckets
 
-    def _mark(self, name: str, n: int) -> None:
-        fs, path = self._folder(f"{name}/{n}")
-        fs.create(path, True).close()
-
-    def _delete(self, name: str) -> None:
-        fs, path = self._folder(name)
-        fs.delete(path, True)
-
-    def _versions(self) -> list[int]:
-        return sorted(int(n.split("=", 1)[1]) for n in self._names("") if n.startswith("version="))
-
-    def _bucket(self):
+    def bucket(self) -> Column:
         return F.pmod(F.hash(F.col(self.user_col).cast("bigint")), F.lit(self.buckets))
 
-    def _log(self, before: int | None = None, buckets: list[int] | None = None) -> DataFrame:
-        """Rows from the newest base on; both limits are partition filters."""
-        try:
-            log = self.spark.read.parquet(self.path)
-        except AnalysisException:
-            # nothing written yet: an empty log
-            return self.spark.createDataFrame(
-                [], f"{self.user_col} int, res string, day string, version bigint, bucket int")
-        bases = [b for b in self._marks("_base") if before is None or b < before]
-        if bases:
-            log = log.filter(F.col("version") >= bases[-1])
-        if before is not None:
-            log = log.filter(F.col("version") < before)
-        return log if buckets is None else log.filter(F.col("bucket").isin(buckets))
-
-    def _write(self, rows: DataFrame, version: int) -> None:
-        if not self._marks("_buckets"):
-            self._mark("_buckets", self.buckets)
-        rows = rows.select(self.user_col, "res", "day", F.lit(version).cast("bigint").alias("version"),
-                           self._bucket().alias("bucket"))
+    def _stored(self) -> DataFrame:
+        schema = f"{self.user_col} int, res string, day string, n_buckets int, bucket int"
+        if not path_exists(self.spark, self.table):
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(self.table)
+
+    def _write(self, rows: DataFrame, mode: str = "overwrite") -> None:
+        rows = rows.select(self.user_col, "res", "day", F.lit(self.buckets).alias("n_buckets"), "bucket")
         # few files a bucket; adaptive execution splits large buckets and joins small ones
-        (rows.hint("rebalance", "bucket").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("version", "bucket").parquet(self.path))
+        (rows.hint("rebalance", "bucket").write.mode(mode).option("partitionOverwriteMode", "dynamic")
+         .partitionBy("n_buckets", "bucket").parquet(self.table))
 
-    def init(self, base: DataFrame, version: int = 0) -> "UpsertStore":
-        self._write(base, version)
+    def init(self, base: DataFrame) -> "UserTable":
+        """Replace the table by ``base``, one row per user (the latest day, then res)."""
+        latest = base.groupBy(self.user_col).agg(F.max(F.struct("day", "res")).alias("_s"))
+        self._write(latest.select(self.user_col, "_s.res", "_s.day", self.bucket().alias("bucket")))
         return self
 
-    def next_version(self) -> int:
-        """One more than the highest version written (0 for an empty store)."""
-        return max(self._versions() + self._marks("_base"), default=-1) + 1
-
-    def base_for(self, run: str) -> int:
-        """The first version of a run (say, a stream's checkpoint folder): ``next_version()`` when
-        first asked, the same number ever after."""
-        name = "_run-" + hashlib.sha256(run.encode()).hexdigest()[:16]
-        if not self._marks(name):
-            self._mark(name, self.next_version())
-        return self._marks(name)[0]
-
-    def touched(self, users: DataFrame) -> tuple[int, list[int]]:
-        """The number of rows of ``users`` and the buckets they fall into (at most ``buckets``)."""
-        n, found = users.agg(F.count(F.lit(1)), F.collect_set(self._bucket())).first()
-        return n, sorted(found)
-
-    def state(self, before: int | None = None) -> DataFrame:
-        # newest version wins; inside one version the latest day (then res) -- one row per user
-        latest = self._log(before).groupBy(self.user_col).agg(F.max(F.struct("version", "day", "res")).alias("_s"))
-        return latest.select(self.user_col, "_s.res", "_s.day")
-
-    def stored(self, version: int, incoming: DataFrame, n_incoming: int | None = None,
-               buckets: list[int] | None = None) -> DataFrame:
-        """``(user, day)`` of the users of ``incoming`` stored before ``version``, one row each."""
-        keys = incoming.select(self.user_col).distinct()
-        small = n_incoming is not None and n_incoming <= BROADCAST_MAX_ROWS
-        found = self._log(version, buckets).join(F.broadcast(keys) if small else keys, self.user_col, "left_semi")
-        return (found.groupBy(self.user_col).agg(F.max(F.struct("version", "day")).alias("_s"))
-                .select(self.user_col, F.col("_s.day").alias("day")))
-
-    def write_batch(self, version: int, incoming: DataFrame, day=None, n_incoming: int | None = None,
-                    buckets: list[int] | None = None) -> DataFrame:
-        """Classify ``incoming`` against the state before ``version`` and store the writes.
-
-        ``buckets`` (from ``touched``) limits the reading to the partitions that can hold the
-        batch's users.  ``n_incoming`` (a measured user count) under ``BROADCAST_MAX_ROWS``
-        broadcasts the batch's keys, so the stored rows are scanned without a shuffle.
-        Returns the classified actions.
-        """
-        actions = classify(incoming, self.stored(version, incoming, n_incoming, buckets), day, self.user_col)
-        self._write(actions.filter(F.col("action") != SKIP), version)
-        return actions
-
-    def compact(self, version: int, drop_older: bool = True) -> None:
-        """Write the current state as base version ``version`` (an unused, higher number).
-
-        Readers move to it when its mark appears.  With ``drop_older`` the versions below the base
-        before it go, so the log stops growing, and a reader that began before the switch still
-        finds its files until the next one."""
-        self._write(self.state(before=version), version)
-        self._mark("_base", version)
-        older = [b for b in self._marks("_base") if b < version]
-        if drop_older and older:
-            for v in self._versions():
-                if v < older[-1]:
-                    self._delete(f"version={v}")
-            for b in older[:-1]:
-                self._delete(f"_base/{b}")
+    def state(self) -> DataFrame:
+        return self._stored().select(self.user_col, "res", "day")
+
+    def stored(self, buckets: list[int] | None = None) -> DataFrame:
+        """The rows of these buckets; a partition filter."""
+        rows = self._stored()
+        if buckets is not None and len(buckets) < self.buckets:
+            rows = rows.filter(F.col("bucket").isin(buckets))
+        return rows.select(self.user_col, "res", "day", "bucket")
+
+    def write_batch(self, batch_id: int, incoming: DataFrame, day=None, run: str = "run", n_incoming: int | None = None,
+                    buckets: list[int] | None = None) -> None:
+        """K8 for one batch of ``(user, res)``, one row per user.
+
+        ``buckets``: those its users fall into (read if not given).  ``n_incoming``, a measured user
+        count under ``BROADCAST_MAX_ROWS``, lets small batches be broadcast to the stored rows."""
+        today = day_text(day)
+        if buckets is None:
+            buckets = [r[0] for r in incoming.select(self.bucket()).distinct().collect()]      # at most the bucket count
+        old = self.stored(buckets).select(self.user_col, F.col("res").alias("_res"), F.col("day").alias("_day"), F.lit(True).alias("_known"))
+        new = incoming.select(self.user_col, "res")
+        # one row per user on both sides: stored and served today stays, everything else that arrives is written
+        joined = old.join(new.withColumn("_new", F.lit(True)), self.user_col, "full_outer")
+        keep = F.col("_new").isNull() | (F.col("_known").isNotNull() & F.col("_day").eqNullSafe(today))
+        rows = joined.select(self.user_col, F.when(keep, F.col("_res")).otherwise(F.col("res")).alias("res"),
+                             F.when(keep, F.col("_day")).otherwise(today).alias("day"), self.bucket().alias("bucket"))
+        at = self._batch_path(run, batch_id)
+        rows.write.mode("overwrite").parquet(at)
+        self._write(self.spark.read.schema(rows.schema).parquet(at))
+
+    def _batch_path(self, run: str, batch_id: int | None = None) -> str:
+        at = f"{self.batches}/run={_name(run)}"
+        return at if batch_id is None else f"{at}/batch_id={batch_id}"
+
+    def recover(self, run: str) -> int:
+        """Put back the buckets of the run's last batch that an interrupted commit removed; their number."""
+        at = self._batch_path(run)
+        if not path_exists(self.spark, at):
+            return 0
+        written = self.spark.read.schema(f"{self.user_col} int, res string, day string, bucket int, batch_id bigint").parquet(at)
+        last = written.agg(F.max("batch_id")).first()[0]
+        lost = (written.filter(F.col("batch_id") == F.lit(last)).join(self._stored().select("bucket").distinct(), "bucket", "left_anti"))
+        lost = cut_lineage(lost)
+        n = lost.select("bucket").distinct().count()
+        if n:
+            self._write(lost, "append")
+        return n
+
+
+def _name(run: str) -> str:
+    """A run's name (its checkpoint folder) as a folder name."""
+    return "".join(c if c.isalnum() or c in "-." else "_" for c in run)[-120:]

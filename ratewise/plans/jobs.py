@@ -18,12 +18,12 @@ from pyspark.sql import functions as F
 
 from ratewise.operators import als, parse, popular, split
 from ratewise.operators.recommend import encoded, recommend
-from ratewise.operators.upsert import UpsertStore, classify
+from ratewise.operators.upsert import UserTable, classify
 from ratewise.sources.jdbc import jdbc_append, jdbc_upsert, read_jdbc
 from ratewise.sources.models import model_path, save_model
 from ratewise.sources.tables import cut_lineage, read_table, save_table
 from ratewise.sources.text import read_lines
-from ratewise.streaming.job import COMPACT_EVERY, RecommendBatch, run_until_marker, start
+from ratewise.streaming.job import RecommendBatch, run_until_marker, start
 
 MIN_PARTITIONS = 8   # the reference's minimum split count for its text inputs
 
@@ -51,7 +51,7 @@ def split_and_train(spark: SparkSession, ratings_table: str, model_base: str, tr
     """Job 2: split, store both sides, fit (one model with ``settings`` or the grid), evaluate on
     the held-out side, save the best model under ``i_<iter>_l0_<lambda>_<rmse>``."""
     ratings = read_table(spark, ratings_table, ["user_id", "movie_id", "rating"])
-    train, test = split.sorted_fraction_split(ratings, fraction, freeze=True)
+    train, test = split.sorted_fraction_split(ratings, fraction)
     save_table(train, train_table, replace=True)
     save_table(test, test_table, replace=True)
     train, test = read_table(spark, train_table), read_table(spark, test_table)
@@ -114,15 +114,14 @@ def stream_recommend(spark: SparkSession, messages: DataFrame, user_factors: Dat
                      sink: Callable[[DataFrame, int], None] | None = None, k: int = 5,
                      cold_start: str = "popular", marker: str | None = None, poll_seconds: float = 60.0,
                      processing_time: str = "3 seconds", available_now: bool = False,
-                     compact_every: int | None = COMPACT_EVERY, counts_path: str | None = None):
+                     counts_path: str | None = None):
     """Job 4: start the recommendation stream; with ``marker`` block until the marker file appears.
 
     The popular list is computed once and checkpointed (T10); ``store_path`` keeps the target as
-    an ``UpsertStore``, ``sink`` is any other per-batch writer (``jdbc_upsert_sink``), ``counts_path`` a table of rows per batch."""
+    a ``UserTable``, ``sink`` is any other per-batch writer (``jdbc_upsert_sink``), ``counts_path`` a table of rows per batch."""
     pop = popular.top_items_row(ratings, k).checkpoint(eager=True) if cold_start == "popular" else None
-    store = UpsertStore(spark, store_path) if store_path else None
-    fn = RecommendBatch(user_factors, item_factors, pop, store, k, cold_start, sink=sink,
-                        compact_every=compact_every, run=checkpoint_location)
+    store = UserTable(spark, store_path) if store_path else None
+    fn = RecommendBatch(user_factors, item_factors, pop, store, k, cold_start, sink=sink, run=checkpoint_location)
     q = start(messages, fn, checkpoint_location, processing_time=processing_time, available_now=available_now,
               counts_path=counts_path)
     if marker:

@@ -264,7 +264,12 @@ def build() -> dict[str, str]:
     q["stream_restart"] = UPSERT_RESULT
     q["stream_failed_batch"] = UPSERT_RESULT
     q["stream_model_only"] = with_views(["messages", "factors"], f"""SELECT user_id, string_agg({vs('movie_id')}, '_' ORDER BY rank)
-        AS res FROM topk WHERE user_id IN (SELECT user_id FROM msg_users) GROUP BY user_id""", [DECODED] + topk_ctes())
+        AS res, (SELECT count(*) > 0 FROM msg_users WHERE user_id NOT IN (SELECT user_id FROM topk)) AS all_users_fail
+        FROM topk JOIN (SELECT DISTINCT CAST(user_id AS INTEGER) AS user_id, coalesce(epoch(CAST(ts AS TIMESTAMP)) <
+        (SELECT avg(epoch(CAST(ts AS TIMESTAMP))) FROM events), FALSE) AS half FROM events) USING (user_id) GROUP BY user_id, half""",
+        [DECODED] + topk_ctes())
+    q["stream_offsets"] = f"""SELECT CAST(i AS BIGINT) AS batch_id, CAST(i - 1 AS BIGINT) AS starts_after, CAST(i AS BIGINT) AS ends_at,
+        (SELECT count(*) FROM events) AS n_messages FROM range({2 * C.EVENT_FILES}) t(i)"""
     q["stream_counts"] = f"SELECT {2 * C.EVENT_FILES} AS n_batches, count(*) AS n_messages FROM events"
     q |= _als()
     return q

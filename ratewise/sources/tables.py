@@ -49,6 +49,12 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Existence test on any Hadoop file system (HDFS, S3, local)."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p))
+
+
 def export_rows(df: DataFrame):
     """Stream a finished result to the driver one partition at a time (export only; no
     operator in this library iterates rows on the driver)."""

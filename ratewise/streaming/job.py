@@ -7,9 +7,8 @@ collect and a driver loop of one Spark job per user:
     model top-k (J6) | popular ids (J7) -> ids text (P13) -> daily-guarded upsert (K8)
 
 Delivery: the source offsets and the commit log live in ``checkpointLocation`` (T6/T7).  A batch
-replayed after a failure carries the same ``batch_id``.  With ``run`` (the checkpoint folder) the
-upsert store remembers the run's first version, so a replay after a restart rewrites its own
-version; without it the replay gets a new version and finds its users already served that day.
+replayed after a failure carries the same ``batch_id`` and writes the same rows again.  ``offsets``
+keeps the source offsets of every finished batch as a table (T3).
 """
 
 from __future__ import annotations
@@ -18,17 +17,16 @@ import time
 from collections.abc import Callable
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ratewise.functions.codec import decode_user
 from ratewise.operators.recommend import encoded, recommend
-from ratewise.operators.upsert import UpsertStore
-from ratewise.sources.tables import cut_lineage
+from ratewise.operators.upsert import UserTable
+from ratewise.sources.tables import cut_lineage, path_exists
 
 BATCH_SECONDS = 3     # T1
-COMPACT_EVERY = 100   # batches between compactions of the upsert store
 
 
 def file_stream(spark: SparkSession, directory: str, file_glob: str, schema, max_files_per_trigger: int = 1,
@@ -51,18 +49,16 @@ class RecommendBatch:
     Loaded once per application (T10): the factor tables and the popular ids are fixed when the
     object is built and reused by every batch.
 
-    ``store``      an ``UpsertStore`` (K8 sink); ``None`` for the V2 mode without a write (T5)
+    ``store``      a ``UserTable`` (K8 sink); ``None`` for the V2 mode without a write (T5)
     ``sink``       optional callable ``(encoded_batch_df, batch_id)`` for other outputs
-    ``run``        name of the run, as its checkpoint folder: a restart gets the same versions
-    ``compact_every`` compact the store after every n-th batch (batch b writes version
-                   base + 2b; its compaction, when due, takes the number after it); None: never
+    ``run``        name of the run, as its checkpoint folder: keys its batch outputs; a table that
+                   the run left half replaced is mended when the object is built
     """
 
     def __init__(self, user_factors: DataFrame, item_factors: DataFrame, popular: DataFrame | None,
-                 store: UpsertStore | None = None, k: int = 5, cold_start: str = "popular",
+                 store: UserTable | None = None, k: int = 5, cold_start: str = "popular",
                  day: str | None = None, strict: bool = True,
-                 sink: Callable[[DataFrame, int], None] | None = None,
-                 compact_every: int | None = COMPACT_EVERY, run: str | None = None):
+                 sink: Callable[[DataFrame, int], None] | None = None, run: str = "run"):
         # loaded once per application and kept (memory, spilling to disk) for every batch
         self.user_factors = user_factors.persist(StorageLevel.MEMORY_AND_DISK)
         self.item_factors = item_factors.persist(StorageLevel.MEMORY_AND_DISK)
@@ -73,26 +69,23 @@ class RecommendBatch:
         self.day = day
         self.strict = strict
         self.sink = sink
-        self.compact_every = compact_every
+        self.run = run
         self.n_items = item_factors.count()   # fixed for the application (T10)
-        # versions grow across restarts, also when a new checkpoint restarts batch ids at 0
-        self.version_base = 0
         if store is not None:
-            self.version_base = store.base_for(run) if run else store.next_version()
+            store.recover(run)
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        # the batch's distinct users, written once; their count bounds the broadcasts, their
-        # buckets what is read of the store
-        users = cut_lineage(batch_users(batch, self.strict))
-        n_users, buckets = self.store.touched(users) if self.store is not None else (users.count(), None)
+        # the batch's distinct users, written once; the same pass tells their count, which bounds
+        # the broadcasts, and their buckets, which bound what is read and written of the table
+        seen = Observation()
+        facts = [F.count(F.lit(1)).alias("n")] + ([F.collect_set(self.store.bucket()).alias("buckets")] if self.store else [])
+        users = cut_lineage(batch_users(batch, self.strict).observe(seen, *facts))
+        n_users = seen.get["n"]
         recs = recommend(users, self.user_factors, self.item_factors, self.k, self.cold_start, self.popular,
                          n_items=self.n_items, n_users=n_users)
         out = encoded(recs, "ids")
-        if self.store is not None:
-            version = self.version_base + 2 * batch_id
-            self.store.write_batch(version, out, self.day, n_incoming=n_users, buckets=buckets)
-            if self.compact_every and (batch_id + 1) % self.compact_every == 0:
-                self.store.compact(version + 1)
+        if self.store is not None and n_users:
+            self.store.write_batch(batch_id, out, self.day, self.run, n_users, sorted(seen.get["buckets"]))
         if self.sink is not None:
             self.sink(out, batch_id)
 
@@ -102,8 +95,8 @@ def start(messages: DataFrame, fn: Callable[[DataFrame, int], None], checkpoint_
           query_name: str | None = None, counts_path: str | None = None) -> StreamingQuery:
     """``foreachBatch`` query with a checkpoint; ``available_now`` drains and stops.
 
-    With ``counts_path`` the rows of every batch are counted into that table (A11), see
-    ``batch_counts``."""
+    With ``counts_path`` the rows of every batch are counted into that table (A11) by the pass in
+    which ``fn`` reads them, so ``fn`` has to read its batch; see ``batch_counts``."""
     if counts_path:
         fn = _counted(fn, counts_path)
     w = messages.writeStream.foreachBatch(fn).option("checkpointLocation", checkpoint_location)
@@ -122,14 +115,6 @@ def console(messages: DataFrame, checkpoint_location: str, processing_time: str
     return w.start()
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    """Existence test on any Hadoop file system (HDFS, S3, local)."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return bool(fs.exists(p))
-
-
 def run_until_marker(spark: SparkSession, query: StreamingQuery, marker: str, poll_seconds: float = 60.0,
                      max_polls: int | None = None, max_wait: float = 600.0) -> bool:
     """Poll every ``poll_seconds``; stop the query between batches once ``marker`` exists.
@@ -157,10 +142,12 @@ def run_until_marker(spark: SparkSession, query: StreamingQuery, marker: str, po
 
 def _counted(fn: Callable[[DataFrame, int], None], path: str) -> Callable[[DataFrame, int], None]:
     def run(batch: DataFrame, batch_id: int) -> None:
-        # keyed by batch id: a replayed batch writes its own count again
-        (batch.agg(F.count(F.lit(1)).alias("n")).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+        # counted by the pass in which ``fn`` reads the batch; keyed by batch id: a replayed batch
+        # writes its own count again
+        seen = Observation()
+        fn(batch.observe(seen, F.count(F.lit(1)).alias("n")), batch_id)
+        (batch.sparkSession.createDataFrame([(seen.get["n"], batch_id)], "n bigint, batch_id bigint").coalesce(1)
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(path))
-        fn(batch, batch_id)
 
     return run
 

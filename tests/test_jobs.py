@@ -43,6 +43,6 @@ def test_four_jobs_chain(spark):
                               spark.table(tables["ratings"]), scratch_path(spark, "t-jobs-ckpt"),
                               store_path=store, available_now=True)
     q.awaitTermination()
-    from ratewise.operators.upsert import UpsertStore
-    state = UpsertStore(spark, store).state()
+    from ratewise.operators.upsert import UserTable
+    state = UserTable(spark, store).state()
     assert state.count() == msgs.select(F.split("value", "_")[0]).distinct().count()

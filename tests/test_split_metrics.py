@@ -1,6 +1,7 @@
 import math
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from ratewise.operators import popular, split
@@ -91,7 +92,7 @@ def test_global_rank_spreads_copies(spark):
     sizes = [r["count"] for r in ranked.groupBy(F.spark_partition_id()).count().collect()]
     assert max(sizes) < 1500               # the copies are spread over several partitions
     # without the salt the 1500 copies would sit in one range partition
-    unsalted = split.global_rank(df, split.train_order(), freeze=True)
+    unsalted = split.global_rank(df, split.train_order())
     biggest = max(r["count"] for r in unsalted.groupBy(F.spark_partition_id()).count().collect())
     assert biggest >= 1500
 
@@ -144,3 +145,70 @@ def test_split_with_a_column_that_is_no_sort_key(spark):
         spark.conf.set("spark.sql.exchange.reuse", before)
     assert ranks == list(range(20000))
     assert got == {tuple(r) for r in df.orderBy(*train_order()).limit(12000).collect()}
+
+
+def _sides(spark, rows, schema, frac=0.6, **options):
+    df = spark.createDataFrame(rows, schema).coalesce(2)
+    train, test = split.sorted_fraction_split(df, frac, **options)
+    return sorted(map(tuple, train.collect()), key=str), sorted(map(tuple, test.collect()), key=str)
+
+
+def _sorted_sides(rows, frac, key):
+    n = len(rows)
+    ordered = sorted(rows, key=key)
+    return sorted(ordered[:math.floor(n * frac)], key=str), sorted(ordered[n - math.floor(n * (1 - frac)):], key=str)
+
+
+@pytest.mark.parametrize("finish, accuracy, ratings, frac", [
+    (split.FINISH, split.ACCURACY, [1.0, 2.0], 0.6), (30, 20, [1.0, 2.0, 3.0], 0.6), (30, 8, [float(i) / 7 for i in range(500)], 0.013),
+    (60, 20, [4.5], 0.999)])
+def test_selection_against_a_sort(spark, monkeypatch, finish, accuracy, ratings, frac):
+    """Small limits make every step of the selection run on a small table."""
+    monkeypatch.setattr(split, "FINISH", finish)
+    monkeypatch.setattr(split, "ACCURACY", accuracy)
+    rnd = random.Random(len(ratings))
+    keys = {(rnd.randrange(40), rnd.randrange(300)) for _ in range(900)}
+    rows = [(u, m, rnd.choice(ratings)) for u, m in keys]
+    got = _sides(spark, rows, "user_id int, movie_id int, rating double", frac)
+    assert got == _sorted_sides(rows, frac, lambda t: (-t[2], t[0], t[1]))
+
+
+def test_selection_counts_copies(spark, monkeypatch):
+    """A third of the rows are one row, and the cut lies among them; other columns break ties before that."""
+    monkeypatch.setattr(split, "FINISH", 100)
+    rows = [(i % 7, i, 5.0, f"t{i}") for i in range(500)] + [(1, 1, 3.0, "hot")] * 600 + [(2, i % 9, 1.0, "x") for i in range(400)]
+    rows += [(1, 1, 3.0, "a"), (1, 1, 3.0, "z")]
+    for frac in (0.6,):
+        got = _sides(spark, rows, "user_id int, movie_id int, rating double, ts string", frac)
+        assert got == _sorted_sides(rows, frac, lambda t: (-t[2], t[0], t[1], t[3]))
+
+
+def test_selection_with_nulls_nan_and_text_keys(spark, monkeypatch):
+    monkeypatch.setattr(split, "FINISH", 20)
+    rnd = random.Random(5)
+    nan = float("nan")
+    rows = list({(rnd.choice([None, "a", "b", "é", "zz"]), rnd.randrange(60), rnd.choice([None, nan, 1.0, 2.5, -3.0])) for _ in range(300)})
+
+    def key(t):     # rating: nan first, nulls last; keys: nulls first
+        rating = (2, 0) if t[2] is None else (0, 0) if t[2] != t[2] else (1, -t[2])
+        return (rating, t[0] is not None, t[0] or "", t[1])
+    for frac in (0.1, 0.95):
+        got = _sides(spark, rows, "user_id string, movie_id int, rating double", frac)
+        want = _sorted_sides(rows, frac, key)
+        assert [list(map(str, x)) for x in got] == [list(map(str, x)) for x in want]
+
+
+def test_selection_of_few_rows(spark):
+    for n in (0, 1, 3):
+        rows = [(i, i, float(i)) for i in range(n)]
+        got = _sides(spark, rows, "user_id int, movie_id int, rating double")
+        assert got == _sorted_sides(rows, 0.6, lambda t: (-t[2], t[0], t[1]))
+
+
+def test_split_plan_has_no_exchange(spark, tmp_path):
+    path = str(tmp_path / "ratings")
+    ratings(spark).write.parquet(path)
+    for side in split.sorted_fraction_split(spark.read.parquet(path), 0.6):
+        plan = side._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan and "ExistingRDD" not in plan and "Sort" not in plan
+        assert "PushedFilters: [Or(" in plan or "PushedFilters: [IsNotNull" in plan, plan

@@ -6,7 +6,7 @@ import time
 import pytest
 
 from ratewise.operators import popular
-from ratewise.operators.upsert import UpsertStore, apply_actions, classify
+from ratewise.operators.upsert import UserTable, apply_actions, classify
 from ratewise.session import scratch_path
 from ratewise.sources.jdbc import jdbc_options, upsert_statements
 from ratewise.streaming import (
@@ -36,17 +36,61 @@ def test_apply_actions(spark):
     assert after == [(1, "x", DAY), (2, "b", DAY), (2, "c", "2024-01-29"), (3, "z", DAY)]
 
 
-def test_store_replay_is_idempotent(spark):
+def _rows(table):
+    return sorted(map(tuple, table.state().collect()))
+
+
+def test_table_replay_is_idempotent(spark):
+    target, incoming = frames(spark)
+    table = UserTable(spark, scratch_path(spark, "t-table")).init(target)
+    assert _rows(table) == [(1, "a", "2024-01-30"), (2, "b", DAY)]      # one row per user, the latest day
+    table.write_batch(1, incoming, DAY)
+    first = _rows(table)
+    assert first == [(1, "x", DAY), (2, "b", DAY), (3, "z", DAY)]
+    table.write_batch(1, incoming, DAY)          # replay of the same batch
+    assert _rows(table) == first
+    table.write_batch(2, incoming, DAY)          # a later batch the same day: all skipped
+    assert _rows(table) == first
+    table.write_batch(3, incoming, "2024-02-01")
+    assert _rows(table) == [(1, "x", "2024-02-01"), (2, "y", "2024-02-01"), (3, "z", "2024-02-01")]
+
+
+def test_table_from_nothing_and_without_days(spark):
+    table = UserTable(spark, scratch_path(spark, "t-none"))
+    assert _rows(table) == []
+    table.write_batch(0, spark.createDataFrame([(4, "q")], "user_id int, res string"), DAY)
+    assert _rows(table) == [(4, "q", DAY)]
+    table.init(spark.createDataFrame([(5, "old", None)], "user_id int, res string, day string"))
+    table.write_batch(1, spark.createDataFrame([(5, "new")], "user_id int, res string"), DAY)
+    assert (5, "new", DAY) in _rows(table)
+
+
+def test_no_files_but_the_data(spark):
+    """Nothing beside parquet: no marks, no pointers."""
     target, incoming = frames(spark)
-    store = UpsertStore(spark, scratch_path(spark, "t-store")).init(target, 0)
-    store.write_batch(1, incoming, DAY)
-    first = sorted(tuple(r) for r in store.state().collect())
-    store.write_batch(1, incoming, DAY)          # replay of the same batch
-    assert sorted(tuple(r) for r in store.state().collect()) == first
-    store.write_batch(2, incoming, DAY)          # a later batch the same day: all skipped
-    assert sorted(tuple(r) for r in store.state().collect()) == first
-    assert {r.user_id: r.res for r in store.state().collect()} == {1: "x", 2: "b", 3: "z"}
-    assert store.next_version() == 2      # the all-skip batch stored nothing
+    table = UserTable(spark, scratch_path(spark, "t-plain")).init(target)
+    table.write_batch(0, incoming, DAY, run="file:/some/checkpoint")
+    local = table.path.replace("file:", "")
+    names = {n for _, _, files in os.walk(local) for n in files if not n.startswith(".")}
+    assert all(n.startswith("part-") or n == "_SUCCESS" for n in names)
+    assert sorted(os.listdir(local)) == ["batches", "table"]
+
+
+def test_recover_puts_back_a_lost_bucket(spark):
+    """A commit that died between removing a bucket and putting the new one in its place."""
+    base = spark.range(500).selectExpr("CAST(id AS INT) AS user_id", "'a' AS res", "'2024-01-30' AS day")
+    table = UserTable(spark, scratch_path(spark, "t-lost"), buckets=8).init(base)
+    incoming = spark.createDataFrame([(5, "x"), (900, "y")], "user_id int, res string")
+    table.write_batch(0, incoming, DAY, run="r")
+    want = _rows(table)
+    lost = incoming.select(table.bucket()).first()[0]
+    top = os.path.join(table.table.replace("file:", ""), "n_buckets=8")
+    os.rename(os.path.join(top, f"bucket={lost}"), os.path.join(tempfile.mkdtemp(), "gone"))
+    assert len(_rows(table)) < len(want)
+    assert UserTable(spark, table.path).recover("another run") == 0
+    assert UserTable(spark, table.path).recover("r") == 1
+    assert _rows(table) == want
+    assert table.recover("r") == 0
 
 
 def _message_dir(spark, batches):
@@ -64,7 +108,7 @@ def test_stream_recommend_end_to_end(spark):
     pop = popular.top_items_row(ratings, 2)
     d = _message_dir(spark, [["7_1_3", "9_2_4", "7_5_1"], ["8_1_1", "9_2_2"]])
     schema = "key string, value string"
-    store = UpsertStore(spark, scratch_path(spark, "t-rec")).init(
+    store = UserTable(spark, scratch_path(spark, "t-rec")).init(
         spark.createDataFrame([(9, "old", "2024-01-30")], "user_id int, res string, day string"))
     fn = RecommendBatch(uf, vf, pop, store, k=2, day=DAY)
     src = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(os.path.join(d, "*"))
@@ -72,17 +116,55 @@ def test_stream_recommend_end_to_end(spark):
     q = start(src, fn, scratch_path(spark, "t-ckpt"), available_now=True, counts_path=counts)
     q.awaitTermination()
     assert sorted(map(tuple, batch_counts(spark, counts).collect())) == [(0, 3), (1, 2)]     # A11: rows per micro-batch
+    # every batch read its source once: the counts came with the pass that made its users
+    assert [p.numInputRows for p in q.recentProgress if p.numInputRows] == [3, 2]
     state = {r.user_id: (r.res, r.day) for r in store.state().collect()}
     assert state == {7: ("100_102", DAY), 8: ("101_102", DAY), 9: ("101_100", DAY)}
-    # a restart with a new checkpoint replays both batches under new versions: nothing changes
-    fn2 = RecommendBatch(uf, vf, pop, store, k=2, day=DAY, compact_every=1)
-    assert fn2.version_base == 4        # batches wrote versions 1 and 3 (base 1, step 2)
+    # a restart with a new checkpoint replays both batches: nothing changes
+    fn2 = RecommendBatch(uf, vf, pop, UserTable(spark, store.path), k=2, day=DAY, run="again")
     src2 = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(os.path.join(d, "*"))
     start(src2, fn2, scratch_path(spark, "t-ckpt2"), available_now=True).awaitTermination()
     assert {r.user_id: (r.res, r.day) for r in store.state().collect()} == state
-    # compaction after each replayed batch left its base and the one before it
-    local = store.path.replace("file:", "")
-    assert sorted(n for n in os.listdir(local) if n.startswith("version=")) == ["version=5", "version=7"]
+
+
+def test_offsets_over_a_restart(spark):
+    from ratewise.streaming.offsets import OffsetLog, gaps, resume
+    d = _message_dir(spark, [["1_1_1"], ["2_2_2", "3_3_3"]])
+    ckpt, path = scratch_path(spark, "t-off-ckpt"), scratch_path(spark, "t-off")
+
+    def run():
+        src = spark.readStream.schema("key string, value string").option("maxFilesPerTrigger", 1).parquet(os.path.join(d, "*"))
+        with OffsetLog(spark, path, run="r") as log:
+            log.follow(start(src, lambda b, i: b.count(), ckpt, available_now=True))
+        return log
+
+    run()
+    spark.createDataFrame([("0", "4_4_4")], "key string, value string").coalesce(1).write.parquet(os.path.join(d, "b9"))
+    log = run()
+    rows = log.table().orderBy("batch_id").collect()
+    assert [(r.batch_id, r.n_rows) for r in rows] == [(0, 1), (1, 2), (2, 1)]
+    assert rows[0].start_offset is None and all(a.end_offset == b.start_offset for a, b in zip(rows, rows[1:]))
+    assert gaps(log.table()).count() == 0
+    lost = log.table().filter("batch_id <> 1")
+    assert [r.batch_id for r in gaps(lost).collect()] == [2]
+    assert resume(log.table(), "other") == {"startingOffsets": "earliest"}
+    kafka = spark.createDataFrame([(0, '{"t":{"0":5}}', '{"t":{"0":9}}', 4, "k", 0), (0, '{"t":{"0":9}}', '{"t":{"0":12}}', 3, "k", 1)],
+                                  "source int, start_offset string, end_offset string, n_rows bigint, run string, batch_id bigint")
+    assert resume(kafka, "k") == {"startingOffsets": '{"t": {"0": 12}}'}
+    assert resume(kafka, "k", replay_last=True) == {"startingOffsets": '{"t": {"0": 9}}'}
+
+
+def test_model_only_stream_fails_on_an_unknown_user(spark):
+    from pyspark.errors import StreamingQueryException
+    uf = spark.createDataFrame([(7, [1.0, 0.0])], "id int, features array<float>")
+    vf = spark.createDataFrame([(100, [1.0, 0.0])], "id int, features array<float>")
+    d = _message_dir(spark, [["7_1_3"], ["7_1_3", "9_2_4"]])
+    got = []
+    fn = RecommendBatch(uf, vf, None, None, k=1, cold_start="fail", sink=lambda recs, i: got.append((i, sorted(map(tuple, recs.collect())))))
+    src = spark.readStream.schema("key string, value string").option("maxFilesPerTrigger", 1).parquet(os.path.join(d, "*"))
+    with pytest.raises(StreamingQueryException, match="user has no factors: 9"):
+        start(src, fn, scratch_path(spark, "t-fail"), available_now=True).awaitTermination()
+    assert got == [(0, [(7, "100")])]
 
 
 def test_batch_users_distinct(spark):
@@ -135,52 +217,26 @@ def test_option_builders():
     assert sql[0].startswith("UPDATE rec_user") and sql[1].startswith("INSERT INTO rec_user")
 
 
-def test_compact_drops_replaced_versions(spark):
-    target, incoming = frames(spark)
-    path = scratch_path(spark, "t-compact")
-    store = UpsertStore(spark, path).init(target, 0)
-    store.write_batch(1, incoming, DAY)
-    before = sorted(tuple(r) for r in store.state().collect())
-    reader = store.state()                       # planned before the switch
-    store.compact(store.next_version())
-    assert sorted(tuple(r) for r in store.state().collect()) == before
-    assert sorted(tuple(r) for r in reader.collect()) == before
-    assert {r.version for r in store._log().select("version").distinct().collect()} == {2}
-    store.compact(store.next_version())
-    assert sorted(tuple(r) for r in store.state().collect()) == before
-    local = path.replace("file:", "")
-    assert sorted(n for n in os.listdir(local) if n.startswith("version=")) == ["version=2", "version=3"]
-
-
-def test_batch_reads_only_its_buckets(spark):
+def test_batch_reads_and_writes_only_its_buckets(spark):
     base = spark.range(2000).selectExpr("CAST(id AS INT) AS user_id", "'a' AS res", "'2024-01-30' AS day")
     path = scratch_path(spark, "t-buckets")
-    UpsertStore(spark, path, buckets=16).init(base, 0)
-    store = UpsertStore(spark, path)             # the count is the store's own
-    assert store.buckets == 16
+    UserTable(spark, path, buckets=16).init(base)
+    table = UserTable(spark, path)             # the count is the table's own
+    assert table.buckets == 16
     incoming = spark.createDataFrame([(5, "x"), (9999, "y")], "user_id int, res string")
-    n, buckets = store.touched(incoming)
-    assert n == 2 and 1 <= len(buckets) <= 2
-    found = store.stored(1, incoming, n, buckets)
-    plan = found._jdf.queryExecution().executedPlan().toString()
+    buckets = sorted({r[0] for r in incoming.select(table.bucket()).collect()})
+    plan = table.stored(buckets)._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [" in plan and "bucket" in plan.split("PartitionFilters: [")[1].split("]")[0]
-    assert sorted(map(tuple, found.collect())) == [(5, "2024-01-30")]
-    store.write_batch(1, incoming, DAY, n, buckets)
-    after = {r.user_id: r.res for r in store.state().collect()}
-    assert len(after) == 2001 and after[5] == "x" and after[9999] == "y" and after[6] == "a"
 
+    def files():
+        top = os.path.join(table.table.replace("file:", ""), "n_buckets=16")
+        return {b: sorted(os.listdir(os.path.join(top, b))) for b in os.listdir(top)}
 
-def test_run_keeps_its_versions(spark):
-    target, incoming = frames(spark)
-    store = UpsertStore(spark, scratch_path(spark, "t-run")).init(target, 0)
-    assert store.base_for("ckpt-a") == 1
-    store.write_batch(1, incoming, DAY)
-    assert store.base_for("ckpt-a") == 1 and store.base_for("ckpt-b") == 2
-    # a batch replayed after its own compaction changes nothing
-    before = sorted(tuple(r) for r in store.state().collect())
-    store.compact(2)
-    store.write_batch(1, incoming, DAY)
-    assert sorted(tuple(r) for r in store.state().collect()) == before
+    before = files()
+    table.write_batch(1, incoming, DAY, buckets=buckets)
+    assert {b for b, names in files().items() if names != before[b]} == {f"bucket={b}" for b in buckets}
+    after = {r.user_id: r.res for r in table.state().collect()}
+    assert len(after) == 2001 and after[5] == "x" and after[9999] == "y" and after[6] == "a"
 
 
 def test_stored_user_without_a_day_is_updated(spark):

@@ -13,7 +13,7 @@ def test_ratings_view_size(spark):
 
 
 def test_split_sizes(spark):
-    train, test = split.sorted_fraction_split(V.ratings(spark, SF001), 0.6, freeze=True)
+    train, test = split.sorted_fraction_split(V.ratings(spark, SF001), 0.6)
     assert (train.count(), test.count()) == (35634, 23756)     # one row in neither
 
 
