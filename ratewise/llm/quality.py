@@ -9,7 +9,10 @@ the exact quantile of all training-labelled documents' scores at the share of la
 
 The fit uses a bounded sample (``MAX_PER_LABEL`` rows of each label, the smallest md5 of the id),
 a documented parameter; the threshold is taken over all training labels and every document is
-scored on its whole text.  Features are text statistics alone (never labels, lang, source or ids).
+scored on its whole text, once: ``ranked`` writes w.x of every row, the threshold is read from
+there and the score is a column expression of it.  Features are text alone (never labels, lang,
+source or ids): statistics of signs, lines and repeats, hashed word shapes and hashed words.  A long
+word counts as pieces of ``PIECE`` code points, all of which take part.
 
 Cases: null and empty texts have the features of an empty text; a document labelled twice gives
 two training rows, conflicting labels cancel; null labels are left out; with no labels, or
@@ -27,10 +30,11 @@ import numpy as np
 import pandas as pd
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ratewise.llm.common import quoted, small_batches
+from ratewise.llm.common import batch_rows, quoted
+from ratewise.session import scratch_path
 from ratewise.sources.tables import cut_lineage
 
 MAX_PER_LABEL = 4000      # sample bound of the fit, per label
@@ -38,16 +42,24 @@ PAIRS_PER_ROW = 4         # preference pairs drawn for each sampled row of label
 CUT = 0.3                 # score >= CUT: label 1
 BINS = 4096               # of one pass of the threshold's histogram
 SHAPES = 64               # buckets of hashed word shapes
-HEAD = 20                 # named statistics ahead of the shapes
-DIM = HEAD + SHAPES
+WORDS = 256               # buckets of hashed words
+PIECE = 64                # code points of a word that are hashed at once
+HEAD = 20                 # named statistics ahead of the buckets
+DIM = HEAD + SHAPES + WORDS
 
 _RUN = re.compile(r"(.)\1*")
 
 
-def _shape(word: str) -> int:
-    """Bucket of a word's form: runs of upper, lower, digit and each other sign; letters unnamed."""
-    marks = "".join("A" if c.isupper() else "a" if c.isalpha() else "0" if c.isdigit() else c for c in word[:64])
-    return zlib.crc32(_RUN.sub(r"\1", marks).encode("utf-8", "replace")) % SHAPES
+def _buckets(word: str) -> list[int]:
+    """Buckets of each piece of a word: its form (runs of upper, lower, digit and each other sign;
+    letters unnamed) and itself."""
+    out = []
+    for a in range(0, len(word), PIECE):
+        piece = word[a:a + PIECE]
+        marks = "".join("A" if c.isupper() else "a" if c.isalpha() else "0" if c.isdigit() else c for c in piece)
+        out.append(HEAD + zlib.crc32(_RUN.sub(r"\1", marks).encode("utf-8", "replace")) % SHAPES)
+        out.append(HEAD + SHAPES + zlib.crc32(piece.lower().encode("utf-8", "replace")) % WORDS)
+    return out
 
 
 def features(text: str | None, cache: dict | None = None) -> np.ndarray:
@@ -85,15 +97,16 @@ def features(text: str | None, cache: dict | None = None) -> np.ndarray:
     x[18] = int(ascii_counts[35:39].sum() + ascii_counts[42]) / m
     x[19] = sum(w[0].isupper() for w in words) / m
     cache = {} if cache is None else cache
-    counts = np.zeros(SHAPES)
+    found: list[int] = []
     for w in words:
-        s = cache.get(w)
-        if s is None:
-            s = _shape(w)
-            if len(cache) < 200_000 and len(w) < 64:
-                cache[w] = s
-        counts[s] += 1
-    x[HEAD:] = np.sqrt(counts / m)
+        at = cache.get(w)
+        if at is None:
+            at = _buckets(w)
+            if len(cache) < 200_000 and len(w) <= PIECE:
+                cache[w] = at
+        found += at
+    counts = np.bincount(found, minlength=DIM)[HEAD:]
+    x[HEAD:] = np.sqrt(counts * (2 / len(found)))       # shares of the pieces
     return x
 
 
@@ -156,25 +169,44 @@ def smallest(scores: DataFrame, k: int) -> float:
     return lo
 
 
-def threshold(docs: DataFrame, labels: DataFrame, w: list[float], text_col: str = "text", id_col: str = "doc_id",
-              label_col: str = "quality") -> float:
-    """The score quantile at the share of label 0, over all labelled documents."""
-    # scored before the join, so that no text is moved
-    ranked = docs.select(quoted(id_col).alias("_id"), rank_column(quoted(text_col), w).alias("s"))
-    scores = cut_lineage(ranked.join(marked_ids(labels, id_col, label_col), "_id").select("y", "s"))
+def threshold(ranked: DataFrame, labels: DataFrame, id_col: str = "doc_id", label_col: str = "quality") -> float:
+    """The score quantile at the share of label 0, over all labelled documents of ``ranked`` (_id, _s)."""
+    scores = cut_lineage(ranked.select("_id", F.col("_s").alias("s")).join(marked_ids(labels, id_col, label_col), "_id").select("y", "s"))
     below = scores.filter("y = 0").count()
     last = smallest(scores, below)
     above = scores.filter(F.col("s") > last).agg(F.min("s")).first()[0]
     return last if above is None else (last + above) / 2
 
 
+def ranked(docs: DataFrame, model: dict | None, text_col: str = "text", id_col: str = "doc_id",
+           columns: list[str] | None = None) -> DataFrame:
+    """``(_row, _id, _s)``, written: the ranking score of every row, computed once; ``_row`` has ``columns``
+    (all by default)."""
+    kept = F.struct(*[quoted(c) for c in (docs.columns if columns is None else columns)]).alias("_row")
+    s = F.lit(None).cast("double") if model is None else rank_column(quoted(text_col), model["w"])
+    path = scratch_path(docs.sparkSession, "ranked")
+    with batch_rows(docs.sparkSession):
+        docs.select(kept, quoted(id_col).alias("_id"), s.alias("_s")).write.parquet(path)
+    return docs.sparkSession.read.parquet(path)
+
+
+def scored(docs: DataFrame, labels: DataFrame, text_col: str = "text", id_col: str = "doc_id", label_col: str = "quality",
+           columns: list[str] | None = None) -> DataFrame:
+    """``(_row, score)`` of every row of ``docs``, learned from ``labels``."""
+    model = fit(docs, labels, text_col, id_col, label_col)
+    rows = ranked(docs, model, text_col, id_col, columns)
+    if model is None:
+        return rows.select("_row", F.lit(1.0).alias("score"))
+    return rows.select("_row", score_of(F.col("_s"), model | {"tau": threshold(rows, labels, id_col, label_col)}).alias("score"))
+
+
 def fit(docs: DataFrame, labels: DataFrame, text_col: str = "text", id_col: str = "doc_id",
         label_col: str = "quality", max_per_label: int = MAX_PER_LABEL) -> dict | None:
-    """Weights, threshold and slope; None if there are no pairs to learn from."""
-    small_batches(docs.sparkSession)
+    """Weights and slope; None if there are no pairs to learn from."""
     rows = training_rows(docs, labels, text_col, id_col, label_col, max_per_label)
     # ranks within the bounded sample
-    rows = cut_lineage(rows.withColumn("rn", F.row_number().over(Window.partitionBy("y").orderBy("o")) - 1))
+    with batch_rows(docs.sparkSession):
+        rows = cut_lineage(rows.withColumn("rn", F.row_number().over(Window.partitionBy("y").orderBy("o")) - 1))
     n = {r["y"]: r["n"] for r in rows.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not n.get(0) or not n.get(1):
         return None
@@ -189,24 +221,14 @@ def fit(docs: DataFrame, labels: DataFrame, text_col: str = "text", id_col: str
         F.transform("d", lambda v: F.when(won, v).otherwise(-v))).alias("features"))
     model = LogisticRegression(fitIntercept=False, regParam=1e-3, maxIter=60).fit(pairs)
     w = model.coefficients.toArray()
-    tau = threshold(docs, labels, w.tolist(), text_col, id_col, label_col)
     # the sample's medians give the slope alone
     got = [(r["y"], float(np.dot(w, r["x"]))) for r in rows.select("y", "x").collect()]
     y, s = np.array([g[0] for g in got]), np.array([g[1] for g in got])
     spread = float(np.median(s[y == 1]) - np.median(s[y == 0])) or 1.0
-    return {"w": w.tolist(), "tau": tau, "slope": 8.0 / max(abs(spread), 1e-6)}
-
+    return {"w": w.tolist(), "slope": 8.0 / max(abs(spread), 1e-6)}
 
-def score_column(text, model: dict | None):
-    """Score 0..1 of a text column under a fitted model."""
-    if model is None:
-        return F.lit(1.0)
-    shift = math.log(CUT / (1 - CUT))
-    cache: dict = {}
-
-    @F.pandas_udf("double")
-    def run(s: pd.Series) -> pd.Series:
-        z = (_rows(s, cache) @ np.array(model["w"]) - model["tau"]) * model["slope"] + shift
-        return pd.Series(1 / (1 + np.exp(-np.clip(z, -30, 30))))
 
-    return run(text)
+def score_of(s: Column, model: dict) -> Column:
+    """Score 0..1 of a ranking score; ``CUT`` at the threshold."""
+    z = (s - F.lit(model["tau"])) * F.lit(model["slope"]) + F.lit(math.log(CUT / (1 - CUT)))
+    return 1 / (1 + F.exp(-F.greatest(F.least(z, F.lit(30.0)), F.lit(-30.0))))

@@ -57,10 +57,9 @@ def q_sentencepiece(spark, d):
 
 def q_quality(spark, d):
     docs, labels = table(spark, d, "documents"), table(spark, d, "labels")
-    model = quality.fit(docs, labels.filter(crc_mod("doc_id", 5) != 0))
-    score = quality.score_column(F.col("text"), model)
-    return (docs.select("doc_id", F.coalesce(crc_mod("doc_id", 5) == 0, F.lit(False)).alias("held_out"), score.alias("score"))
-            .withColumn("predicted", (F.col("score") >= quality.CUT).cast("int")))
+    out = quality.scored(docs, labels.filter(crc_mod("doc_id", 5) != 0), columns=["doc_id"])
+    return out.select("_row.doc_id", F.coalesce(crc_mod("_row.doc_id", 5) == 0, F.lit(False)).alias("held_out"), "score",
+                      (F.col("score") >= quality.CUT).cast("int").alias("predicted"))
 
 
 def q_neighbours(spark, d):
