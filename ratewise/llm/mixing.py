@@ -3,15 +3,16 @@
 Each source s has a target weight; its mean repetition rate is the tokens (here code points) it
 should contribute over those it has: rate_s = total * weight_s / mass_s.  Every document draws its
 number of copies by inverting the Poisson distribution of that mean at a uniform number hashed
-from the seed and the document's id: no state, no random generator, the same draw on every run and
-after a lost executor.  Copies are exploded and shuffled globally on a hash of (seed, id, copy):
-each copy goes to a uniformly random partition and rows are sorted by the hash within it, which is
+from the seed, the document's id and its text: no state, no random generator, the same draw on every
+run and after a lost executor.  Rows equal in both are told apart by their place in the scan (such
+keys are counted first; there are few or none), so each draws for itself and a hot id spreads.
+Copies are exploded and shuffled globally on a hash of (seed, id, text, copy): each copy goes to a uniformly random partition and rows are sorted by the hash within it, which is
 a uniformly random order without a sampling pass.
 
 Target weights default to mass^ALPHA (temperature sampling); explicit weights are a dict.
 
-Cases: null sources are one source; a null id hashes as the word ``null``; rows repeating an id
-draw the same count; null or empty texts count one code point; a source without weight
+Cases: null sources are one source; a null id hashes as the word ``null``; rows repeating an id, or
+without one, draw each for itself; a null text hashes as the empty one; null or empty texts count one code point; a source without weight
 (explicit weights) has rate 0 and leaves; an empty table gives an empty result.  Extra columns are
 carried through.
 """
@@ -29,6 +30,7 @@ SEED = 17
 SCALE = 2.0 ** 52
 PIECE = 500.0   # a larger rate is drawn as a sum of equal Poisson pieces of at most this mean
 BROADCAST_SOURCES = 10_000   # the rates are broadcast below this measured number of sources
+BROADCAST_REPEATS = 500_000  # keys that several rows share are broadcast below this measured number
 
 
 def uniform(*parts: Column) -> Column:
@@ -74,7 +76,16 @@ def mix(docs: DataFrame, weights: dict[str, float] | None = None, alpha: float =
         F.col("source").alias("_source"), "rate", pieces.alias("pieces"), poisson_cdf(F.col("rate") / pieces).alias("cdf")))
     if rates.count() <= BROADCAST_SOURCES:
         rates = F.broadcast(rates)      # else joined by shuffle, skew split by adaptive execution
-    rows = docs.select(packed(docs), quoted(id_col).alias("_id"), quoted(source_col).alias("_src"))
+    text, name = F.coalesce(quoted(text_col), F.lit("")), F.coalesce(quoted(id_col).cast("string"), F.lit("null"))
+    own = docs.select(name.alias("_ri"), F.xxhash64(text).alias("_rt"))
+    repeats = cut_lineage(own.groupBy("_ri", "_rt").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select("_ri", "_rt"))
+    if repeats.count() <= BROADCAST_REPEATS:
+        repeats = F.broadcast(repeats)
+    rows = docs.select(packed(docs), quoted(source_col).alias("_src"), name.alias("_i"), F.xxhash64(text).alias("_t"),
+                       F.concat_ws(":", name, F.md5(text)).alias("_k"), F.monotonically_increasing_id().alias("_place"))
+    # equal rows get their place in the scan as well
+    rows = rows.join(repeats, (rows["_i"] == repeats["_ri"]) & (rows["_t"] == repeats["_rt"]), "left").select(
+        "_row", "_src", F.when(F.col("_ri").isNull(), F.col("_k")).otherwise(F.concat_ws(":", "_k", "_place")).alias("_id"))
 
     def draw(piece: Column) -> Column:
         u = uniform(F.lit(seed), F.col("_id"), piece)
@@ -85,7 +96,7 @@ def mix(docs: DataFrame, weights: dict[str, float] | None = None, alpha: float =
     drawn = rows.join(rates, rows["_src"].eqNullSafe(rates["_source"])).withColumn("copies", count).filter("copies > 0")
     copies = drawn.select("_row", "_id", "rate", F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy"))
     keyed = copies.withColumn("shuffle_key", F.md5(F.concat_ws(
-        ":", F.lit(str(seed)), F.lit("order"), F.coalesce(F.col("_id").cast("string"), F.lit("null")), F.col("copy").cast("string"))))
+        ":", F.lit(str(seed)), F.lit("order"), F.col("_id"), F.col("copy").cast("string"))))
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return (keyed.select("_row", "copy", "rate", "shuffle_key").repartition(n, "shuffle_key")
             .sortWithinPartitions("shuffle_key", "copy"))

@@ -29,13 +29,13 @@ cdf AS (
   UNION ALL
   SELECT source, rate, k + 1, p * rate / (k + 1), c + p * rate / (k + 1) FROM cdf WHERE k < ceil(rate + 12 * sqrt(rate) + 30)),
 u AS (
-  SELECT doc_id, source, length(coalesce(text, '')) AS n_chars,
-         ('0x' || substr(md5('17:' || doc_id || ':0'), 1, 13))::BIGINT::DOUBLE / 4503599627370496.0 AS u FROM documents),
+  SELECT doc_id, source, length(coalesce(text, '')) AS n_chars, doc_id || ':' || md5(coalesce(text, '')) AS key,
+         ('0x' || substr(md5('17:' || doc_id || ':' || md5(coalesce(text, '')) || ':0'), 1, 13))::BIGINT::DOUBLE / 4503599627370496.0 AS u FROM documents),
 n AS (
-  SELECT u.doc_id, u.source, u.n_chars, cdf.rate, count(*) FILTER (WHERE cdf.c <= u.u) AS copies
+  SELECT u.doc_id, u.source, u.n_chars, u.key, cdf.rate, count(*) FILTER (WHERE cdf.c <= u.u) AS copies
   FROM u JOIN cdf ON u.source IS NOT DISTINCT FROM cdf.source GROUP BY ALL),
-e AS (SELECT doc_id, source, n_chars, rate, unnest(generate_series(1, copies)) AS copy FROM n)
-SELECT doc_id, source, copy::INTEGER AS copy, md5('17:order:' || doc_id || ':' || copy) AS shuffle_key, n_chars, round(rate, 9) AS rate FROM e
+e AS (SELECT doc_id, source, n_chars, key, rate, unnest(generate_series(1, copies)) AS copy FROM n)
+SELECT doc_id, source, copy::INTEGER AS copy, md5('17:order:' || key || ':' || copy) AS shuffle_key, n_chars, round(rate, 9) AS rate FROM e
 """
 
 EXACT_DEDUP = r"""
