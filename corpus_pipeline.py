@@ -5,7 +5,7 @@ All but the last return the columns of ``docs``; each is written as Parquet and
 next one's ``docs``.  ``run`` does that in the shared checkpoint folder.
 
 SQL cannot express the classifier, the fingerprints and the tokenizer, so ``ORACLE_SQL`` is None;
-``tests/llm`` holds every stage against brute force.
+``tests/llm/test_pipeline.py`` holds every stage's rows against plain Python.
 """
 
 from __future__ import annotations
@@ -14,17 +14,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ratewise.llm import line_dedup, mixing, quality, sentencepiece_codec, simhash_dedup
-from ratewise.llm.common import packed, quoted, small_batches, table, unpacked
+from ratewise.llm.common import table, unpacked
 from ratewise.llm.queries import crc_mod
 from ratewise.session import scratch_path
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier rejects go; learned from labels of the training folds."""
-    model = quality.fit(docs, table(spark, sf_dir, "labels").filter(crc_mod("doc_id", 5) != 0))
-    small_batches(spark)
-    rows = docs.select(packed(docs), quality.score_column(quoted("text"), model).alias("_score"))
-    return unpacked(rows.filter(F.col("_score") >= quality.CUT), docs.columns)
+    rows = quality.scored(docs, table(spark, sf_dir, "labels").filter(crc_mod("doc_id", 5) != 0))
+    return unpacked(rows.filter(F.col("score") >= quality.CUT), docs.columns)
 
 
 def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
