@@ -5,17 +5,19 @@ Nearness is the largest inner product.  Index:
   * a start graph: in each of ``TREES`` random hyperplane partitions, a node's best neighbours
     within its cell (cells above ``LEAF_MAX`` are dealt to random pieces);
   * NN-descent: a Spark join brings together at every node v the nodes that point to v and the
-    nodes v points to; each pair is scored and offered to both ends, and each node keeps its
-    ``DEGREE`` best.  A node that many point to is split into chunks, each joined with the same
-    bounded list, so nothing is dropped.  Pairs whose two edges at v are both older than the last
+    nodes v points to.  A pair is scored if v points to one of the two at least, and offered to both
+    ends; two nodes that both only point to v are not compared, as a hub has no bound on them.  Each
+    node keeps its ``DEGREE`` best.  A node that many point to is split into chunks, each joined with
+    the same bounded list, so no such pair is dropped.  Pairs whose two edges at v are both older than the last
     round were scored before and are left out.  Rounds go on, at any size, until the share of edges
     that a round has changed is under ``DELTA``.
 Graph work uses 8-bit copies of the vectors; results are scored on the originals, in doubles.
 
 Search: a query's beam starts at the nearest of ``PIVOTS`` sampled nodes and, for a vector in the
 index, at its own node.  Each round expands the best unexpanded nodes of every beam (one join with
-the adjacency lists) and keeps the ``BEAM`` best, until all nodes of all beams are expanded.  Beams
-are rows; only the number of open beams reaches the driver.
+the adjacency lists, one row a node: its neighbours' ids and their codes as one binary) and keeps
+the ``BEAM`` best, until all nodes of all beams are expanded.  Beams are rows, joined in groups of
+about ``GROUP_BEAMS`` at any number of queries; whether beams are open is all that reaches the driver.
 
 Cases: vectors that are null, zero, of another length than most, or hold a null or non-finite
 component take no part, nor do rows without an id; rows that repeat an id count once (one vector,
@@ -43,6 +45,7 @@ CHUNK = 512                       # nodes pointing to one node that are joined i
 GROUP = 20_000                    # messages joined in one group
 BEAM = 120
 EXPAND = 30                       # nodes of a beam expanded in one round
+GROUP_BEAMS = 200                 # beams joined in one group: EXPAND x DEGREE codes each, some 20 MB
 PIVOTS = 256                      # sampled entry nodes (smallest md5 of the id)
 SEED = 5
 
@@ -87,7 +90,12 @@ def codes_column(v):
 
 
 def matrix(codes) -> np.ndarray:
-    raw = np.frombuffer(b"".join(codes), dtype=np.uint8).reshape(len(codes), -1)
+    return matrix_of(b"".join(codes), len(codes))
+
+
+def matrix_of(raw: bytes, n: int) -> np.ndarray:
+    """``n`` codes that stand one after another."""
+    raw = np.frombuffer(raw, dtype=np.uint8).reshape(n, -1)
     scale = np.ascontiguousarray(raw[:, :4]).view(np.float32)
     return raw[:, 4:].view(np.int8).astype(np.float32) * scale
 
@@ -114,9 +122,11 @@ def _frame(src, dst, sc) -> pd.DataFrame:
 
 
 def _top(edges: DataFrame, k: int) -> DataFrame:
-    """The ``k`` best distinct neighbours of every node (ranked before the shuffle as well)."""
+    """The ``k`` best distinct neighbours of every node.  One pair scored in two places can differ in
+    the last bit: its best score counts, once."""
     w = Window.partitionBy("src").orderBy(F.desc("sc"), "dst")
-    return edges.withColumn("r", F.dense_rank().over(w)).filter(F.col("r") <= k).select("src", "dst", "sc").distinct()
+    return (edges.groupBy("src", "dst").agg(F.max("sc").alias("sc"))
+            .withColumn("r", F.row_number().over(w)).filter(F.col("r") <= k).select("src", "dst", "sc"))
 
 
 def start_graph(nodes: DataFrame, n: int, dim: int, degree: int, trees: int, leaf: int, seed: int) -> DataFrame:
@@ -234,9 +244,10 @@ def search(index: dict, queries: DataFrame, beam: int = BEAM, expand: int = EXPA
     """``queries`` (q, v, own: node of the vector or null) -> ``(q, node)``, the beam of each query."""
     spark = queries.sparkSession
     pivot_ids, pivot_codes = index["pivots"]
-    adjacency = (index["edges"].join(index["nodes"].select(F.col("id").alias("dst"), "code"), "dst")
-                 .groupBy("src").agg(F.collect_list(F.struct("dst", "code")).alias("near")))       # DEGREE at most
-    adjacency = _written(adjacency, "adjacency")
+    near = (index["edges"].join(index["nodes"].select(F.col("id").alias("dst"), "code"), "dst")
+            .groupBy("src").agg(F.collect_list(F.struct("dst", "code")).alias("near")))       # DEGREE at most
+    adjacency = _written(near.select("src", F.col("near.dst").alias("dsts"), F.aggregate(
+        "near", F.lit(b""), lambda a, e: F.concat(a, e["code"])).alias("codes")), "adjacency")
 
     def enter(batches):
         p = matrix(pivot_codes)
@@ -256,27 +267,27 @@ def search(index: dict, queries: DataFrame, beam: int = BEAM, expand: int = EXPA
 
     def step(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         found: dict = {}
-        for q, near in zip(right["asked"], right["near"]):
-            found.setdefault(q, []).append(near)
+        for q, dsts, codes in zip(right["asked"], right["dsts"], right["codes"]):
+            found.setdefault(q, []).append((dsts, codes))
         rows = []
         for q, code, ids, sc, done in zip(*[left[c] for c in ("q", "code", "ids", "sc", "done")]):
             ids, sc, done = np.asarray(ids, dtype=np.int64), np.asarray(sc, dtype=np.float32), np.asarray(done, dtype=bool)
             done = done.copy()
             done[_frontier(sc, done, expand)] = True
             if q in found:
-                pairs = [(p["dst"], p["code"]) for near in found[q] for p in near]
-                new, at = np.unique(np.array([p[0] for p in pairs], dtype=np.int64), return_index=True)
+                near = np.concatenate([np.asarray(d, dtype=np.int64) for d, _ in found[q]])
+                new, at = np.unique(near, return_index=True)
                 fresh = ~np.isin(new, ids)
                 new, at = new[fresh], at[fresh]
                 if len(new):
-                    s = matrix([pairs[i][1] for i in at.tolist()]) @ matrix([code])[0]
+                    s = matrix_of(b"".join(c for _, c in found.pop(q)), len(near))[at] @ matrix([code])[0]
                     ids, sc = np.concatenate((ids, new)), np.concatenate((sc, s))
                     done = np.concatenate((done, np.zeros(len(new), bool)))
             order = np.lexsort((ids, -sc))[:beam]
             rows.append((q, code, ids[order], sc[order], done[order]))
         return _state(rows)
 
-    groups = F.lit(max(1, int(spark.conf.get("spark.sql.shuffle.partitions")) * 4))
+    groups = F.lit(max(int(spark.conf.get("spark.sql.shuffle.partitions")), state.count() // GROUP_BEAMS, 1))
     opened = F.filter(F.arrays_zip("ids", "sc", "done"), lambda e: ~e["done"])
     while True:
         waiting = state.filter(F.exists("done", lambda d: ~d))
@@ -285,7 +296,7 @@ def search(index: dict, queries: DataFrame, beam: int = BEAM, expand: int = EXPA
         # the same choice as _frontier: best score first, then the smaller id
         best = F.slice(F.array_sort(F.transform(opened, lambda e: F.struct((-e["sc"]).alias("s"), e["ids"].alias("i")))), 1, expand)
         frontier = waiting.select("q", F.explode(best).alias("e")).select("q", F.col("e.i").alias("src"))
-        near = frontier.join(adjacency, "src").select(F.col("q").alias("asked"), "near", F.pmod(F.xxhash64("q"), groups).alias("to"))
+        near = frontier.join(adjacency, "src").select(F.col("q").alias("asked"), "dsts", "codes", F.pmod(F.xxhash64("q"), groups).alias("to"))
         held = state.withColumn("of", F.pmod(F.xxhash64("q"), groups))
         state = _written(held.groupBy("of").cogroup(near.groupBy("to")).applyInPandas(step, _STATE), "beams")
     return state.select("q", F.explode("ids").alias("node"))

@@ -1,5 +1,6 @@
 import helpers
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from ratewise.llm import language_mixture, nn_descent
@@ -65,3 +66,35 @@ def test_graph_is_refined_until_it_settles(spark, monkeypatch):
     hot = edges["src"].to_numpy() % 3 == 0
     assert right[hot].sum() >= 0.99 * 1334 * nn_descent.DEGREE
     assert right[~hot].sum() >= 0.95 * 2666 * nn_descent.DEGREE      # two rounds: 0.906
+
+
+@pytest.mark.parametrize("n", [700, 2100])
+def test_search_recall_over_cells_and_a_hot_cluster(spark, monkeypatch, n):
+    """``nearest`` as a whole against brute force: many cells, a third of the vectors in one tight
+    cluster, an id that repeats with another vector, distinct neighbours in every answer."""
+    monkeypatch.setattr(nn_descent, "LEAF_MAX", 120)
+    rng = np.random.default_rng(n)
+    x = rng.standard_normal((n, 32))
+    x[::3] = 2 * rng.standard_normal(32) + 0.1 * rng.standard_normal((len(x[::3]), 32))
+    rows = [(i, v.tolist()) for i, v in enumerate(x)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {}
+    for r in nn_descent.nearest(df, F.col("id") % 20 == 0, leaf=100).collect():
+        got.setdefault(r["query_id"], []).append((r["rank"], r["vec_id"], r["score"]))
+    assert set(got) == set(range(0, n, 20))
+    hits = []
+    for q, found in got.items():
+        s = x @ x[q]
+        s[q] = -np.inf
+        found.sort()
+        assert [r for r, _, _ in found] == list(range(1, 21)) and len({v for _, v, _ in found}) == 20
+        assert np.allclose([sc for _, _, sc in found], s[[v for _, v, _ in found]])
+        hits.append(len(set(np.argsort(-s)[:20]) & {v for _, v, _ in found}) / 20)
+    assert np.mean(hits) >= 0.9
+
+
+def test_an_id_with_two_vectors_counts_once(spark):
+    rows = [(i, [float(i + 1), 1.0]) for i in range(25)] + [(3, [-5.0, 2.0]), (3, [4.0, 1.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = nn_descent.nearest(df, F.col("id") == 20).collect()
+    assert sorted(r["rank"] for r in got) == list(range(1, 21)) and len({r["vec_id"] for r in got}) == 20
