@@ -44,7 +44,8 @@ CORE = MATCH - BLOCK + 1              # bytes that all windows of a block share
 SLICE = 1 << 19                       # bytes hashed at once
 HELD_BYTES = 8 << 20                  # text whose pointers a task holds before it hands them on
 BUCKET_BYTES = 4 << 20
-HOT_SHARE = 1e-3
+HOT_SHARE = 1e-6                      # of all pointers; at most 2 / HOT_SHARE such q-grams reach the driver (16 MB)
+HOT_ROWS = 1000                       # and so many pointers at least
 NULL_ID = -(2**63)
 
 _B = np.uint64(0x9E3779B97F4A7C15)    # odd, so it has an inverse modulo 2**64
@@ -235,7 +236,7 @@ def hot_grams(rows: DataFrame) -> np.ndarray:
     got = rows.mapInPandas(count, "h long, n long, all boolean").groupBy("h", "all").agg(F.sum("n").alias("n"))
     got = cut_lineage(got)
     total = got.filter("all").agg(F.sum("n")).first()[0] or 0
-    hot = got.filter(~F.col("all") & (F.col("n") >= max(1000.0, HOT_SHARE / 2 * total))).select("h").toPandas()
+    hot = got.filter(~F.col("all") & (F.col("n") >= max(float(HOT_ROWS), HOT_SHARE / 2 * total))).select("h").toPandas()
     return np.sort(hot["h"].to_numpy(dtype=np.int64).view(np.uint64))
 
 
