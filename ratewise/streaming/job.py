@@ -13,6 +13,8 @@ keeps the source offsets of every finished batch as a table (T3).
 
 from __future__ import annotations
 
+import signal
+import threading
 import time
 from collections.abc import Callable
 
@@ -115,13 +117,42 @@ def console(messages: DataFrame, checkpoint_location: str, processing_time: str
     return w.start()
 
 
+def stop_between_batches(query: StreamingQuery, max_wait: float = 600.0) -> None:
+    """Let the running batch end, then stop.  On a stream that is behind the next batch begins at once;
+    it is interrupted at its beginning and its checkpoint replays it.  After ``max_wait`` seconds the
+    query is stopped within a batch, which is replayed as well."""
+    def last() -> int:
+        progress = query.lastProgress
+        return -1 if progress is None else progress["batchId"]
+
+    before, until = last(), time.monotonic() + max_wait
+    while query.isActive and query.status.get("isTriggerActive") and last() <= before and time.monotonic() < until:
+        time.sleep(0.02)
+    query.stop()
+
+
+def stop_on_signal(query: StreamingQuery, signals=(signal.SIGTERM, signal.SIGINT), max_wait: float = 600.0) -> threading.Event:
+    """T9, at shutdown: a signal lets the running batch end, then the query stops and whoever awaits it
+    goes on.  The handler only sets the event returned; a thread does the waiting, as a handler may
+    interrupt the main thread within a call to Spark.  To be called from the main thread."""
+    asked = threading.Event()
+
+    def wait() -> None:
+        while query.isActive:
+            if asked.wait(0.2):
+                stop_between_batches(query, max_wait)
+                return
+
+    threading.Thread(target=wait, name="stop-on-signal", daemon=True).start()
+    for s in signals:
+        signal.signal(s, lambda *_: asked.set())
+    return asked
+
+
 def run_until_marker(spark: SparkSession, query: StreamingQuery, marker: str, poll_seconds: float = 60.0,
                      max_polls: int | None = None, max_wait: float = 600.0) -> bool:
     """Poll every ``poll_seconds``; stop the query between batches once ``marker`` exists.
 
-    On a stream that is always behind no gap may be seen; after ``max_wait`` seconds the query is
-    stopped within a batch, which its checkpoint replays.
-
     Returns True when stopped by the marker, False when the query ended by itself (or
     ``max_polls`` ran out).
     """
@@ -130,10 +161,7 @@ def run_until_marker(spark: SparkSession, query: StreamingQuery, marker: str, po
         if query.awaitTermination(poll_seconds):
             return False
         if path_exists(spark, marker):
-            until = time.monotonic() + max_wait
-            while query.status.get("isTriggerActive") and time.monotonic() < until:
-                time.sleep(0.05)
-            query.stop()
+            stop_between_batches(query, max_wait)
             return True
         polls += 1
         if max_polls is not None and polls >= max_polls:

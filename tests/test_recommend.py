@@ -102,3 +102,27 @@ def test_no_known_users_and_no_items(spark):
         (5, [12], False), (6, [12], False)]
     empty_items = vf.limit(0)
     assert top_k_rows(uf, empty_items, 3).count() == 0
+
+
+def test_pruned_topk_equals_the_full_product(spark):
+    """Several tiers, some cut into pieces, ties, zero vectors, users who reach no further than the first tier."""
+    import numpy as np
+
+    from ratewise.operators.recommend import top_k_pruned, top_k_rows
+    rng = np.random.default_rng(6)
+    v = rng.standard_normal((500, 6)) * np.exp(-np.arange(500) / 60)[:, None]
+    v[100:160] = v[100] / np.linalg.norm(v[100])     # one length, equal vectors: a tier of ties
+    v[490:] = 0
+    u = rng.standard_normal((80, 6))
+    u[70] = 0
+    items = spark.createDataFrame([(i, [float(x) for x in r]) for i, r in enumerate(v)], "id int, features array<float>")
+    users = spark.createDataFrame([(i, [float(x) for x in r]) for i, r in enumerate(u)], "id int, features array<float>")
+    rows, share = top_k_pruned(users, items, 5, item_block_rows=40)
+    key = lambda df: sorted((r.user_id, r["rank"], r.movie_id, round(r.rating, 9)) for r in df.collect())
+    assert key(rows) == key(top_k_rows(users, items, 5))
+    told = share.orderBy("tier").collect()
+    assert sum(r.n_items for r in told) == 500 and told[0].n_users == 80 and len(told) > 5
+    assert sum(r.share for r in told) < 0.6           # most of the product is never formed
+    assert top_k_pruned(users, items.limit(0), 5)[0].count() == 0
+    few, _ = top_k_pruned(users, items.filter("id < 3"), 5, item_block_rows=2)
+    assert key(few) == key(top_k_rows(users, items.filter("id < 3"), 5))

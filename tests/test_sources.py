@@ -52,3 +52,31 @@ def test_console_sink_runs(spark):
     q = console(src, scratch_path(spark, "t-console-ckpt"), available_now=True)
     q.awaitTermination()
     assert q.lastProgress["numInputRows"] == 1
+
+
+def test_default_format_save(spark):
+    """K3: no format given, the session's default is used."""
+    from ratewise.sources.tables import read_table, save_table
+    df = spark.range(5).selectExpr("CAST(id AS INT) AS user_id", "id * 1.5 AS rating")
+    save_table(df, "ratewise_default_format", fmt=None, replace=True)
+    assert sorted(map(tuple, read_table(spark, "ratewise_default_format").collect())) == sorted(map(tuple, df.collect()))
+    told = {r["col_name"]: r["data_type"] for r in spark.sql("DESCRIBE TABLE EXTENDED ratewise_default_format").collect()}
+    assert told["Provider"].lower() == spark.conf.get("spark.sql.sources.default")
+
+
+def test_current_day_text(spark):
+    """the run day, when none is given, is today as yyyy-MM-dd."""
+    from ratewise.functions.codec import day_text
+    before = spark.sql("SELECT CAST(current_date() AS STRING)").first()[0]
+    got = spark.range(1).select(day_text(None).alias("d")).first()["d"]
+    assert before <= got <= spark.sql("SELECT CAST(current_date() AS STRING)").first()[0] and len(got) == 10
+
+
+def test_random_split_is_a_partition(spark):
+    """Seeded, repeatable, every row on exactly one side, about the weights."""
+    from ratewise.operators.split import random_split
+    df = spark.range(4000).repartition(3).cache()
+    a, b = random_split(df, (0.8, 0.2), seed=3)
+    left, right = ({r.id for r in side.collect()} for side in (a, b))
+    assert not left & right and left | right == set(range(4000)) and 0.75 < len(left) / 4000 < 0.85
+    assert {r.id for r in random_split(df, (0.8, 0.2), seed=3)[0].collect()} == left
