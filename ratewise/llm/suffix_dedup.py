@@ -1,5 +1,9 @@
-"""Substring dedup by winnowing with hashed windows (in place of bucket-pointer refinement, which is
-not built): remove bytes covered by a repeated string.
+"""Substring dedup: remove bytes covered by a repeated string.
+
+Two methods give the same result (``method``).  ``pointers`` is bucket-pointer refinement: every
+suffix is a row, see ``pointer_repeats``.  It moves several rows for each byte of text, far over any
+budget (figures in the README), so ``winnowing``, with hashed windows, is the default and what the
+query runs; it is described below.
 
 A byte is removed if a ``MATCH``-byte string that covers it also starts earlier (smaller id, or same
 document and earlier start).  Matches never cross documents; all is judged on the input.
@@ -354,7 +358,47 @@ def repeats(rows: DataFrame) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", with_kept: bool = False) -> DataFrame:
+GRAM = 25       # bytes of an initial bucket of ``pointer_repeats``
+
+
+def pointer_repeats(rows: DataFrame, gram: int = GRAM, match: int = MATCH) -> DataFrame:
+    """Bucket-pointer refinement: ``rows`` (id, tag, text) -> byte ranges ``(id, tag, a, b)`` that repeat.
+
+    Suffixes start in the bucket of their first ``gram`` bytes.  A bucket's pointer is its first suffix
+    (smallest id, then position).  Each round refines every bucket by the pointer that the suffix a step
+    further on has, and the refined pointers are what the next round reads, with twice the step, until
+    ``match`` bytes are told apart.  A suffix alone in its bucket is settled and leaves; so does one
+    whose later suffix has left.  Buckets are refined by aggregation and a join, which splits hot ones.
+    """
+    def suffixes(batches):
+        for pdf in batches:
+            for i, g, t in zip(pdf["id"], pdf["tag"], pdf["text"]):
+                raw = t.encode("utf-8")
+                for a in range(0, len(raw) - gram + 1, SLICE):
+                    at = range(a, min(a + SLICE, len(raw) - gram + 1))
+                    yield pd.DataFrame({"id": i, "tag": g, "p": np.arange(at.start, at.stop, dtype=np.int32),
+                                        "bucket": [raw[p:p + gram] for p in at]})
+
+    def pointed(found: DataFrame, bucket: list[str]) -> DataFrame:
+        """Suffixes of buckets with more than one, and their bucket's pointer."""
+        first = cut_lineage(found.groupBy(*bucket).agg(F.min("place").alias("new"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n"))
+        return cut_lineage(found.join(first, bucket).select("id", "tag", "p", "place", F.col("new").alias("to")))
+
+    start = rows.mapInPandas(suffixes, "id long, tag int, p int, bucket binary").withColumn("place", _place("id", "p"))
+    held, width = pointed(start, ["bucket"]), gram
+    while width < match:
+        step = min(width, match - width)
+        later = held.select("id", "tag", (F.col("p") - step).alias("p"), F.col("to").alias("then"))
+        held = pointed(held.join(later, ["id", "tag", "p"]), ["to", "then"])
+        width += step
+    return held.filter("place > to").select("id", "tag", F.col("p").alias("a"), (F.col("p") + match).alias("b"))
+
+
+METHODS = {"winnowing": repeats, "pointers": pointer_repeats}
+
+
+def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", with_kept: bool = False,
+                     method: str = "winnowing") -> DataFrame:
     """``_row`` (the input row, without the text), ``n_bytes``, ``n_removed``, ``n_spans``, ``kept_sha256``,
     ``spans`` (removed runs as array<struct<a, b>>) and, if wanted, ``kept`` (the remaining bytes)."""
     small_batches(docs.sparkSession)
@@ -367,7 +411,7 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     tag = F.hash(quoted(text_col)) if twice else F.lit(0)
     base = docs.select(row, ident.alias("id"), tag.alias("tag"), F.coalesce(quoted(text_col), F.lit("")).alias("text"))
     with finished_shuffles_deleted(docs.sparkSession):
-        ranges = repeats(base.select("id", "tag", "text"))
+        ranges = METHODS[method](base.select("id", "tag", "text"))
     # a range is one number, a in the upper half: Python gets an integer array, not an object per range
     gone = (ranges.groupBy("id", "tag")
             .agg(F.collect_list(F.shiftleft(F.col("a").cast("long"), 32) + F.col("b")).alias("ranges")))

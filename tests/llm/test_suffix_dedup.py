@@ -59,6 +59,12 @@ def test_against_brute_force(spark, monkeypatch, share):
     assert result(S.dedup_substrings(df)) == brute(rows)
 
 
+def test_bucket_pointers_against_brute_force(spark):
+    rows = made(5)[::2]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert result(S.dedup_substrings(df, method="pointers")) == brute(rows)
+
+
 def test_long_texts_are_cut_with_an_overlap(monkeypatch):
     rng = np.random.default_rng(1)
     raw = bytes(rng.integers(97, 123, 5000, dtype=np.uint8))
