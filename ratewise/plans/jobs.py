@@ -17,10 +17,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ratewise.functions.codec import day_text
 from ratewise.operators import als, parse, popular, split
 from ratewise.operators.recommend import encoded, recommend
-from ratewise.operators.upsert import UserTable, classify
-from ratewise.sources.jdbc import jdbc_append, jdbc_upsert, read_jdbc
+from ratewise.operators.upsert import UserTable
+from ratewise.sources.jdbc import jdbc_append, jdbc_upsert
 from ratewise.sources.models import model_path, save_model
 from ratewise.sources.tables import cut_lineage, read_table, save_table
 from ratewise.sources.text import read_lines
@@ -99,14 +100,10 @@ def jdbc_sink(url: str, table: str, props: dict | None = None, batchsize: int =
 
 def jdbc_upsert_sink(spark: SparkSession, url: str, table: str, staging: str, props: dict | None = None,
                      day: str | None = None) -> Callable[[DataFrame, int], None]:
-    """K8 against a database table, for ``stream_recommend(sink=...)``: the stored days are read
-    with the JDBC source (pruned to the batch's users by a semi join), the classified rows are
-    applied with set-based statements."""
+    """K8 against a database table, for ``stream_recommend(sink=...)``: each batch is staged in a table
+    of its own and classified in the database, by key lookups; nothing of the target is read out."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        target = read_jdbc(spark, url=url, table=table, **{k: v for k, v in (props or {}).items()
-                                                          if k in ("user", "password", "driver")})
-        stored = target.select("user_id", "day").join(batch.select("user_id").distinct(), "user_id", "left_semi")
-        jdbc_upsert(spark, classify(batch, stored, day), url, table, staging, props)
+        jdbc_upsert(spark, batch.select("user_id", "res", day_text(day).alias("day")), url, table, staging, props, batch_id=batch_id)
     return write
 
 

@@ -60,6 +60,14 @@ def jdbc_append(df: DataFrame, url: str, table: str, props: dict | None = None,
     df.write.mode("append").format("jdbc").option("url", url).option("dbtable", table).options(**opts).save()
 
 
+def classify_statement(table: str, staging: str, key: str = "user_id") -> str:
+    """S6/J4 in the database: the action of every staged row, by key lookups in the target.  Only
+    the batch's keys are looked up; the target is never read out."""
+    known = f"EXISTS (SELECT 1 FROM {table} t WHERE t.{key} = {staging}.{key}"
+    return (f"UPDATE {staging} SET action = CASE WHEN NOT {known}) THEN 'insert' "
+            f"WHEN {known} AND t.day = {staging}.day) THEN 'skip' ELSE 'update' END")
+
+
 def upsert_statements(table: str, staging: str, key: str = "user_id") -> list[str]:
     """K7/K8 set-based DML: update every target row of a staged 'update' user, then insert the
     staged 'insert' users.  Runs inside the database, one transaction."""
@@ -71,24 +79,45 @@ def upsert_statements(table: str, staging: str, key: str = "user_id") -> list[st
     ]
 
 
-def jdbc_upsert(spark: SparkSession, actions: DataFrame, url: str, table: str, staging: str,
-                props: dict | None = None, key: str = "user_id") -> None:
-    """K8 into a database: stage the classified rows with the JDBC writer (distributed), then run
-    the two set-based statements in one transaction.  Errors roll back and raise."""
-    staged = actions.filter(F.col("action") != SKIP).select(key, "res", "day", "action")
-    (staged.write.mode("overwrite").format("jdbc").option("url", url).option("dbtable", staging)
-     .option("truncate", "true").options(**(props or {})).save())
+def staging_name(staging: str, batch_id: int | None) -> str:
+    """A staging table of its own for each batch: a batch that died leaves nothing to the next."""
+    return staging if batch_id is None else f"{staging}_{batch_id}"
+
+
+def _connection(spark: SparkSession, url: str, props: dict):
     jvm = spark.sparkContext._jvm
+    if props.get("driver"):     # DriverManager knows only drivers whose class has been loaded
+        loader = jvm.java.lang.Thread.currentThread().getContextClassLoader()
+        jvm.java.lang.Class.forName(props["driver"], True, loader)
     info = jvm.java.util.Properties()
-    for k, v in (props or {}).items():
+    for k, v in props.items():
         info.setProperty(k, str(v))
-    conn = jvm.java.sql.DriverManager.getConnection(url, info)
+    return jvm.java.sql.DriverManager.getConnection(url, info)
+
+
+def jdbc_upsert(spark: SparkSession, rows: DataFrame, url: str, table: str, staging: str, props: dict | None = None,
+                key: str = "user_id", batch_id: int | None = None) -> None:
+    """K8 into a database: stage ``rows`` (key, res, day; one row per key) with the JDBC writer
+    (distributed), then classify, update and insert by set-based statements in one transaction.
+    Rows that already have an ``action`` are taken as classified.  Errors roll back and raise."""
+    props = props or {}
+    classified = "action" in rows.columns
+    if classified:
+        rows = rows.filter(F.col("action") != SKIP)
+    staged = rows.select(key, "res", "day", F.col("action") if classified else F.lit("update").alias("action"))
+    name = staging_name(staging, batch_id)
+    (staged.write.mode("overwrite").format("jdbc").option("url", url).option("dbtable", name)
+     .option("truncate", "true").options(**props).save())
+    conn = _connection(spark, url, props)
     try:
         conn.setAutoCommit(False)
         stmt = conn.createStatement()
-        for sql in upsert_statements(table, staging, key):
+        for sql in ([] if classified else [classify_statement(table, name, key)]) + upsert_statements(table, name, key):
             stmt.executeUpdate(sql)
         conn.commit()
+        if name != staging:
+            stmt.executeUpdate(f"DROP TABLE {name}")
+            conn.commit()
     except Exception:
         conn.rollback()
         raise

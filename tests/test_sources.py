@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from ratewise.operators.metrics import match_truth, ml_metric, regression_metrics
 from ratewise.session import scratch_path
-from ratewise.sources.jdbc import existing_keys, top_ids
+from ratewise.sources.jdbc import classify_statement, existing_keys, staging_name, top_ids, upsert_statements
 from ratewise.sources.tables import cut_lineage, export_rows, persist
 from ratewise.sources.text import read_text_dataset
 from ratewise.streaming.job import console
@@ -80,3 +80,29 @@ def test_random_split_is_a_partition(spark):
     left, right = ({r.id for r in side.collect()} for side in (a, b))
     assert not left & right and left | right == set(range(4000)) and 0.75 < len(left) / 4000 < 0.85
     assert {r.id for r in random_split(df, (0.8, 0.2), seed=3)[0].collect()} == left
+
+
+def test_statements_follow_the_rule(spark):
+    """S6/K8 in a database: the three statements, run by SQLite in memory, against the Spark form."""
+    import random
+    import sqlite3
+
+    from ratewise.operators.upsert import apply_actions, classify
+    rnd = random.Random(4)
+    target = [(u, f"old{u}", rnd.choice(["d1", "d2", "today", None])) for u in range(40)] + [(3, "twice", "d0"), (4, "twice", "d0")]
+    incoming = [(u, f"new{u}") for u in rnd.sample(range(60), 35)]
+    con = sqlite3.connect(":memory:")
+    con.execute("CREATE TABLE rec_user (user_id INT, res TEXT, day TEXT)")
+    stage = staging_name("rec_user_stage", 7)
+    assert stage == "rec_user_stage_7" and staging_name("s", None) == "s"
+    con.execute(f"CREATE TABLE {stage} (user_id INT, res TEXT, day TEXT, action TEXT)")
+    con.executemany("INSERT INTO rec_user VALUES (?, ?, ?)", target)
+    con.executemany(f"INSERT INTO {stage} VALUES (?, ?, 'today', 'update')", incoming)
+    con.execute(classify_statement("rec_user", stage))
+    actions = classify(spark.createDataFrame(incoming, "user_id int, res string"),
+                       spark.createDataFrame(target, "user_id int, res string, day string"), "today")
+    assert dict(con.execute(f"SELECT user_id, action FROM {stage}")) == {r.user_id: r.action for r in actions.collect()}
+    for sql in upsert_statements("rec_user", stage):
+        con.execute(sql)
+    after = apply_actions(spark.createDataFrame(target, "user_id int, res string, day string"), actions)
+    assert set(con.execute("SELECT * FROM rec_user")) == set(map(tuple, after.collect()))
