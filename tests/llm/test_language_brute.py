@@ -1,0 +1,96 @@
+"""Language mixtures against plain Python: trigram counts, the model, EM and the penalised selection."""
+
+import itertools
+import math
+from collections import Counter
+
+import helpers
+import numpy as np
+import pytest
+
+from ratewise.llm import language_mixture as lm
+
+
+def slow_counts(text):
+    """Trigrams around each letter, everything else a space, by the hash written in Python integers."""
+    out, m = Counter(), 0xFFFFFFFF
+    codes = [32, 32] + [ord(c) if c.isalpha() else 32 for c in (text or "").lower()] + [32]
+    for a, b, c in zip(codes, codes[1:], codes[2:]):
+        if b != 32:
+            h = (a * 0x9E3779B1 & m) ^ (b * 0x85EBCA6B & m) ^ (c * 0xC2B2AE35 & m)
+            h ^= h >> 15
+            out[(h * 0x2C1B3C6D & m) >> 17] += 1
+    return out
+
+
+def test_trigram_counts(monkeypatch):
+    texts = [r[1] for r in helpers.rows() if r[1] is None or len(r[1]) < 9000] + ["a", "ab", "Ça va? 漢字 x1y", "İstanbul ẞ", "1 2 3"]
+    for piece in (lm.PIECE, 7):
+        monkeypatch.setattr(lm, "PIECE", piece)
+        for t in texts:
+            got, want = lm.trigram_counts(t), slow_counts(t)
+            if any(c.isalpha() for c in (t or "").lower()):
+                assert {i: int(got[i]) for i in np.flatnonzero(got)} == dict(want), t
+            else:
+                assert got is None
+
+
+def test_model_is_the_smoothed_share(spark):
+    docs = spark.createDataFrame([("xx", "abc abc"), ("yy", "def"), ("xx", "a"), (None, "zzz"), ("yy", None), ("zz", "123")], "lang string, text string")
+    model = lm.fit(docs)
+    assert model["langs"] == ["xx", "yy"]       # no letter, no language
+    for k, texts in enumerate((["abc abc", "a"], ["def"])):
+        n = sum((slow_counts(t) for t in texts), Counter())
+        total = sum(n.values()) + lm.SMOOTHING * lm.BUCKETS
+        for b in [*n, 5, 77]:
+            assert math.isclose(model["logp"][b, k], math.log((n[b] + lm.SMOOTHING) / total), rel_tol=1e-5)
+
+
+def grid(p, n, step):
+    """The best proportions of a mixture on a grid, and their log-likelihood."""
+    k = p.shape[1]
+    best = None
+    for cuts in itertools.product(range(step + 1), repeat=k - 1):
+        if sum(cuts) <= step:
+            w = np.array([*cuts, step - sum(cuts)]) / step
+            mass = p @ w
+            if (mass > 0).all():
+                ll = float(n @ np.log(mass))
+                if best is None or ll > best[0]:
+                    best = (ll, w)
+    return best
+
+
+@pytest.mark.parametrize("mix", [[1.0, 0.0, 0.0], [0.6, 0.4, 0.0], [0.3, 0.3, 0.4], [0.97, 0.0, 0.03]])
+@pytest.mark.parametrize("size", [40, 2000])
+def test_selection_against_a_grid(mix, size):
+    rng = np.random.default_rng(size + int(100 * mix[0]))
+    p = rng.dirichlet(np.full(60, 0.3), 3).T + 1e-6
+    p /= p.sum(0)
+    n = rng.multinomial(size, p @ np.array(mix)).astype(float)
+    chosen, pi = lm.infer(n, np.log(p).astype(np.float32))
+    at = n > 0
+    q, m = p.astype(np.float32).astype(float)[at], n[at]
+    cost = lm.PENALTY * math.log(size)
+    want = [int(np.argmax(m @ np.log(q)))]
+    best = float(m @ np.log(q[:, want[0]]))
+    while len(want) < 3:
+        tried = [(grid(q[:, want + [k]], m, 200), k) for k in range(3) if k not in want]
+        (ll, _), k = max(tried, key=lambda x: x[0][0])
+        if ll - cost <= best:
+            break
+        want.append(k)
+        best = ll - cost
+    assert chosen == want
+    if len(want) > 1:
+        ll, w = grid(q[:, want], m, 200)
+        assert np.abs(pi - w).max() < 0.02 and float(m @ np.log(q[:, chosen] @ pi)) >= ll - 0.05
+
+
+def test_ties_go_to_the_first_language():
+    rng = np.random.default_rng(1)
+    one = rng.dirichlet(np.ones(30))
+    n = rng.multinomial(500, one)
+    other = rng.dirichlet(np.ones(30))
+    chosen, pi = lm.infer(n, np.log(np.stack([other, one, one], axis=1)).astype(np.float32))
+    assert chosen == [1] and pi.tolist() == [1.0]
