@@ -21,7 +21,6 @@ from ratewise.functions.codec import day_text
 from ratewise.sources.tables import cut_lineage, path_exists
 
 INSERT, UPDATE, SKIP = "insert", "update", "skip"
-BROADCAST_MAX_ROWS = 1_000_000  # batch keys broadcast only below this measured count
 BUCKETS = 64                    # hash buckets of a new table; a batch rewrites only those it touches
 
 
@@ -116,12 +115,10 @@ class UserTable:
             rows = rows.filter(F.col("bucket").isin(buckets))
         return rows.select(self.user_col, "res", "day", "bucket")
 
-    def write_batch(self, batch_id: int, incoming: DataFrame, day=None, run: str = "run", n_incoming: int | None = None,
+    def write_batch(self, batch_id: int, incoming: DataFrame, day=None, run: str = "run",
                     buckets: list[int] | None = None) -> None:
-        """K8 for one batch of ``(user, res)``, one row per user.
-
-        ``buckets``: those its users fall into (read if not given).  ``n_incoming``, a measured user
-        count under ``BROADCAST_MAX_ROWS``, lets small batches be broadcast to the stored rows."""
+        """K8 for one batch of ``(user, res)``, one row per user; ``buckets``: those its users fall into
+        (read if not given)."""
         today = day_text(day)
         if buckets is None:
             buckets = [r[0] for r in incoming.select(self.bucket()).distinct().collect()]      # at most the bucket count

@@ -87,7 +87,7 @@ class RecommendBatch:
                          n_items=self.n_items, n_users=n_users)
         out = encoded(recs, "ids")
         if self.store is not None and n_users:
-            self.store.write_batch(batch_id, out, self.day, self.run, n_users, sorted(seen.get["buckets"]))
+            self.store.write_batch(batch_id, out, self.day, self.run, sorted(seen.get["buckets"]))
         if self.sink is not None:
             self.sink(out, batch_id)
 
