@@ -32,7 +32,10 @@ TIE_EPS = 2e-9                 # two scores this close may round to the same 1e-
 USER_BLOCK_ROWS = 16384
 ITEM_BLOCK_ROWS = 32768
 MIN_USER_BLOCK_ROWS = 64
-SCORE_CELLS = 1 << 23          # users x items scored at once in a task (64 MB of float64)
+MAX_TIERS = 64                 # lengths told apart when pruning
+USER_CHUNK, ITEM_CHUNK = 512, 2048   # users x items scored at once in a task (4 MB of float32)
+SCORE_CELLS = USER_CHUNK * ITEM_CHUNK
+FLOAT32_SAFE = 1e30            # lengths whose products float32 holds
 BROADCAST_MAX_ROWS = 1_000_000  # requested user ids broadcast only below this measured count
 
 TOPK_SCHEMA = "user_id int, movie_id int, rating double, score_key double, rank int"
@@ -56,51 +59,108 @@ def score_pairs(pairs: DataFrame, user_factors: DataFrame, item_factors: DataFra
 
 # ---------------------------------------------------------------- blocked top-k
 
+def _every_score(u: np.ndarray, v: np.ndarray, item_ids: np.ndarray, k: int):
+    """Each user's ``k`` best by every score in double precision: vectors float32 cannot hold (NaN,
+    infinite, huge), which numpy sorts last, that is best."""
+    n, kk = len(item_ids), min(k, len(item_ids))
+    u, v = u.astype(np.float64), v.astype(np.float64)
+    chunk = max(1, SCORE_CELLS // n)
+    out_i, out_s, out_key = [], [], []
+    for start in range(0, len(u), chunk):
+        raw = u[start:start + chunk] @ v.T
+        rows = np.arange(len(raw))[:, None]
+        cand = np.argpartition(raw, n - kk, axis=1)[:, n - kk:]
+        kth = raw[rows, cand].min(axis=1)
+        near = (raw >= (kth - TIE_EPS)[:, None]).sum(axis=1)
+        for r in np.nonzero(near > kk)[0]:
+            idx = np.nonzero(raw[r] >= kth[r] - TIE_EPS)[0]
+            cand[r] = idx[np.lexsort((item_ids[idx], -np.round(raw[r, idx], SCORE_DECIMALS)))[:kk]]
+        ck = np.round(raw[rows, cand], SCORE_DECIMALS)
+        order = np.lexsort((item_ids[cand], -ck), axis=1)
+        best = np.take_along_axis(cand, order, axis=1)
+        out_i.append(item_ids[best])
+        out_s.append(raw[rows, best])
+        out_key.append(np.take_along_axis(ck, order, axis=1))
+    return np.concatenate(out_i), np.concatenate(out_s), np.concatenate(out_key), np.ones((len(u), kk), dtype=bool)
+
+
+def _best_items(u: np.ndarray, v: np.ndarray, item_ids: np.ndarray, k: int, kth: np.ndarray):
+    """Each user's ``k`` best items of a block: ids, scores and score keys (users x k), and which of them exist.
+
+    Items come longest first, a user leaves when |user| * |item| falls below the k-th score so far
+    (``kth``: the one it brings along).  A chunk of users meets a chunk of items in float32; only
+    pairs that could reach the k-th score, with twice float32's rounding error as a margin, are
+    scored in double precision.  So memory is a chunk's, whatever the block's size."""
+    dim = u.shape[1]
+    lu, lv = (np.sqrt(np.einsum("ij,ij->i", x, x, dtype=np.float64)) for x in (u, v))
+    if not lu.max() * lv.max() < FLOAT32_SAFE or max(lu.max(), lv.max()) > FLOAT32_SAFE:      # NaN as well
+        return _every_score(u, v, item_ids, k)
+    order = np.lexsort((item_ids, -lv))
+    v, lv, item_ids = v[order], lv[order], item_ids[order]
+    v32 = v.astype(np.float32, copy=False)
+    error = (dim + 4) * 2.0 ** -23
+    ids = np.zeros((len(u), k), dtype=np.int64)
+    scores, keys = np.zeros((len(u), k)), np.full((len(u), k), -np.inf)
+    floor = kth - TIE_EPS
+    for start in range(0, len(u), USER_CHUNK):
+        end = min(len(u), start + USER_CHUNK)
+        for at in range(0, len(v), ITEM_CHUNK):
+            reach = lu[start:end] * lv[at] * (1 + 1e-9) + TIE_EPS
+            rows = start + np.nonzero(reach >= floor[start:end])[0]
+            if not len(rows):
+                break
+            raw = u[rows].astype(np.float32, copy=False) @ v32[at:at + ITEM_CHUNK].T
+            slack = error * lu[rows] * lv[at]
+            low = floor[rows] - slack
+            free = np.isneginf(low)                  # fewer than k so far: this chunk's own k-th bounds them
+            if free.any() and raw.shape[1] > k:
+                own = np.partition(raw[free], raw.shape[1] - k, axis=1)[:, raw.shape[1] - k]
+                low[free] = own - 2 * slack[free] - TIE_EPS
+            low = np.nextafter(low.astype(np.float32), np.float32(-np.inf))
+            hit = np.nonzero(raw.max(axis=1) >= low)[0]
+            r, c = np.nonzero(raw[hit] >= low[hit, None])
+            r, c = rows[hit[r]], at + c
+            score = np.empty(len(r))
+            step = max(1, SCORE_CELLS // dim)
+            for i in range(0, len(r), step):
+                score[i:i + step] = np.einsum("ij,ij->i", u[r[i:i + step]], v[c[i:i + step]], dtype=np.float64)
+            key = np.round(score, SCORE_DECIMALS) + 0.0
+            good = key >= floor[r]
+            r, c, score, key = r[good], c[good], score[good], key[good]
+            if not len(r):
+                continue
+            # the best so far and the new ones of the users met, in order, k of each
+            met = np.unique(r)
+            who = np.concatenate([np.repeat(met, k), r])
+            what = np.concatenate([ids[met].ravel(), item_ids[c]])
+            by = np.concatenate([keys[met].ravel(), key])
+            value = np.concatenate([scores[met].ravel(), score])
+            ranked = np.lexsort((what, -by, who))
+            first = np.searchsorted(who[ranked], met)
+            ranked = ranked[first[:, None] + np.arange(k)]
+            ids[met], keys[met], scores[met] = what[ranked], by[ranked], value[ranked]
+            floor[met] = np.maximum(floor[met], keys[met, k - 1] - TIE_EPS)
+    return ids, scores, keys, ~np.isneginf(keys)
+
+
 def _block_topk(k: int):
+    """The cogrouped function: a block of users (``kth``: the k-th score each brings along, if it does) and one of items."""
     def run(users: pd.DataFrame, items: pd.DataFrame) -> pd.DataFrame:
-        if users.empty or items.empty:
+        if users.empty or items.empty or k < 1:
             return pd.DataFrame({"user_id": pd.Series([], dtype="int32"), "movie_id": pd.Series([], dtype="int32"),
                                  "rating": pd.Series([], dtype="float64"), "score_key": pd.Series([], dtype="float64"),
                                  "rank": pd.Series([], dtype="int32")})
-        v = np.stack(items["features"].to_numpy()).astype(np.float64)
-        item_ids = items["id"].to_numpy().astype(np.int64)
-        u_all = np.stack(users["features"].to_numpy()).astype(np.float64)
-        user_ids = users["id"].to_numpy().astype(np.int64)
-        kk = min(k, len(item_ids))
-        chunk = max(1, SCORE_CELLS // len(item_ids))
-        out_u, out_i, out_s, out_key, out_r = [], [], [], [], []
-        n = len(item_ids)
-        for start in range(0, len(user_ids), chunk):
-            u = u_all[start:start + chunk]
-            ids = user_ids[start:start + chunk]
-            raw = u @ v.T
-            rows = np.arange(len(ids))[:, None]
-            cand = np.argpartition(raw, n - kk, axis=1)[:, n - kk:]
-            kth = raw[rows, cand].min(axis=1)
-            # scores are compared rounded to 1e-9: only an item within TIE_EPS of the k-th best
-            # can tie with it after rounding, so only such rows need the exact (rounded) pick
-            near = (raw >= (kth - TIE_EPS)[:, None]).sum(axis=1)
-            tied = np.nonzero(near > kk)[0]
-            if len(tied):
-                cand = cand.copy()
-                for r in tied:
-                    idx = np.nonzero(raw[r] >= kth[r] - TIE_EPS)[0]
-                    order = np.lexsort((item_ids[idx], -np.round(raw[r, idx], SCORE_DECIMALS)))
-                    cand[r] = idx[order[:kk]]
-            ck = np.round(raw[rows, cand], SCORE_DECIMALS)
-            order = np.lexsort((item_ids[cand], -ck), axis=1)
-            best = np.take_along_axis(cand, order, axis=1)
-            out_u.append(np.repeat(ids, kk))
-            out_i.append(item_ids[best].ravel())
-            out_s.append(raw[rows, best].ravel())
-            out_key.append(np.take_along_axis(ck, order, axis=1).ravel())
-            out_r.append(np.tile(np.arange(1, kk + 1), len(ids)))
+        kth = users["kth"].fillna(-np.inf).to_numpy(dtype=np.float64) if "kth" in users else np.full(len(users), -np.inf)
+        ids, scores, keys, real = _best_items(
+            np.stack(users["features"].to_numpy()), np.stack(items["features"].to_numpy()),
+            items["id"].to_numpy().astype(np.int64), k, kth)
+        row, at = np.nonzero(real)
         return pd.DataFrame({
-            "user_id": np.concatenate(out_u).astype(np.int32),
-            "movie_id": np.concatenate(out_i).astype(np.int32),
-            "rating": np.concatenate(out_s),
-            "score_key": np.concatenate(out_key),
-            "rank": np.concatenate(out_r).astype(np.int32),
+            "user_id": users["id"].to_numpy()[row].astype(np.int32),
+            "movie_id": ids[row, at].astype(np.int32),
+            "rating": scores[row, at],
+            "score_key": keys[row, at],
+            "rank": (at + 1).astype(np.int32),
         })
     return run
 
@@ -164,10 +224,11 @@ def top_k_pruned(user_factors: DataFrame, item_factors: DataFrame, k: int = 5, u
     The second frame has a row per tier: ``tier, n_items, longest, n_users`` (users sent), ``share`` (of
     all user-item cells that this tier's scoring is)."""
     spark = user_factors.sparkSession
-    items = item_factors.select("id", "features", _norm("features").alias("_len"))
+    # written with their lengths: in the comparisons below a length would be worked out again for each tier
+    items = cut_lineage(item_factors.select("id", "features", _norm("features").alias("_len")))
     users = user_factors.select("id", "features", _norm("features").alias("_len"))
-    n_items, n_users = item_factors.count(), user_factors.count()
-    n_tiers = max(1, math.ceil(n_items / item_block_rows))
+    n_items, n_users = items.count(), user_factors.count()
+    n_tiers = min(MAX_TIERS, max(1, math.ceil(n_items / item_block_rows)))
     limits = [] if n_tiers == 1 else items.agg(F.percentile_approx(
         "_len", [1 - t / n_tiers for t in range(1, n_tiers)], 10_000)).first()[0] or []
     limits = sorted(set(limits), reverse=True)
@@ -178,14 +239,20 @@ def top_k_pruned(user_factors: DataFrame, item_factors: DataFrame, k: int = 5, u
     if not facts:
         return top_k_rows(user_factors, item_factors, k, n_users=n_users, n_items=0), spark.createDataFrame(
             [], "tier int, n_items bigint, longest double, n_users bigint, share double")
-    n_ub, _ = block_counts(n_users, n_items, spark.sparkContext.defaultParallelism, user_block_rows, item_block_rows)
-    pieces = [max(1, math.ceil(n / item_block_rows)) for _, n, _ in facts]
-    piece_of = F.element_at(F.array(*[F.lit(p) for p in pieces]), F.element_at(
-        F.create_map(*[F.lit(x) for i, (t, _, _) in enumerate(facts) for x in (t, i + 1)]), F.col("tier")))
-    items = items.withColumn("piece", F.pmod(F.xxhash64("id"), piece_of).cast("int")).withColumn(
+    # neighbouring tiers share a block of items while it stays bounded; a larger tier is cut into pieces by hash
+    first_tier, blocks, block_of = facts[0][0], [], {}
+    for t, n, longest in facts:
+        if len(blocks) < 2 or blocks[-1][1] + n > ITEM_BLOCK_ROWS:      # the first tier is a block of its own
+            blocks.append([longest, 0])
+        blocks[-1][1] += n
+        block_of[t] = len(blocks) - 1
+    n_ub, _ = block_counts(n_users, n_items, spark.sparkContext.defaultParallelism, user_block_rows, ITEM_BLOCK_ROWS)
+    piece_of = F.element_at(F.array(*[F.lit(max(1, math.ceil(n / ITEM_BLOCK_ROWS))) for _, n in blocks]), F.col("blk") + 1)
+    block = F.element_at(F.create_map(*[F.lit(x) for pair in block_of.items() for x in pair]), F.col("tier"))
+    items = items.withColumn("blk", block).withColumn("piece", F.pmod(F.xxhash64("id"), piece_of).cast("int")).withColumn(
         "ublk", F.explode(F.sequence(F.lit(0), F.lit(n_ub - 1))))
     users = users.withColumn("ublk", F.pmod(F.xxhash64("id"), F.lit(n_ub)).cast("int"))
-    by = ["ublk", "tier", "piece"]
+    by = ["ublk", "blk", "piece"]
 
     def best(rows: DataFrame) -> DataFrame:
         w = Window.partitionBy("user_id").orderBy(F.desc("score_key"), F.asc("movie_id"))
@@ -193,18 +260,24 @@ def top_k_pruned(user_factors: DataFrame, item_factors: DataFrame, k: int = 5, u
 
     def product(sent: DataFrame, of: DataFrame) -> DataFrame:
         sent = sent.withColumn("piece", F.explode(F.sequence(F.lit(0), piece_of - 1)))
-        return (sent.select("id", "features", *by).groupBy(*by).cogroup(of.select("id", "features", *by).groupBy(*by))
+        return (sent.select("id", "features", "kth", *by).groupBy(*by).cogroup(of.select("id", "features", *by).groupBy(*by))
                 .applyInPandas(_block_topk(k), TOPK_SCHEMA))
 
-    first_tier = facts[0][0]
-    first = cut_lineage(best(product(users.withColumn("tier", F.lit(first_tier)), items.filter(F.col("tier") == first_tier))))
-    kth = first.groupBy(F.col("user_id").alias("id")).agg(F.when(F.count(F.lit(1)) >= k, F.min("score_key")).alias("_kth"))
-    reach = F.array(*[F.struct(F.lit(t).alias("tier"), F.lit(longest).alias("longest")) for t, _, longest in facts[1:]]) \
-        if len(facts) > 1 else F.array().cast("array<struct<tier:int,longest:double>>")
-    could = lambda t: F.col("_kth").isNull() | (F.col("_len") * t["longest"] * (1 + 1e-9) + TIE_EPS >= F.col("_kth"))
-    sent = cut_lineage(users.join(kth, "id", "left").withColumn("tier", F.explode(F.filter(reach, could)))
-                       .select("id", "features", "ublk", "tier.tier"))
-    rows = best(first.unionByName(product(sent, items.filter(F.col("tier") != first_tier)))).select("user_id", "rank", "movie_id", "rating")
+    first = cut_lineage(best(product(users.withColumn("blk", F.lit(0)).withColumn("kth", F.lit(None).cast("double")),
+                                     items.filter(F.col("blk") == 0))))
+    kth = first.groupBy(F.col("user_id").alias("id")).agg(F.when(F.count(F.lit(1)) >= k, F.min("score_key")).alias("kth"))
+
+    def within(longest: Column) -> Column:
+        return F.col("kth").isNull() | (F.col("_len") * longest * (1 + 1e-9) + TIE_EPS >= F.col("kth"))
+
+    # a user goes once to each block of items that it reaches, with its k-th score, and leaves there by itself
+    reach = F.array(*[F.struct(F.lit(i).alias("blk"), F.lit(longest).alias("longest")) for i, (longest, _) in enumerate(blocks) if i]) \
+        if len(blocks) > 1 else F.array().cast("array<struct<blk:int,longest:double>>")
+    met = cut_lineage(users.join(kth, "id", "left"))
+    sent = met.withColumn("blk", F.explode(F.filter(reach, lambda b: within(b["longest"])))).select("id", "features", "kth", "ublk", "blk.blk")
+    rows = best(first.unionByName(product(sent, items.filter(F.col("blk") != 0)))).select("user_id", "rank", "movie_id", "rating")
+    lengths = F.array(*[F.struct(F.lit(t).alias("tier"), F.lit(longest).alias("longest")) for t, _, longest in facts])
+    sent = met.select(F.explode(F.filter(lengths, lambda t: within(t["longest"]))).alias("t")).select("t.tier")
     told = spark.createDataFrame([(t, n, float(longest)) for t, n, longest in facts], "tier int, n_items bigint, longest double")
     share = told.join(sent.groupBy("tier").agg(F.count(F.lit(1)).alias("_sent")), "tier", "left").withColumn(
         "n_users", F.when(F.col("tier") == first_tier, F.lit(n_users)).otherwise(F.coalesce("_sent", F.lit(0))).cast("bigint")).select(

@@ -126,3 +126,62 @@ def test_pruned_topk_equals_the_full_product(spark):
     assert top_k_pruned(users, items.limit(0), 5)[0].count() == 0
     few, _ = top_k_pruned(users, items.filter("id < 3"), 5, item_block_rows=2)
     assert key(few) == key(top_k_rows(users, items.filter("id < 3"), 5))
+
+
+@pytest.mark.parametrize("shape", ["lengths", "equal", "copies", "huge"])
+def test_block_kernel_is_exact_within_small_memory(shape):
+    """The same rows as all scores in double precision, without a block's scores in memory at once."""
+    import tracemalloc
+
+    import pandas as pd
+
+    from ratewise.operators.recommend import _block_topk
+    rng = np.random.default_rng(11)
+    u, v = rng.standard_normal((1500, 10)), rng.standard_normal((6000, 10))
+    if shape == "equal":
+        v /= np.linalg.norm(v, axis=1)[:, None]
+    if shape == "copies":
+        v = np.repeat(v[:300], 20, axis=0)
+    if shape == "huge":
+        u, v = u[:50] * 1e20, v[:400] * 1e20       # products beyond float32
+    u, v = u.astype(np.float32), v.astype(np.float32)
+    frames = [pd.DataFrame({"id": np.arange(len(x), dtype=np.int32), "features": list(x)}) for x in (u, v)]
+    tracemalloc.start()
+    got = _block_topk(5)(*frames)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    key = np.round(u.astype(np.float64) @ v.astype(np.float64).T, 9)
+    want = np.lexsort((np.broadcast_to(np.arange(len(v)), key.shape), -key), axis=1)[:, :5]
+    assert got.movie_id.to_numpy().reshape(-1, 5).tolist() == want.tolist()
+    assert got["rank"].tolist() == [1, 2, 3, 4, 5] * len(u)
+    assert np.allclose(got.rating, np.take_along_axis(key, want, axis=1).ravel())
+    assert peak < 50 << 20
+
+
+def test_block_kernel_keeps_users_own_bound():
+    """A user's k-th score from elsewhere: only items that can still enter come back, ties included."""
+    import pandas as pd
+
+    from ratewise.operators.recommend import _block_topk
+    users = pd.DataFrame({"id": [1, 2], "features": [np.array([1.0], np.float32)] * 2, "kth": [2.0, np.nan]})
+    items = pd.DataFrame({"id": [7, 8, 9], "features": [np.array([x], np.float32) for x in (1.0, 2.0, 3.0)]})
+    rows = _block_topk(2)(users, items)
+    assert list(zip(rows.user_id, rows["rank"], rows.movie_id)) == [(1, 1, 9), (1, 2, 8), (2, 1, 9), (2, 2, 8)]
+    users["kth"] = [2.5, 4.0]
+    rows = _block_topk(2)(users, items)
+    assert list(zip(rows.user_id, rows.movie_id)) == [(1, 9)]
+
+
+def test_pruned_topk_sends_a_user_once_to_a_block_of_items(spark):
+    """Groups grow with the items' blocks, not with their tiers."""
+    from ratewise.operators.recommend import top_k_pruned
+    uf, u = factors(spark, range(40), 4, 3)
+    vf, v = factors(spark, range(100, 1700), 4, 4)
+    rows, share = top_k_pruned(uf, vf, 3, item_block_rows=8)
+    assert share.count() <= 65
+    text = rows._jdf.queryExecution().executedPlan().toString()
+    assert "FlatMapCoGroupsInPandas" in text
+    got = {}
+    for r in sorted(rows.collect(), key=lambda r: (r.user_id, r["rank"])):
+        got.setdefault(r.user_id, []).append(r.movie_id)
+    assert got == brute_topk(u, v, 3)
