@@ -117,9 +117,8 @@ def _best_items(u: np.ndarray, v: np.ndarray, item_ids: np.ndarray, k: int, kth:
                 own = np.partition(raw[free], raw.shape[1] - k, axis=1)[:, raw.shape[1] - k]
                 low[free] = own - 2 * slack[free] - TIE_EPS
             low = np.nextafter(low.astype(np.float32), np.float32(-np.inf))
-            hit = np.nonzero(raw.max(axis=1) >= low)[0]
-            r, c = np.nonzero(raw[hit] >= low[hit, None])
-            r, c = rows[hit[r]], at + c
+            r, c = np.divmod(np.flatnonzero(raw >= low[:, None]), raw.shape[1])      # flat: far faster than by two axes
+            r, c = rows[r], at + c
             score = np.empty(len(r))
             step = max(1, SCORE_CELLS // dim)
             for i in range(0, len(r), step):

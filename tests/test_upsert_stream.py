@@ -245,3 +245,25 @@ def test_stored_user_without_a_day_is_updated(spark):
     incoming = spark.createDataFrame([(i, "b") for i in (1, 2, 3, 4)], "user_id int, res string")
     got = {r["user_id"]: r["action"] for r in classify(incoming, target, "2020-01-02").collect()}
     assert got == {1: "update", 2: "update", 3: "skip", 4: "insert"}
+
+
+@pytest.mark.parametrize("name", ["stream_failed_batch", "stream_restart"])
+def test_restarted_queries_share_the_popular_ids(spark, tmp_path, monkeypatch, name):
+    """All ratings are read once for the popular ids, not once for each query started."""
+    from ratewise.plans import catalog
+    d = str(tmp_path)
+    for table, rows, schema in [
+        ("orders", [(o, 1 + o % 3) for o in range(12)], "o_orderkey bigint, o_custkey bigint"),
+        ("lineitem", [(o, 100 + p, 10.0) for o in range(12) for p in range(1 + o % 7)], "l_orderkey bigint, l_partkey bigint, l_quantity double"),
+        ("customer", [(1, "BUILDING"), (2, "HOUSEHOLD"), (3, "MACHINERY")], "c_custkey bigint, c_mktsegment string"),
+        ("events", [(i, f"2024-01-01 00:00:{i:02d}", 1 + i % 6, 1.5) for i in range(24)], "event_id bigint, ts string, user_id bigint, value double"),
+        ("embeddings", [(i, [float(i % 5), 1.0]) for i in range(11)], "vec_id bigint, embedding array<float>"),
+    ]:
+        spark.createDataFrame(rows, schema).write.parquet(f"{d}/{table}.parquet")
+    seen, ratings = [], catalog.V.ratings
+    monkeypatch.setattr(catalog.V, "ratings", lambda *a: seen.append(a) or ratings(*a))
+    rows = {r.user_id: (r.res, r.day) for r in catalog.QUERIES[name](spark, d).collect()}
+    assert len(seen) == 1
+    pop = "100_101_102_103_104"
+    assert rows == {1: (pop, catalog.V.TODAY), 2: (catalog.V.FIXTURE_RES, catalog.V.TODAY), 3: (pop, catalog.V.TODAY),
+                    4: (pop, catalog.V.TODAY), 5: ("1_2_3_4_6", catalog.V.TODAY), 6: (pop, catalog.V.TODAY)}
