@@ -185,3 +185,43 @@ def test_pruned_topk_sends_a_user_once_to_a_block_of_items(spark):
     for r in sorted(rows.collect(), key=lambda r: (r.user_id, r["rank"])):
         got.setdefault(r.user_id, []).append(r.movie_id)
     assert got == brute_topk(u, v, 3)
+
+
+def test_arrow_blocks_score_as_pandas_blocks():
+    import pandas as pd
+    import pyarrow as pa
+    from ratewise.operators.recommend import _block_topk, _block_topk_arrow
+    rng = np.random.default_rng(3)
+
+    def side(n, first):
+        f = rng.normal(size=(n, 6)).astype(np.float32)
+        f[n // 2:] = f[:n - n // 2]             # ties
+        return pd.DataFrame({"id": np.arange(first, first + n, dtype=np.int32), "features": list(f), "ublk": 0})
+    users, items = side(40, 100), side(90, 1000)
+    tables = [pa.Table.from_pandas(x, preserve_index=False) for x in (users, items)]
+    tables = [pa.concat_tables([t.slice(7), t.slice(0, 7)]) for t in tables]        # several chunks
+    got = _block_topk_arrow(5)(*tables).to_pandas().sort_values(["user_id", "rank"]).reset_index(drop=True)
+    want = _block_topk(5)(users, items).sort_values(["user_id", "rank"]).reset_index(drop=True)
+    pd.testing.assert_frame_equal(got, want)
+    assert _block_topk_arrow(5)(tables[0], tables[1].slice(0, 0)).num_rows == 0
+    ragged = pa.table({"id": pa.array([1, 2], pa.int32()), "features": pa.array([[1.0, 2.0], [1.0]], pa.list_(pa.float32()))})
+    with pytest.raises(ValueError):
+        _block_topk_arrow(1)(ragged, ragged)
+
+
+def test_als_blocks_send_few_copies(spark, monkeypatch):
+    """Rows shuffled per row of a table of 10-component factors, at 5.4 million users and 7.2 million items."""
+    from ratewise.operators import als, recommend
+    seen = {}
+    real = recommend.block_counts
+
+    def at_size(n_users, n_items, parallelism, user_rows, item_rows):
+        seen["blocks"] = real(5_400_000, 7_200_000, 12, user_rows, item_rows)
+        return real(n_users, n_items, parallelism, user_rows, item_rows)
+    monkeypatch.setattr(recommend, "block_counts", at_size)
+    rows = [(u, m, float((u * m) % 5)) for u in range(1, 9) for m in range(1, 7)]
+    train = spark.createDataFrame(rows, "user_id int, movie_id int, rating double")
+    als.recommend_users(als.fit_als(train, rank=10, max_iter=1, num_blocks=2), train, 5)
+    user_blocks, item_blocks = seen["blocks"]
+    assert item_blocks <= 5          # users' copies, and k candidates of a user for each
+    assert user_blocks <= 16         # items' copies
