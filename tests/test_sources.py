@@ -106,3 +106,14 @@ def test_statements_follow_the_rule(spark):
         con.execute(sql)
     after = apply_actions(spark.createDataFrame(target, "user_id int, res string, day string"), actions)
     assert set(con.execute("SELECT * FROM rec_user")) == set(map(tuple, after.collect()))
+
+
+def test_stored_rows_are_read_by_column_and_filter(spark):
+    """What several passes read is a table: the same rows, nulls and copies too, pruned and filtered by the reader."""
+    from ratewise.sources.tables import stored
+    rows = [(1, 2, 0.1 + 0.2), (1, 2, 0.1 + 0.2), (None, 3, None), (4, None, float("inf"))]
+    df = spark.createDataFrame(rows, "user_id int, movie_id int, rating double")
+    got = stored(df, "t-stored")
+    assert got.schema == df.schema and sorted(got.collect(), key=str) == sorted(df.collect(), key=str)
+    plan = got.filter("rating > 1").select("movie_id")._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThan(rating,1.0)" in plan and "ReadSchema: struct<movie_id:int,rating:double>" in plan
